@@ -45,9 +45,9 @@ def required_fields(contract: T.StructType) -> list[str]:
     return [f.name for f in contract.fields if not f.nullable]
 
 
-def _contract(name: str, **fields: object) -> str:
+def _contract(record: str, /, **fields: object) -> str:
     listed = [{"name": k, "type": v} for k, v in fields.items()]
-    return json.dumps({"type": "record", "name": name, "fields": listed})
+    return json.dumps({"type": "record", "name": record, "fields": listed})
 
 
 # The field names and types of the feeds.

@@ -4,6 +4,7 @@ events    presses: clicks and views are readings, sign-ups open a cycle, purchas
 lineitem  lathes: one series per supplier
 supplier  limit records for the two press types, in supplier order
 orders    snapshots of a control document, one subject per customer
+customer  user records
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackline.functions.wire import add_header
 from trackline.operators.cycles import EVENT, event_struct
 
 # Timestamps are declared as plain UTC instants, so results do not depend on the session zone.
@@ -36,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def press_id(user_id: Column) -> Column:
     family = F.when(user_id % 2 == 0, "Press-A-").otherwise("Press-B-")
-    return F.concat(family, F.lpad(user_id.cast("string"), 6, "0"))
+    return F.concat(family, F.lpad(user_id.cast("string"), 10, "0"))
 
 
 def props_k() -> Column:
@@ -97,7 +99,7 @@ def lathe_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry of the lathes: ship date plus an order-based time of day, in milliseconds."""
     position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("Lathe-"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("device_id"),
+        F.concat(F.lit("Lathe-"), F.lpad(F.col("l_suppkey").cast("string"), 10, "0")).alias("device_id"),
         (F.unix_millis("l_shipdate") + position % 86_400_000).alias("timestamp"),
         (position * 1_048_576 + F.col("l_partkey") % 1_048_576).alias("seq"),
         F.col("l_quantity").alias("spindle_rpm"),
@@ -123,3 +125,104 @@ def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_nationkey") % 2 == 0, "HIGH_PRECISION_STRICT")
         .otherwise("STANDARD_HEAVY_DUTY").alias("rule_profile"),
     )
+
+
+def _json(*fields: Column) -> Column:
+    return F.to_json(F.struct(*fields)).cast("binary")
+
+
+def raw_messages(rows: DataFrame, value: Column, topic: str, offset: Column, time: Column) -> DataFrame:
+    """Rows in the layout of a message source."""
+    return rows.select(
+        F.lit(None).cast("binary").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"), offset.alias("offset"), time.alias("timestamp"))
+
+
+def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One telemetry message per event row. The number in `props` decides what is wrong with it:
+    below 5 random text, below 10 no header, below 13 no value, below 16 no device, below 19 no
+    timestamp, below 21 bytes that are not UTF-8, below 23 text in a numeric field.
+    """
+    k = props_k()
+    rows = press_messages(spark, sf_dir)
+    device = F.when((k < 13) | (k >= 16), F.col("device_id")).alias("device_id")
+    time = F.when((k < 16) | (k >= 19), F.col("timestamp")).alias("timestamp")
+    rest = [F.col("value").alias("vibration"), k.alias("temperature"), F.lit(65.5).alias("pressure"),
+            F.concat(F.col("event_type"), F.lit(",x")).alias("status")]
+    good = _json(device, time, *rest)
+    text_in_number = _json(device, time, F.lit("n/a").alias("vibration"), *rest[1:])
+    number = (F.lit(1) + F.col("seq") % 3).cast("long")
+    value = (
+        F.when(k < 5, add_header(F.lit(b"This is not a record"), number))
+        .when(k < 10, good)
+        .when(k < 13, F.lit(None).cast("binary"))
+        .when((k >= 19) & (k < 21), add_header(F.unhex(F.lit("C328FF")), number))
+        .when((k >= 21) & (k < 23), add_header(text_in_number, number))
+        .otherwise(add_header(good, number))
+    )
+    return raw_messages(rows, value, "machine-telemetry", F.col("seq"), F.timestamp_millis("timestamp"))
+
+
+def context_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context events as messages; absent run, part and recipe are left out of the body."""
+    rows = press_events(spark, sf_dir)
+    fields = ["device_id", "event_type", "event_timestamp", "run_id", "part_no", "recipe_name"]
+    body = add_header(_json(*[F.col(f) for f in fields]), F.lit(2).cast("long"))
+    return raw_messages(rows, body, "machine-context-events", F.col("seq"), F.timestamp_millis("event_timestamp"))
+
+
+def control_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limit records as messages."""
+    rows = rule_log(spark, sf_dir)
+    fields = [c for c in rows.columns if c not in ("offset", "log_time")]
+    body = add_header(_json(*[F.col(f) for f in fields]), F.lit(3).cast("long"))
+    return raw_messages(rows, body, "machine-control", F.col("offset"), F.timestamp_millis("log_time"))
+
+
+def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics as messages; some have an empty machine name or a temperature above 1000."""
+    rows = press_messages(spark, sf_dir)
+    name = F.when(props_k() < 3, "").otherwise(F.col("device_id"))
+    body = add_header(_json(name.alias("mc_name"), (F.col("value") * 4).alias("temp"),
+                            (F.col("value") + 100).alias("pressure")), F.lit(4).cast("long"))
+    return raw_messages(rows, body, "machine-events", F.col("seq"), F.timestamp_millis("timestamp"))
+
+
+def user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User records as messages: nations 0-4 send a number as id, nations 5-6 send no record at all."""
+    nation = F.col("c_nationkey")
+    name = F.col("c_name").alias("name")
+    email = F.when(F.col("c_acctbal") >= 0, F.concat("c_name", F.lit("@example.com"))).alias("email")
+    user = F.concat(F.lit("U"), "c_custkey").alias("id")
+    body = (
+        F.when(nation < 5, _json(F.col("c_custkey").alias("id"), name, email, F.lit("555").alias("phone")))
+        .when(nation < 7, F.lit(b"This is not a record"))
+        .otherwise(_json(user, name, email))
+    )
+    return raw_messages(table(spark, sf_dir, "customer"), add_header(body, F.lit(1).cast("long")), "user-events",
+                        F.col("c_custkey"), F.timestamp_millis(F.col("c_custkey")))
+
+
+def lathe_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the simple monitor, one per line item."""
+    position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("Lathe-"), "l_suppkey").alias("mc_name"),
+        (F.col("l_extendedprice") / 100).alias("temp"),
+        F.when(F.col("l_quantity") > 1, F.col("l_quantity") * 3.05).alias("pressure"),
+        (position * 1_048_576 + F.col("l_partkey") % 1_048_576).alias("seq"),
+        (F.unix_millis("l_shipdate") + position % 86_400_000).alias("timestamp"),
+    )
+
+
+def control_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of a control document; pending orders hold a broken one."""
+    level = F.substring("o_orderpriority", 1, 1).cast("int")
+    whole = F.concat(F.lit('{"version": '), level, F.lit(', "rules": {"max_safe_temp": '), level * 100 + 50,
+                     F.lit('.5, "max_safe_pressure": '), level * 10 + 90, F.lit(".0}}"))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("line-"), "o_custkey").alias("subject"),
+        F.unix_millis("o_orderdate").alias("timestamp"),
+        F.col("o_orderkey").alias("seq"),
+        F.when(F.col("o_orderstatus") == "P", F.lit('{"version": 1, "rules": {')).otherwise(whole).alias("raw_text"),
+    )
