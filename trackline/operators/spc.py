@@ -58,6 +58,18 @@ def closing_tail(values: DataFrame, carry: DataFrame | None = None) -> DataFrame
     return _tail(rows, list(SERIES)).select(*SERIES, (-F.col("_age")).alias("position"), "value")
 
 
+def pack_tails(tails: DataFrame) -> DataFrame:
+    """One row per series for storage; a tail has at most 24 values."""
+    ordered = F.array_sort(F.collect_list(F.struct("position", "value")))
+    return tails.groupBy(*SERIES).agg(ordered.alias("_t")).select(*SERIES, F.col("_t.value").alias("tail"))
+
+
+def unpack_tails(packed: DataFrame) -> DataFrame:
+    """The inverse of `pack_tails`."""
+    return packed.select(*SERIES, F.size("tail").alias("_n"), F.posexplode("tail").alias("_at", "value")).select(
+        *SERIES, (F.col("_at") - F.col("_n")).alias("position"), "value")
+
+
 def _carry_rows(carry: DataFrame) -> DataFrame:
     return carry.select(*SERIES, F.lit(0).alias("phase"), F.col("position").cast("long").alias("timestamp"),
                         F.lit(0).cast("long").alias("seq"), "value")
