@@ -31,10 +31,13 @@ def short_fingerprint(full: Column) -> Column:
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Add fingerprint and limits; `valid` is false unless the whole document can be read."""
+    """Add fingerprint and limits; `valid` is false unless the whole document can be read.
+
+    Parsed inside a generator, as in `decode`, so that filters do not repeat the parse.
+    """
     rules = F.col("_doc.rules")
     return (
-        documents.withColumn("_doc", F.from_json("raw_text", CONTROL_DOCUMENT))
+        documents.withColumn("_doc", F.explode(F.array(F.from_json("raw_text", CONTROL_DOCUMENT))))
         .withColumns({
             "fingerprint": fingerprint(F.col("raw_text")),
             "temp_max": rules["max_safe_temp"],

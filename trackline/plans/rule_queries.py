@@ -181,8 +181,7 @@ def spc_lathes(spark, sf_dir):
     return spc.violations(spc.evaluate(values, plan))
 
 
-_ALERTS_SQL = f"""
-WITH {CHECKED}, {zone_rules('checked')}, fired AS ({_violations_sql('scored')}),
+ALERT_VIEWS = f"""{zone_rules('checked')}, fired AS ({_violations_sql('scored')}),
 alerts AS (
   SELECT 'limit_breach' AS alert_type, device_id, timestamp, seq, measurement, value, limit_type, limit_value,
          rule_profile, rule_version, CAST(NULL AS INTEGER) AS rule_number, CAST(NULL AS VARCHAR) AS rule_description
@@ -191,6 +190,7 @@ alerts AS (
   SELECT 'spc_rule', device_id, timestamp, seq, measurement, value, NULL, NULL, NULL, NULL, rule_number,
          rule_description
   FROM fired)"""
+_ALERTS_SQL = f"WITH {CHECKED}, {ALERT_VIEWS}"
 
 
 def press_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,10 +12,10 @@ press AS (
   FROM events)"""
 
 # g counts the recognised events before a row, so event number g is the latest one.
-TRACKED = PRESS + """,
+_TRACKED = """,
 line AS (
   SELECT *, CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS kr
-  FROM press WHERE event_type <> 'error'),
+  FROM press WHERE event_type <> 'error' AND ({keep})),
 segments AS (
   SELECT *,
          SUM(1 - kr) OVER w - (1 - kr) AS g,
@@ -65,6 +65,14 @@ incomplete AS (
   FROM tracked
   WHERE (event_type = 'signup' AND is_open) OR (event_type <> 'signup' AND NOT is_open))"""
 
+
+def tracked(keep: str = "TRUE") -> str:
+    """Views up to `enriched` and `incomplete` over the press rows that satisfy `keep`."""
+    return PRESS + _TRACKED.replace("{keep}", keep)
+
+
+TRACKED = tracked()
+
 RULE_LOG = """
 rule_log AS (
   SELECT s_suppkey AS "offset", 1704067200000 + s_suppkey * 21600000 AS log_time, 'v' || s_suppkey AS version,
@@ -89,12 +97,12 @@ latest AS (
   JOIN (SELECT machine_type, MAX("offset") AS newest FROM rule_log GROUP BY machine_type) n
     ON r.machine_type = n.machine_type AND r."offset" = n.newest)"""
 
-# Every event row as a reading, in long form, under the current rules.
-CHECKED = PRESS + "," + RULE_LOG + """,
+# Readings in long form, under the current rules.
+_CHECKED = PRESS + "," + RULE_LOG + """,
 long_values AS (
-  SELECT device_id, machine_type, timestamp, seq, 'vibration' AS measurement, value AS value FROM press
+  SELECT device_id, machine_type, timestamp, seq, 'vibration' AS measurement, value AS value FROM press WHERE {keep}
   UNION ALL
-  SELECT device_id, machine_type, timestamp, seq, 'temperature', k FROM press),
+  SELECT device_id, machine_type, timestamp, seq, 'temperature', k FROM press WHERE {keep}),
 checked AS (
   SELECT v.device_id, v.timestamp, v.seq, v.measurement, v.value, r.upper, r.lower, r.rule_profile,
          r.version AS rule_version
@@ -107,6 +115,14 @@ breaches AS (
   FROM checked WHERE value < lower)"""
 
 
+def checked(keep: str = "TRUE") -> str:
+    """Views up to `checked` and `breaches` over the press rows that satisfy `keep`, each one a reading."""
+    return _CHECKED.replace("{keep}", keep)
+
+
+CHECKED = checked()
+
+
 def zone_rules(series: str) -> str:
     """`scored`: rules 1-8 over `series`(device_id, measurement, timestamp, seq, value), from frames and lists."""
     def tail(n: int) -> str:

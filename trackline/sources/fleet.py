@@ -132,19 +132,24 @@ def _json(*fields: Column) -> Column:
 
 
 def raw_messages(rows: DataFrame, value: Column, topic: str, offset: Column, time: Column) -> DataFrame:
-    """Rows in the layout of a message source."""
+    """Rows in the layout of a message source.
+
+    The generator keeps later uses of `value` from building the body again each time.
+    """
     return rows.select(
-        F.lit(None).cast("binary").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
+        F.lit(None).cast("binary").alias("key"), F.explode(F.array(value)).alias("value"), F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"), offset.alias("offset"), time.alias("timestamp"))
 
 
-def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One telemetry message per event row. The number in `props` decides what is wrong with it:
+def telemetry_messages(spark: SparkSession, sf_dir: str, event_types: tuple[str, ...] = ()) -> DataFrame:
+    """One telemetry message per event row (of the given types). The number in `props` decides what is wrong with it:
     below 5 random text, below 10 no header, below 13 no value, below 16 no device, below 19 no
     timestamp, below 21 bytes that are not UTF-8, below 23 text in a numeric field.
     """
-    k = props_k()
-    rows = press_messages(spark, sf_dir)
+    rows = press_messages(spark, sf_dir).withColumn("k", props_k())
+    if event_types:
+        rows = rows.filter(F.col("event_type").isin(*event_types))
+    k = F.col("k")
     device = F.when((k < 13) | (k >= 16), F.col("device_id")).alias("device_id")
     time = F.when((k < 16) | (k >= 19), F.col("timestamp")).alias("timestamp")
     rest = [F.col("value").alias("vibration"), k.alias("temperature"), F.lit(65.5).alias("pressure"),
@@ -181,8 +186,8 @@ def control_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics as messages; some have an empty machine name or a temperature above 1000."""
-    rows = press_messages(spark, sf_dir)
-    name = F.when(props_k() < 3, "").otherwise(F.col("device_id"))
+    rows = press_messages(spark, sf_dir).withColumn("k", props_k())
+    name = F.when(F.col("k") < 3, "").otherwise(F.col("device_id"))
     body = add_header(_json(name.alias("mc_name"), (F.col("value") * 4).alias("temp"),
                             (F.col("value") + 100).alias("pressure")), F.lit(4).cast("long"))
     return raw_messages(rows, body, "machine-events", F.col("seq"), F.timestamp_millis("timestamp"))

@@ -25,6 +25,7 @@ from trackline.operators.decode import dead_letters, decode, good_records, union
 from trackline.operators.rules import attach_latest, checked_values
 from trackline.operators.slices import MAX_ROWS, plan_slices
 from trackline.sources import contracts
+from trackline.sources.messages import EARLIEST, LATEST, message_stream
 from trackline.sources.sinks import write_batch
 from trackline.streaming.state import StateTable
 
@@ -82,8 +83,7 @@ class Monitor:
 
     def _cycles(self, spark, timeline, touched, plan, batch_id) -> None:
         state = StateTable(f"{self.state_dir}/devices", ("device_id",), self.full_every)
-        before = state.before(spark, batch_id)
-        carry = before.join(touched, "device_id", "left_semi") if before is not None else None
+        carry = state.before(spark, batch_id, touched)
         tracked = cycles.track(timeline, plan, carry.drop("last_timestamp") if carry is not None else None).persist()
         try:
             rows = cycles.enriched_rows(tracked)
@@ -100,25 +100,31 @@ class Monitor:
                         f"{self.out_dir}/readings", batch_id, ["machine_type"])
             faults = cycles.incomplete_tracks(tracked).withColumn("document", incomplete_document())
             write_batch(faults, f"{self.out_dir}/incomplete", batch_id)
-            state.write(batch_id, after, before)
+            state.write(batch_id, after)
         finally:
             tracked.unpersist()
 
     def _alerts(self, spark, timeline, touched, plan, batch_id) -> None:
         state = StateTable(f"{self.state_dir}/series", spc.SERIES, self.full_every)
-        before = state.before(spark, batch_id)
-        carry = None
-        if before is not None:
-            carry = spc.unpack_tails(before.join(touched, "device_id", "left_semi"))
+        packed = state.before(spark, batch_id, touched)
+        carry = spc.unpack_tails(packed) if packed is not None else None
         readings = timeline.filter("ev IS NULL").drop("ev", "kind_rank")
         checked = checked_values(attach_latest(by_device(readings, plan), self.rule_log(spark))).persist()
         try:
             write_batch(alerts(checked, plan, carry), f"{self.out_dir}/alerts", batch_id)
             tails = spc.pack_tails(spc.closing_tail(checked, carry))
-            state.write(batch_id, tails, before)
+            state.write(batch_id, tails)
         finally:
             checked.unpersist()
 
+    def messages(self, spark: SparkSession, **source: str) -> DataFrame:
+        """The feeds as one stream: readings from now on, events from the beginning.
+
+        Events are read from the earliest one so that a cycle opened before the start is known.
+        """
+        telemetry = message_stream(spark, list(self.families), LATEST, **source)
+        return telemetry.unionByName(message_stream(spark, [self.context_topic], EARLIEST, **source))
+
     def start(self, messages: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Run on a stream of messages, e.g. `availableNow=True` or `processingTime="10 seconds"`."""
         writer = messages.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)

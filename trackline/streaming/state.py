@@ -23,21 +23,25 @@ class StateTable:
     keys: tuple[str, ...]
     full_every: int = FULL_EVERY
 
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The state the batch starts from; None for the first one."""
+    def before(self, spark: SparkSession, batch_id: int, touched: DataFrame | None = None) -> DataFrame | None:
+        """The state the batch starts from, or that of the `touched` devices; None for the first batch."""
         if batch_id == 0:
             return None
         full = (batch_id - 1) // self.full_every * self.full_every
         paths = [batch_folder(self.folder, i) for i in range(full, batch_id)]
         rows = spark.read.option("basePath", self.folder).parquet(*paths)
+        if touched is not None:
+            rows = rows.join(touched, touched.columns, "left_semi")
         if len(paths) == 1:
             return rows.drop("batch")
         rest = [c for c in rows.columns if c not in (*self.keys, "batch")]
         newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "batch").alias("s"))
         return newest.select(*self.keys, "s.*")
 
-    def write(self, batch_id: int, touched: DataFrame, before: DataFrame | None) -> None:
+    def write(self, batch_id: int, touched: DataFrame) -> None:
+        """Store the new state of the touched keys, and of all others when a full batch is due."""
         rows = touched
-        if before is not None and batch_id % self.full_every == 0:
-            rows = touched.unionByName(before.join(touched.select(*self.keys), list(self.keys), "left_anti"))
+        if batch_id and batch_id % self.full_every == 0:
+            others = self.before(touched.sparkSession, batch_id)
+            rows = touched.unionByName(others.join(touched.select(*self.keys), list(self.keys), "left_anti"))
         rows.write.mode("overwrite").parquet(batch_folder(self.folder, batch_id))
