@@ -112,6 +112,35 @@ def test_numeric_fields_and_tags(spark):
     assert type_tag(T.BinaryType()) is None and type_tag(T.ArrayType(T.LongType())) is None
 
 
+def test_unusable_rules_go_to_the_dead_letters(spark):
+    rule = {"machine_type": "Press-A", "version": "v1", "max_vibration": 5.5}
+    frame = feed(spark, json.dumps(rule).encode(), b"no rule", json.dumps({**rule, "machine_type": None}).encode(),
+                 None, json.dumps({**rule, "version": "v2"}).encode())
+    decoded = dec.decode_rule_log(frame, contracts.CONTROL)
+    latest = rules.latest_rules(dec.rule_records(decoded)).collect()
+    assert [(r.version, r.offset) for r in latest] == [("v2", 4)]
+    assert {(r.offset, r.error) for r in dec.dead_letters(decoded, "c").collect()} == {
+        (1, "undecodable"), (2, "missing_required_field")}
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, sf_dir):
+    from trackline.sources import fleet
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    ours = fleet.press_messages(spark, sf_dir).agg(F.sum("timestamp")).first()
+    assert fleet.press_messages(other, sf_dir).agg(F.sum("timestamp")).first() == ours
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from trackline.session import shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_dir(spark)
+    assert folder == (configured or spark.sparkContext.getCheckpointDir())
+    assert shared_dir(spark) == folder
+
+
 def test_contract_from_avro_schema():
     text = json.dumps({"type": "record", "name": "X", "fields": [
         {"name": "a", "type": "string"}, {"name": "b", "type": ["null", "long"]},

@@ -78,6 +78,17 @@ def good_records(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("error").isNull()).select("record.*", F.col("offset").alias("seq"))
 
 
+def decode_rule_log(messages: DataFrame, contract: T.StructType) -> DataFrame:
+    """Limit records of a control topic, decoded; what cannot be used goes to the dead letters, not to the rules."""
+    return decode(messages, contract, ["machine_type"])
+
+
+def rule_records(decoded: DataFrame) -> DataFrame:
+    """The usable limit records as a rule log; the message time is the log time."""
+    good = decoded.filter(F.col("error").isNull())
+    return good.select("record.*", "offset", F.unix_millis("timestamp").alias("log_time"))
+
+
 def dead_letters(decoded: DataFrame, source: str) -> DataFrame:
     """Bad messages with their unchanged bytes, a readable form and the reason."""
     return decoded.filter(F.col("error").isNotNull()).select(

@@ -126,14 +126,42 @@ def context_decode(spark, sf_dir):
     return dec.good_records(decoded)
 
 
+# Nations 20-22 send unusable limit records (see fleet.control_messages).
+_USABLE = "(SELECT r.* FROM rule_long r JOIN supplier s ON r.\"offset\" = s.s_suppkey WHERE s.s_nationkey NOT IN (20, 21, 22))"
+
+
+def _decoded_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dec.decode_rule_log(fleet.control_messages(spark, sf_dir), contracts.CONTROL)
+
+
 @CATALOGUE.add("control_decode", f"""
 WITH {RULE_LOG}
-SELECT machine_type, version, rule_profile, measurement, upper, lower FROM rule_long
+SELECT machine_type, version, rule_profile, measurement, upper, lower FROM {_USABLE} AS u
 WHERE upper IS NOT NULL OR lower IS NOT NULL""")
 def control_decode(spark, sf_dir):
-    """Limit records from messages to long form; only decodable ones count as rules."""
-    decoded = dec.decode(fleet.control_messages(spark, sf_dir), contracts.CONTROL, ["machine_type"])
-    return rules.rules_long(dec.good_records(decoded))
+    """Limit records from messages to long form; only usable ones count as rules."""
+    return rules.rules_long(dec.rule_records(_decoded_rules(spark, sf_dir)))
+
+
+@CATALOGUE.add("control_latest", f"""
+WITH {RULE_LOG}, usable AS {_USABLE}
+SELECT u.machine_type, u.version, u.log_time, u.measurement, u.upper, u.lower
+FROM usable u JOIN (SELECT machine_type, MAX("offset") AS newest FROM usable GROUP BY 1) n
+  ON u.machine_type = n.machine_type AND u."offset" = n.newest
+WHERE u.upper IS NOT NULL OR u.lower IS NOT NULL""")
+def control_latest(spark, sf_dir):
+    """Rules in force after reading the whole control topic: unusable records replace nothing."""
+    latest = rules.latest_rules(dec.rule_records(_decoded_rules(spark, sf_dir)))
+    return latest.select("machine_type", "version", "log_time", F.inline(rules.limits_array(latest.schema)))
+
+
+@CATALOGUE.add("control_dead_letters", """
+SELECT s_suppkey AS "offset", 'machine-control' AS source,
+       CASE WHEN s_nationkey = 22 THEN 'missing_required_field' ELSE 'undecodable' END AS error
+FROM supplier WHERE s_nationkey IN (20, 21, 22)""")
+def control_dead_letters(spark, sf_dir):
+    letters = dec.dead_letters(_decoded_rules(spark, sf_dir), "machine-control")
+    return letters.select("offset", "source", "error")
 
 
 @CATALOGUE.add("metric_decode", f"""

@@ -79,3 +79,23 @@ WHERE event_type IN ('click', 'view') AND (k < 5 OR (k >= 13 AND k < 23))""")
 def stream_dead_letters(spark, sf_dir):
     rows = sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/dead_letters")
     return rows.select("offset", "source", "error")
+
+
+@CATALOGUE.add("outgoing_messages", f"""
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")},
+bad AS (SELECT COUNT(*) AS n FROM press WHERE event_type IN ('click', 'view') AND (k < 5 OR (k >= 13 AND k < 23)))
+SELECT 'machine-incomplete-track' AS topic, reason AS kind, COUNT(*) AS messages, COUNT(DISTINCT device_id) AS keys
+FROM incomplete GROUP BY reason
+UNION ALL SELECT 'machine-DLQ', 'telemetry', n, 0 FROM bad""")
+def outgoing_messages(spark, sf_dir):
+    """Incomplete tracks and dead letters as broker messages, counted by topic and kind."""
+    out = run_monitor(spark, sf_dir)
+    faults = sinks.as_messages(sinks.read_table(spark, f"{out}/incomplete"), sinks.INCOMPLETE_TOPIC,
+                               F.col("document"), F.col("device_id"))
+    letters = sinks.as_messages(sinks.read_table(spark, f"{out}/dead_letters"), sinks.DEAD_LETTER_TOPIC,
+                                F.col("raw_text"))
+    kind = F.coalesce(F.get_json_object("value", "$.reason"), F.lit("telemetry"))
+    # keys first, so that no group has to hold all of its keys at once
+    per_key = faults.unionByName(letters).groupBy("topic", kind.alias("kind"), "key").agg(
+        F.count(F.lit(1)).alias("n"))
+    return per_key.groupBy("topic", "kind").agg(F.sum("n").alias("messages"), F.count("key").alias("keys"))

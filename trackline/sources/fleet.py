@@ -109,8 +109,8 @@ def lathe_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published limit records of the two press types, one every six hours."""
+def rule_log(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Published limit records of the two press types, one every six hours; `extra` adds table columns."""
     key = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(
         key.alias("offset"),
@@ -124,6 +124,7 @@ def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(75.0).alias("max_pressure"),
         F.when(F.col("s_nationkey") % 2 == 0, "HIGH_PRECISION_STRICT")
         .otherwise("STANDARD_HEAVY_DUTY").alias("rule_profile"),
+        *extra,
     )
 
 
@@ -177,11 +178,15 @@ def context_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Limit records as messages."""
-    rows = rule_log(spark, sf_dir)
-    fields = [c for c in rows.columns if c not in ("offset", "log_time")]
-    body = add_header(_json(*[F.col(f) for f in fields]), F.lit(3).cast("long"))
-    return raw_messages(rows, body, "machine-control", F.col("offset"), F.timestamp_millis("log_time"))
+    """Limit records as messages: nations 20-21 send no record, nation 22 one without a machine type."""
+    rows = rule_log(spark, sf_dir, "s_nationkey")
+    nation = F.col("s_nationkey")
+    kept = F.when(nation != 22, F.col("machine_type")).alias("machine_type")
+    fields = [c for c in rows.columns if c not in ("offset", "log_time", "machine_type", "s_nationkey")]
+    body = F.when(nation.isin(20, 21), F.lit(b"This is not a record")).otherwise(
+        _json(kept, *[F.col(f) for f in fields]))
+    return raw_messages(rows, add_header(body, F.lit(3).cast("long")), "machine-control", F.col("offset"),
+                        F.timestamp_millis("log_time"))
 
 
 def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

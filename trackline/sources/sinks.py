@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The topics of the outgoing feeds.
+ALERT_TOPIC = "machine-alerts"
+INCOMPLETE_TOPIC = "machine-incomplete-track"
+DEAD_LETTER_TOPIC = "machine-DLQ"
+
 
 def batch_folder(table: str, batch_id: int) -> str:
     return f"{table}/batch={batch_id}"
@@ -32,6 +37,11 @@ def as_messages(rows: DataFrame, topic: str, value: Column, key: Column | None =
                        value.cast("string").alias("value"), F.lit(topic).alias("topic"))
 
 
+def send(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
+    """Hand messages to a broker, which delivers them at least once."""
+    messages.write.format(fmt).options(**options).mode("append").save()
+
+
 def write_text(lines: DataFrame, table: str, batch_id: int) -> None:
     """One text column, one line per row."""
     lines.select("value").write.mode("overwrite").text(batch_folder(table, batch_id))
