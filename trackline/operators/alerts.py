@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.encode import alert_document
@@ -15,23 +15,23 @@ LIMIT_BREACH = "limit_breach"
 SPC_RULE = "spc_rule"
 
 
-def _findings() -> Column:
+def _with_findings(evaluated: DataFrame) -> DataFrame:
     """Everything found on one checked value, in one array of equal structs."""
-    breaches = F.transform(breached_sides(), lambda b: F.struct(
-        F.lit(LIMIT_BREACH).alias("alert_type"), b.limit_type.alias("limit_type"), b.limit_value.alias("limit_value"),
-        F.lit(None).cast("int").alias("rule_number"), F.lit(None).cast("string").alias("rule_description")))
-    zone = F.transform(fired_rules(), lambda v: F.struct(
-        F.lit(SPC_RULE).alias("alert_type"), F.lit(None).cast("string").alias("limit_type"),
-        F.lit(None).cast("double").alias("limit_value"), v.rule_number.alias("rule_number"),
-        v.rule_description.alias("rule_description")))
-    return F.concat(breaches, zone)
+    breaches = f"""transform(_sides, b -> named_struct(
+        'alert_type', '{LIMIT_BREACH}', 'limit_type', b.limit_type, 'limit_value', b.limit_value,
+        'rule_number', int(NULL), 'rule_description', string(NULL)))"""
+    zone = f"""transform(_fired, v -> named_struct(
+        'alert_type', '{SPC_RULE}', 'limit_type', string(NULL), 'limit_value', double(NULL),
+        'rule_number', v.rule_number, 'rule_description', v.rule_description))"""
+    marked = evaluated.withColumns({"_sides": breached_sides(), "_fired": fired_rules()})
+    return marked.withColumn("_findings", F.expr(f"concat({breaches}, {zone})"))
 
 
 def alerts(checked: DataFrame, plan: SlicePlan | None = None, carry: DataFrame | None = None) -> DataFrame:
     """All alerts of checked values (see `rules.checked_values`), each with its JSON document."""
-    found = evaluate(checked, plan, carry).select(
+    found = _with_findings(evaluate(checked, plan, carry)).select(
         "device_id", "timestamp", "seq", "measurement", "value", "rule_profile", "rule_version",
-        F.inline(_findings()))
+        F.inline("_findings"))
     breach = F.col("alert_type") == LIMIT_BREACH
     return found.withColumns({
         "rule_profile": F.when(breach, F.col("rule_profile")),

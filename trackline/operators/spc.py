@@ -10,9 +10,6 @@ latest 15 values comes from lags, which cost one row access each.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,55 +134,52 @@ def evaluate(values: DataFrame, plan: SlicePlan | None = None, carry: DataFrame
         "mean": F.coalesce("_mean", F.lit(0.0)),
         "sd": F.when(F.col("_hi") > F.col("_lo"), F.coalesce("_sd", F.lit(0.0))).otherwise(F.lit(0.0)),
     })
-    ready = (F.col("n") >= MIN_POINTS) & (F.col("sd") > 0)
-    last = [F.col("value"), *[F.col(v) for v in lags]]
-    out = out.withColumns({f"rule_{number}": ready & test for number, test in _tests(last).items()})
+    ready = f"n >= {MIN_POINTS} AND sd > 0"
+    last = ["value", *lags]
+    out = out.withColumns({f"rule_{number}": F.expr(f"{ready} AND ({test})") for number, test in _tests(last).items()})
     if seeds is not None:
         out = out.filter("phase = 1")
     return out.drop("_mean", "_sd", "_lo", "_hi", *lags, "phase", "slice")
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(and_, conditions)
-
+def _tests(last: list[str]) -> dict[int, str]:
+    """The eight rules as SQL over the names of the latest values, newest first.
 
-def _tests(last: list[Column]) -> dict[int, Column]:
-    """The eight rules over the latest values, newest first."""
-    mean, sd = F.col("mean"), F.col("sd")
-    steps = [last[k] - last[k + 1] for k in range(len(last) - 1)]
+    Text keeps the conditions short to read, and each is one call to the JVM instead of hundreds.
+    """
+    steps = [f"({a} - {b})" for a, b in zip(last, last[1:])]
 
-    def above(width: int) -> Column:
-        return mean + width * sd
+    def above(value: str, width: int) -> str:
+        return f"{value} > mean + {width} * sd"
 
-    def below(width: int) -> Column:
-        return mean - width * sd
+    def below(value: str, width: int) -> str:
+        return f"{value} < mean - {width} * sd"
 
-    def count(points: list[Column], test) -> Column:
-        return reduce(lambda a, b: a + b, [test(p).cast("int") for p in points])
+    def every(conditions: list[str]) -> str:
+        return " AND ".join(f"({c})" for c in conditions)
 
-    def beyond(points: int, needed: int, width: int) -> Column:
-        return (count(last[:points], lambda v: v > above(width)) >= needed) | (
-            count(last[:points], lambda v: v < below(width)) >= needed)
+    def beyond(points: int, needed: int, width: int) -> str:
+        sides = [" + ".join(f"int({side(v, width)})" for v in last[:points]) for side in (above, below)]
+        return " OR ".join(f"{count} >= {needed}" for count in sides)
 
+    nine, fifteen = ", ".join(last[:9]), ", ".join(last[:15])
     return {
-        1: (last[0] > above(3)) | (last[0] < below(3)),
-        2: (F.least(*last[:9]) > mean) | (F.greatest(*last[:9]) < mean),
-        3: _all([s > 0 for s in steps[:5]]) | _all([s < 0 for s in steps[:5]]),
-        4: _all([((a > 0) & (b < 0)) | ((a < 0) & (b > 0)) for a, b in zip(steps[:12], steps[1:13])]),
+        1: f"{above('value', 3)} OR {below('value', 3)}",
+        2: f"least({nine}) > mean OR greatest({nine}) < mean",
+        3: f"({every([f'{s} > 0' for s in steps[:5]])}) OR ({every([f'{s} < 0' for s in steps[:5]])})",
+        4: every([f"({a} > 0 AND {b} < 0) OR ({a} < 0 AND {b} > 0)" for a, b in zip(steps[:12], steps[1:13])]),
         5: beyond(3, 2, 2),
         6: beyond(5, 4, 1),
-        7: (F.greatest(*last[:15]) <= above(1)) & (F.least(*last[:15]) >= below(1)),
-        8: _all([(v > above(1)) | (v < below(1)) for v in last[:8]]),
+        7: f"greatest({fifteen}) <= mean + sd AND least({fifteen}) >= mean - sd",
+        8: every([f"{v} > mean + sd OR {v} < mean - sd" for v in last[:8]]),
     }
 
 
 def fired_rules() -> Column:
     """The rules that fired on an evaluated value, with their texts."""
-    return F.array_compact(F.array(*[
-        F.when(F.col(f"rule_{number}"),
-               F.struct(F.lit(number).alias("rule_number"), F.lit(text).alias("rule_description")))
-        for number, text in RULES.items()
-    ]))
+    cases = [f"CASE WHEN rule_{number} THEN named_struct('rule_number', {number}, 'rule_description', '{text}') END"
+             for number, text in RULES.items()]
+    return F.expr(f"array_compact(array({', '.join(cases)}))")
 
 
 def violations(evaluated: DataFrame) -> DataFrame:
