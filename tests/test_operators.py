@@ -241,7 +241,7 @@ def test_defaults_without_a_document(spark):
     rows = spark.createDataFrame([(None, 40.0, None, 0, 0), ("m", 40.1, 120.1, 1, 1)],
                                  "mc_name string, temp double, pressure double, seq long, timestamp long")
     checked = metrics.check_metrics(rows, metrics.current_limits(empty))
-    log = metrics.latest_lines(metrics.metric_log(checked)).collect()
+    log = metrics.latest_lines(checked).collect()
     assert [r.seq for r in log] == [1, 0]
     assert log[1].line == ("\U0001F4E5 Telemetry Logged [Offset 0][Config v.unknown]: Unknown-Machine is normal "
                            "(40.0°C, 0.0 PSI).")

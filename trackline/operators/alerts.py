@@ -6,32 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.encode import alert_document
-from trackline.operators.limits import breached_sides
 from trackline.operators.rules import attach_latest, checked_values
 from trackline.operators.slices import SlicePlan, partition_columns
-from trackline.operators.spc import evaluate, fired_rules
+from trackline.operators.spc import RULES, evaluate
 
 LIMIT_BREACH = "limit_breach"
 SPC_RULE = "spc_rule"
 
 
-def _with_findings(evaluated: DataFrame) -> DataFrame:
-    """Everything found on one checked value, in one array of equal structs."""
-    breaches = f"""transform(_sides, b -> named_struct(
-        'alert_type', '{LIMIT_BREACH}', 'limit_type', b.limit_type, 'limit_value', b.limit_value,
-        'rule_number', int(NULL), 'rule_description', string(NULL)))"""
-    zone = f"""transform(_fired, v -> named_struct(
-        'alert_type', '{SPC_RULE}', 'limit_type', string(NULL), 'limit_value', double(NULL),
-        'rule_number', v.rule_number, 'rule_description', v.rule_description))"""
-    marked = evaluated.withColumns({"_sides": breached_sides(), "_fired": fired_rules()})
-    return marked.withColumn("_findings", F.expr(f"concat({breaches}, {zone})"))
+def _findings() -> str:
+    """One entry per possible finding on a checked value, null where there is none."""
+    def finding(condition: str, kind: str, limit: str = "NULL", number: str = "NULL", text: str = "NULL") -> str:
+        return (f"CASE WHEN {condition} THEN named_struct('alert_type', '{kind}', "
+                f"'limit_type', string({repr(limit) if limit != 'NULL' else limit}), 'limit_value', double({limit}), "
+                f"'rule_number', int({number}), 'rule_description', string({text})) END")
+
+    sides = [finding("value > upper", LIMIT_BREACH, "upper"), finding("value < lower", LIMIT_BREACH, "lower")]
+    zone = [finding(f"rule_{n}", SPC_RULE, number=str(n), text=f"'{text}'") for n, text in RULES.items()]
+    return f"inline(array({', '.join(sides + zone)}))"
 
 
 def alerts(checked: DataFrame, plan: SlicePlan | None = None, carry: DataFrame | None = None) -> DataFrame:
     """All alerts of checked values (see `rules.checked_values`), each with its JSON document."""
-    found = _with_findings(evaluate(checked, plan, carry)).select(
+    found = evaluate(checked, plan, carry).select(
         "device_id", "timestamp", "seq", "measurement", "value", "rule_profile", "rule_version",
-        F.inline("_findings"))
+        F.expr(_findings())).filter("alert_type IS NOT NULL")
     breach = F.col("alert_type") == LIMIT_BREACH
     return found.withColumns({
         "rule_profile": F.when(breach, F.col("rule_profile")),

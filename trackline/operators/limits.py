@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def breached_sides() -> Column:
-    """The breached limits of a checked value; one value may breach both."""
-    def side(name: str, breached: Column) -> Column:
-        return F.when(breached, F.struct(F.lit(name).alias("limit_type"), F.col(name).alias("limit_value")))
-
-    return F.array_compact(F.array(
-        side("upper", F.col("value") > F.col("upper")), side("lower", F.col("value") < F.col("lower"))))
-
-
 def limit_breaches(checked: DataFrame) -> DataFrame:
-    """One row per breached limit."""
+    """One row per breached limit; one value may breach both."""
+    sides = """inline(array(
+        CASE WHEN value > upper THEN named_struct('limit_type', 'upper', 'limit_value', upper) END,
+        CASE WHEN value < lower THEN named_struct('limit_type', 'lower', 'limit_value', lower) END))"""
     return checked.filter("value > upper OR value < lower").select(
-        "device_id", "timestamp", "seq", "measurement", "value", F.inline(breached_sides()),
-        "rule_profile", "rule_version")
+        "device_id", "timestamp", "seq", "measurement", "value", F.expr(sides), "rule_profile", "rule_version"
+    ).filter("limit_type IS NOT NULL")

@@ -73,13 +73,15 @@ def current_limits(documents: DataFrame) -> DataFrame:
 def check_metrics(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     """Round, default and compare each metric; the limits come in as a scalar subquery."""
     current = limits.select(F.struct("fingerprint", "temp_max", "pressure_max")).scalar()
+    # Rounded inside a generator, so that filters on the outcome do not round again.
+    rounded = F.inline(F.array(F.struct(
+        F.coalesce("mc_name", F.lit("Unknown-Machine")).alias("mc_name"),
+        round_one_decimal(F.coalesce("temp", F.lit(0.0))).alias("temp"),
+        round_one_decimal(F.coalesce("pressure", F.lit(0.0))).alias("pressure"))))
+    others = [c for c in metrics.columns if c not in ("mc_name", "temp", "pressure")]
     return (
-        metrics.withColumns({
-            "mc_name": F.coalesce("mc_name", F.lit("Unknown-Machine")),
-            "temp": round_one_decimal(F.coalesce("temp", F.lit(0.0))),
-            "pressure": round_one_decimal(F.coalesce("pressure", F.lit(0.0))),
-            "_limits": current,
-        })
+        metrics.select(rounded, *others)
+        .withColumn("_limits", current)
         .withColumns({
             "temp_max": F.col("_limits.temp_max"),
             "pressure_max": F.col("_limits.pressure_max"),
@@ -132,9 +134,13 @@ def metric_log(checked: DataFrame, clock: Column | None = None) -> DataFrame:
     return checked.withColumn("line", line)
 
 
-def latest_lines(log: DataFrame, count: int = 30) -> DataFrame:
-    """The newest log lines, newest first: a top-k, each task passes on at most `count` rows."""
-    return log.orderBy(F.desc("timestamp"), F.desc("seq")).limit(count)
+def latest_lines(checked: DataFrame, count: int = 30) -> DataFrame:
+    """The newest log lines, newest first: a top-k, each task passes on at most `count` rows.
+
+    Texts are made for these rows only.
+    """
+    newest = checked.orderBy(F.desc("timestamp"), F.desc("seq")).limit(count)
+    return metric_log(newest).orderBy(F.desc("timestamp"), F.desc("seq"))
 
 
 def line_protocol(checked: DataFrame) -> DataFrame:

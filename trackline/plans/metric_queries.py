@@ -125,8 +125,7 @@ def metric_log(spark, sf_dir):
 @CATALOGUE.add("metric_latest30", f"""
 WITH {_METRICS} SELECT timestamp, seq, line FROM lines ORDER BY timestamp DESC, seq DESC LIMIT 30""")
 def metric_latest30(spark, sf_dir):
-    log = metrics.metric_log(checked_metrics(spark, sf_dir))
-    return metrics.latest_lines(log.select("timestamp", "seq", "line"))
+    return metrics.latest_lines(checked_metrics(spark, sf_dir)).select("timestamp", "seq", "line")
 
 
 @CATALOGUE.add("line_protocol", f"""
