@@ -189,15 +189,52 @@ def test_breaches_are_strict_and_skip_missing_values(spark):
 # slices
 
 def test_slices_cover_a_burst(spark):
-    rows = [("hot", t) for t in range(100)] + [("hot", 5_000 + t % 10) for t in range(1000)] + [("cold", 1)]
+    """A third of all rows of the hot key within one second of a year, and some at one millisecond."""
+    rng = random.Random(8)
+    year = 365 * 86_400_000
+    times = [rng.randrange(year) for _ in range(600)] + [7_000_000 + rng.randrange(1000) for _ in range(300)]
+    rows = [("hot", t) for t in times] + [("hot", 9_000_000)] * 120 + [("cold", 1)]
     frame = spark.createDataFrame(rows, "device_id string, timestamp long")
-    plan = plan_slices(frame, 100)
-    sizes = {(r.device_id, r.slice): r["count"] for r in plan.assign(frame).groupBy("device_id", "slice").count().collect()}
-    assert sum(sizes.values()) == len(rows) and sizes["cold", 0] == 1
-    assert plan.hot_keys == 1 and len(sizes) > 2
+    plan = plan_slices(frame, 50)
+    assert plan.hot_keys == 1 and len(plan.grids) > 1
+    placed = [(r.device_id, r.timestamp, r.slice) for r in plan.assign(frame).collect()]
+    assert len(placed) == len(rows)
+    assert [s for d, _, s in placed if d == "cold"] == [0]
+    hot = sorted((t, s) for d, t, s in placed if d == "hot")
+    assert [s for _, s in hot] == sorted(s for _, s in hot)  # slices follow time
+    sizes: dict[int, int] = {}
+    for t, s in hot:
+        if t != 9_000_000:  # rows of one millisecond stay together
+            sizes[s] = sizes.get(s, 0) + 1
+    assert max(sizes.values()) <= 50 + 10
+    listed = {r.slice for r in plan.slice_list().collect()}
+    assert {s for _, s in hot} <= listed
     assert plan_slices(frame, 10_000) is None
 
 
+def test_bursts_do_not_change_results(spark):
+    from fixtures import event_frame
+    from trackline.operators import cycles
+
+    items = random_messages(12, 300, 2)
+    for m in items:
+        if 100 <= m["seq"] < 250:
+            m["timestamp"] = items[100]["timestamp"] + (m["seq"] - 100) // 3
+        elif m["seq"] >= 250:
+            m["timestamp"] += 10_000_000
+    line = cycles.build_timeline(reading_frame(spark, items), event_frame(spark, items))
+    plan = plan_slices(line, 12)
+    assert len(plan.grids) > 1
+    whole, sliced = (cycles.enriched_rows(cycles.track(line, p)) for p in (None, plan))
+    assert whole.exceptAll(sliced).count() == 0 and whole.count() == sliced.count()
+    values = reading_frame(spark, items).select(
+        "device_id", F.lit("m").alias("measurement"), "timestamp", "seq", F.col("vibration").alias("value"))
+    from trackline.operators import spc
+
+    whole, sliced = spc.evaluate(values), spc.evaluate(plan.assign(values), plan)
+    assert whole.exceptAll(sliced).count() == 0 and whole.count() == sliced.count()
+
+
 @pytest.mark.parametrize("max_rows", [3, 20, 10_000])
 def test_carry_forward(spark, max_rows):
     rng = random.Random(6)

@@ -73,12 +73,15 @@ class Monitor:
 
         readings = union_families(*[good_records(d) for d in decoded.values()])
         timeline = cycles.build_timeline(readings, good_records(context)).persist()
+        plan = None
         try:
             touched = timeline.select("device_id").distinct()
             plan = plan_slices(timeline, self.max_rows)
             self._cycles(spark, timeline, touched, plan, batch_id)
             self._alerts(spark, timeline, touched, plan, batch_id)
         finally:
+            if plan is not None:
+                plan.release()
             timeline.unpersist()
 
     def _cycles(self, spark, timeline, touched, plan, batch_id) -> None:
