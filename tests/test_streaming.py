@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,37 @@ def test_as_of_rules_follow_log_time(spark):
         ruled = rules.attach_as_of(readings, rule_frame(spark, log), max_rows)
         assert sorted((r.timestamp, r.rule.version) for r in ruled.collect()) == [
             (100, "v1"), (150, "v1"), (200, "v2"), (250, "v2")]
+
+
+def test_a_batch_without_good_messages(spark, tmp_path):
+    monitor = fresh_monitor(spark, tmp_path)
+    bad = spark.createDataFrame([(None, b"no record", "machine-telemetry", 0, 900, None)], sources.MESSAGE_SCHEMA)
+    monitor.process(bad, 0)
+    items = golden_messages()
+    monitor.process(as_feed(spark, items), 1)
+    assert rows_of(sinks.read_table(spark, f"{tmp_path}/out/readings")) == expected(items)[0]
+    assert sinks.read_table(spark, f"{tmp_path}/out/dead_letters").count() == 1
+
+
+def test_readings_start_at_the_latest_message_and_events_at_the_earliest(spark, tmp_path):
+    """A cycle opened before the start is known; readings sent before it are not read."""
+    feed = f"{tmp_path}/feed"
+    items = golden_messages()
+    as_feed(spark, items[:7]).coalesce(1).write.parquet(feed)  # three readings, TRACK_IN, three readings
+    monitor = fresh_monitor(spark, tmp_path)
+    start = datetime.fromtimestamp(items[5]["timestamp"] / 1000, UTC)
+    stream = monitor.messages(spark, since=start, fmt="parquet", path=feed)
+    query = monitor.start(stream, f"{tmp_path}/checkpoint", availableNow=True)
+    query.awaitTermination(120)
+    assert query.exception() is None
+    rows = sinks.read_table(spark, f"{tmp_path}/out/readings").orderBy("timestamp").collect()
+    assert [(r.context_event, r.run_id, r.data_point_count) for r in rows] == [
+        ("TRACK_IN", "RUN-1", 0), (None, "RUN-1", 1), (None, "RUN-1", 2)]
+
+
+def test_outgoing_message_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("d-1", "{}")], "device_id string, document string")
+    out = sinks.as_messages(rows, sinks.ALERT_TOPIC, F.col("document"), F.col("device_id"))
+    assert out.columns == ["key", "value", "topic"] and tuple(out.first()) == ("d-1", "{}", "machine-alerts")
+    sinks.send(out, fmt="json", path=f"{tmp_path}/sent")
+    assert spark.read.json(f"{tmp_path}/sent").count() == 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest table that may be copied to every executor.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def build_session(app: str = "trackline", master: str | None = None, shuffle_partitions: int | None = None,

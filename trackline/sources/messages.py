@@ -23,18 +23,20 @@ def _configured(reader, topics: list[str], fmt: str, starting: str, options: dic
 
 
 def message_stream(spark: SparkSession, topics: list[str], starting: str, *, fmt: str = "kafka", path: str | None = None,
-                   **options: str) -> DataFrame:
+                   since: datetime | None = None, **options: str) -> DataFrame:
     """Messages of some topics as a stream.
 
     Sensor feeds start at the latest message; feeds that hold state (events, rules) at the
-    earliest one, so that a cycle opened before the start is known. For files, `latest` skips
-    those that exist already.
+    earliest one, so that a cycle opened before the start is known. A broker keeps its place in
+    the checkpoint. Files have no such place: `latest` drops messages older than `since`
+    (default: now), which a restarted stream must be given again.
     """
-    if fmt != "kafka" and starting == LATEST:
-        options.setdefault("modifiedAfter", datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S"))
     reader = _configured(spark.readStream, topics, fmt, starting, options)
-    rows = reader.load(path) if path else reader.load()
-    return rows.filter(F.col("topic").isin(topics)).select(*COLUMNS)
+    rows = (reader.load(path) if path else reader.load()).filter(F.col("topic").isin(topics))
+    if fmt != "kafka" and starting == LATEST:
+        start = since or datetime.now(UTC)
+        rows = rows.filter(F.col("timestamp") >= F.timestamp_micros(F.lit(int(start.timestamp() * 1_000_000))))
+    return rows.select(*COLUMNS)
 
 
 def message_batch(spark: SparkSession, topics: list[str], *, fmt: str = "kafka", path: str | None = None,

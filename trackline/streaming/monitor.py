@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,12 +121,12 @@ class Monitor:
         finally:
             checked.unpersist()
 
-    def messages(self, spark: SparkSession, **source: str) -> DataFrame:
-        """The feeds as one stream: readings from now on, events from the beginning.
+    def messages(self, spark: SparkSession, since: datetime | None = None, **source: str) -> DataFrame:
+        """The feeds as one stream: readings from now on (for files: `since`), events from the beginning.
 
         Events are read from the earliest one so that a cycle opened before the start is known.
         """
-        telemetry = message_stream(spark, list(self.families), LATEST, **source)
+        telemetry = message_stream(spark, list(self.families), LATEST, since=since, **source)
         return telemetry.unionByName(message_stream(spark, [self.context_topic], EARLIEST, **source))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
