@@ -9,6 +9,8 @@ import __spark_entry__ as contract
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 SQL = contract.oracle_sql()
+# Each of these runs the whole stream monitor; tools/check_queries.py compares them all.
+SLOW = ("stream_incomplete", "stream_alerts", "stream_dead_letters", "outgoing_messages")
 QUICK = ("cycle_enrich", "incomplete_tracks", "alerts", "decoded_readings", "metric_log", "control_changes")
 
 
@@ -24,7 +26,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(SLOW)))
 def test_columns_match(spark, con, sf_dir, name):
     if name not in SQL:
         pytest.skip("no SQL counterpart")
