@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackline.llm import op6_line_dedup as op6
+from trackline.llm import op7_warc as op7
 from trackline.llm import op10_quality_rules as op10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_line_dedup": op6.op6_line_dedup,
+    "op7_warc": op7.op7_warc,
     "op10_quality_rules": op10.op10_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op6_line_dedup": op6.SQL,
+    "op7_warc": op7.SQL,
     "op10_quality_rules": op10.SQL,
 }
