@@ -16,6 +16,8 @@ from trackline.session import shared_dir
 
 #: Characters between words, everywhere in this package.
 SPACE = " \t\n\x0b\x0c\r"
+#: Whether each code point below 0xC0 ends a plain word; the last entry stands for all from 0xC0 on.
+PUNCTUATION = np.array([not chr(c).isalnum() for c in range(0xC0)] + [False])
 _SCRATCH: dict[str, str] = {}
 
 
@@ -85,16 +87,21 @@ class Words:
     """The words of some whole texts as arrays: where each starts and ends, whose it is, and a number for it.
 
     Words are runs of characters outside SPACE; null and empty texts have none. The texts are laid out one after
-    the other, so that short ones share the array operations.
+    the other, so that short ones share the array operations. Plain words are in lower case and also end at
+    punctuation.
     """
 
-    def __init__(self, *texts: str | None):
-        self.codes = np.frombuffer("\n".join([t or "" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        gap = (self.codes == 32) | ((self.codes >= 9) & (self.codes <= 13))
+    def __init__(self, *texts: str | None, plain: bool = False):
+        texts = [(t or "").lower() if plain else t or "" for t in texts]
+        self.codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if plain:
+            gap = PUNCTUATION[np.minimum(self.codes, 0xC0)] | ((self.codes >= 0x2000) & (self.codes <= 0x206F))
+        else:
+            gap = (self.codes == 32) | ((self.codes >= 9) & (self.codes <= 13))
         flips = np.flatnonzero(np.diff(gap, prepend=True, append=True))
         self.starts, self.ends = flips[::2], flips[1::2]
         self.inside = ~gap
-        ends = np.cumsum([len(t or "") + 1 for t in texts])
+        ends = np.cumsum([len(t) + 1 for t in texts])
         self.counts = np.diff(np.searchsorted(self.starts, ends), prepend=0)
         self.text = np.repeat(np.arange(len(texts)), self.counts)
 

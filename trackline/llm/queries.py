@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackline.llm import op3_decontamination as op3
+from trackline.llm import op4_dart_minhash as op4
+from trackline.llm import op5_mixing as op5
 from trackline.llm import op6_line_dedup as op6
 from trackline.llm import op7_warc as op7
 from trackline.llm import op10_quality_rules as op10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3.op3_decontamination,
+    "op4_dart_minhash": op4.op4_dart_minhash,
+    "op5_mixing": op5.op5_mixing,
     "op6_line_dedup": op6.op6_line_dedup,
     "op7_warc": op7.op7_warc,
     "op10_quality_rules": op10.op10_quality_rules,
