@@ -15,20 +15,18 @@ from trackline.llm.op3_decontamination import decontaminated
 from trackline.llm.op4_dart_minhash import one_of_each
 from trackline.llm.op5_mixing import mixed_documents
 from trackline.llm.op6_line_dedup import dedup_lines
-from trackline.llm.op10_quality_rules import score_quality
+from trackline.llm.op10_quality_rules import kept_documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the n-gram models keep; rejected ones go."""
-    columns = docs.columns
-    scored = score_quality(docs, table(spark, sf_dir, "labels"),
-                           keep=tuple(c for c in columns if c != "doc_id"))
-    return scored.filter("kept").select(*columns)
+    return kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many share; the last document that holds one keeps it."""
-    return dedup_lines(docs).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
+    kept = dedup_lines(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ BASE, PRIME, PAIR = 257, 2_147_483_647, 31
 BUCKETS = 65_536
 #: Most labelled documents the target model is fitted on.
 TARGET_DOCS = 20_000
+#: N-grams that the raw model is worth in the target model: a small target sample then rejects little, not at random.
+PRIOR = 1_048_576
 
 
 def grams(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,15 +58,18 @@ def gram_counts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """log(target share / raw share) per bucket, both with add-one smoothing.
+    """log(target share / raw share) per bucket.
 
-    The driver receives one row per bucket and no more, however large the corpus is.
+    Raw counts are smoothed by one, target counts by the raw shares with the weight of PRIOR n-grams: where the target
+    sample says little the ratio is near 0. The driver receives one row per bucket and no more, however large the
+    corpus is.
     """
-    raw, target = np.ones(buckets), np.ones(buckets)
+    raw, target = np.ones(buckets), np.zeros(buckets)
     for row in counts.collect():
         raw[row.bucket] += row.raw
         target[row.bucket] += row.target
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    share = raw / raw.sum()
+    return np.log((target + PRIOR * share) / (target.sum() + PRIOR)) - np.log(share)
 
 
 def log_ratio_sums(words: Words, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

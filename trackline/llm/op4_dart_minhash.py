@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackline.llm.common import Words, arrow_map, mixed, shingles, table, text_groups, written
+from trackline.llm.common import Words, arrow_map, fresh, mixed, shingles, table, text_groups, written
 from trackline.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -278,16 +278,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed, found = classes(docs, id_col=id_col, text_col=text_col, **settings)
     kept = placed.select("copy", "node").distinct().join(found, "node", "left")
     kept = kept.filter(F.col("class_id").isNull() | (F.col("class_id") == F.col("node")))
-    kept = kept.select(F.col("copy").alias("__copy"), F.col("node").alias("__node"))
-    rows = docs.withColumn("__copy", F.unhex(F.md5(text_col))).join(kept, "__copy", "left")
-    words = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-    first = F.col("__node").isNotNull() & (F.col(id_col).isNull() & (F.col("__node") == F.xxhash64("__copy"))
-                                           | (F.col(id_col) == F.col("__node")))
-    blank, chosen = rows.filter(~F.coalesce(words, F.lit(False))), rows.filter(words & first)
+    copy, node = fresh(docs, "__copy"), fresh(docs, "__node")
+    kept = kept.select(F.col("copy").alias(copy), F.col("node").alias(node))
+    rows = docs.withColumn(copy, F.unhex(F.md5(text_col))).join(kept, copy, "left")
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = F.col(node).isNotNull() & (F.col(id_col).isNull() & (F.col(node) == F.xxhash64(copy))
+                                       | (F.col(id_col) == F.col(node)))
+    blank, chosen = rows.filter(~words), rows.filter(words & first)
     repeated = docs.filter(words).groupBy(F.coalesce(F.col(id_col), F.xxhash64(text_col))).count().filter("count > 1")
     if not repeated.isEmpty():  # texts are only sorted out by id where there is need
-        chosen = chosen.dropDuplicates(["__node"])
-    return blank.unionByName(chosen).drop("__copy", "__node")
+        chosen = chosen.dropDuplicates([node])
+    return blank.unionByName(chosen).drop(copy, node)
 
 
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

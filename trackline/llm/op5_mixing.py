@@ -153,13 +153,11 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
                     **settings) -> DataFrame:
     """The rows of `docs` in the mix, each as often as it is taken, with all columns and `repetition` from 1 on."""
-    name = fresh(docs, "repetition")
-    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, seed=seed, **settings)
-    taken = taken.filter("repeats > 0").select("row_key", F.col("repeats").cast("int")).distinct()
-    rows = docs.withColumn("__row_key", F.xxhash64(F.lit(seed), id_col, text_col))
-    rows = rows.join(taken, F.col("__row_key") == F.col("row_key")).withColumn(
-        name, F.explode(F.sequence(F.lit(1), F.col("repeats"))))
-    return rows.drop("__row_key", "row_key", "repeats")
+    name, key, times = (fresh(docs, n) for n in ("repetition", "__row_key", "__repeats"))
+    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, seed=seed, **settings).filter("repeats > 0")
+    taken = taken.select(F.col("row_key").alias(key), F.col("repeats").cast("int").alias(times)).distinct()
+    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), id_col, text_col)).join(taken, key)
+    return rows.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
