@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackline.functions.fields import field_name
 from trackline.functions.names import device_path
 
 # The type tag of each supported field type; other types are left out of a row.
@@ -40,17 +41,17 @@ def encoded_fields(frame: DataFrame) -> list[tuple[str, str]]:
     return [(name, tag) for name, tag in sensors + cycle if tag is not None]
 
 
-def encoded_rows(enriched: DataFrame) -> DataFrame:
-    """device, timestamp and three parallel comma-separated lists; null fields are left out."""
-    fields = encoded_fields(enriched)
+def encoded_rows(enriched: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """device, timestamp and three parallel comma-separated lists; null fields are left out. `keep` passes columns on."""
+    fields = encoded_fields(enriched.drop(*keep))
 
     def joined(pick) -> Column:
         return F.concat_ws(",", *[F.when(F.col(name).isNotNull(), pick(name, tag)) for name, tag in fields])
 
     return enriched.select(
-        device_path(F.col("device_id")).alias("device"),
+        *keep, device_path(F.col("device_id")).alias("device"),
         F.col("timestamp").cast("string").alias("timestamp"),
-        joined(lambda name, tag: F.lit(name)).alias("measurements"),
+        joined(lambda name, tag: F.lit(field_name(name))).alias("measurements"),
         joined(lambda name, tag: F.lit(tag)).alias("types"),
         joined(lambda name, tag: field_text(F.col(name))).alias("values"),
     )

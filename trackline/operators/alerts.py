@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackline.functions.encode import alert_document
+from trackline.functions.fields import held
 from trackline.operators.rules import attach_latest, checked_values
 from trackline.operators.slices import SlicePlan, partition_columns
 from trackline.operators.spc import RULES, evaluate
@@ -43,6 +44,7 @@ def by_device(readings: DataFrame, plan: SlicePlan | None = None) -> DataFrame:
 
     The windows per (device, measurement) are satisfied by this partitioning.
     """
+    readings = held(readings)
     if plan is not None:
         readings = plan.assign(readings)
     return readings.repartition(*partition_columns(plan, "device_id"))
@@ -50,4 +52,4 @@ def by_device(readings: DataFrame, plan: SlicePlan | None = None) -> DataFrame:
 
 def alerts_for(readings: DataFrame, rule_log: DataFrame, plan: SlicePlan | None = None) -> DataFrame:
     """Alerts under the current rules."""
-    return alerts(checked_values(attach_latest(by_device(readings, plan), rule_log)), plan)
+    return alerts(checked_values(attach_latest(by_device(readings, plan), rule_log, plan is not None)), plan)

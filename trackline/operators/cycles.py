@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.functions.fields import held
 from trackline.operators.slices import SlicePlan, partition_columns
 from trackline.session import bounded_broadcast
 
@@ -45,8 +46,8 @@ def event_struct(event_type: Column, timestamp: Column, run_id: Column, part_no:
 
 
 def build_timeline(readings: DataFrame, events: DataFrame) -> DataFrame:
-    """Put readings and recognised events of all devices on one time line."""
-    marked = readings.withColumns({"kind_rank": F.lit(1), "ev": F.lit(None).cast(EVENT)})
+    """Put readings and recognised events of all devices on one time line; any field name is kept."""
+    marked = held(readings).withColumns({"kind_rank": F.lit(1), "ev": F.lit(None).cast(EVENT)})
     turns = events.filter(recognised(F.col("event_type"))).select(
         "device_id",
         F.col("event_timestamp").alias("timestamp"),

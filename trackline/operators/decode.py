@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackline.functions.fields import PREFIX, field_name, typed_name
 from trackline.functions.wire import lossy_text, message_body
 
 UNDECODABLE = "undecodable"
 MISSING_FIELD = "missing_required_field"
 CONTRACT_VIOLATION = "contract_violation"
 IMPLAUSIBLE = "implausible"
-_CORRUPT = "_corrupt"
+_CORRUPT = "__corrupt_record"
 
 
 def _nullable(contract: T.StructType) -> T.StructType:
@@ -62,7 +63,13 @@ def decode(messages: DataFrame, contract: T.StructType, required: list[str], *,
         "*", F.explode(F.array(F.struct(parsed.alias("record"), *extra))).alias("_parsed"))
 
     record = F.col("_parsed.record")
-    failed = record.isNull() if avsc else record.isNull() | record[_CORRUPT].isNotNull()
+    if avsc:  # a permissive Avro parser gives a record of nulls for bytes it cannot read
+        failed = F.lit(True)
+        for f in contract.fields:
+            failed = failed & record[f.name].isNull()
+        failed = record.isNull() | failed
+    else:
+        failed = record.isNull() | record[_CORRUPT].isNotNull()
     missing = F.lit(False)
     for name in required:
         missing = missing | record[name].isNull()
@@ -74,8 +81,16 @@ def decode(messages: DataFrame, contract: T.StructType, required: list[str], *,
 
 
 def good_records(decoded: DataFrame) -> DataFrame:
-    """The typed fields of good messages; `seq` is the message offset."""
-    return decoded.filter(F.col("error").isNull()).select("record.*", F.col("offset").alias("seq"))
+    """The typed fields of good messages; `seq` is the message offset.
+
+    A field called `seq` travels under a prefix (see `functions.fields`); the operators on readings do the same for
+    fields named like other columns of theirs.
+    """
+    names = decoded.schema["record"].dataType.fieldNames()
+    if any(name.startswith(PREFIX) for name in names):
+        raise ValueError(f"no field may start with {PREFIX}")
+    fields = [F.col("record").getField(name).alias(f"{PREFIX}{name}" if name == "seq" else name) for name in names]
+    return decoded.filter(F.col("error").isNull()).select(*fields, F.col("offset").alias("seq"))
 
 
 def decode_rule_log(messages: DataFrame, contract: T.StructType) -> DataFrame:
@@ -98,14 +113,15 @@ def dead_letters(decoded: DataFrame, source: str) -> DataFrame:
 
 def reject_implausible_metrics(decoded: DataFrame) -> DataFrame:
     """Mark metrics that were cut at the wrong place: no machine name, or a temperature above 1000."""
-    odd = (F.col("record.mc_name") == "") | (F.col("record.temp") > 1000)
+    temp = F.col("record.temp")
+    odd = (F.col("record.mc_name") == "") | ((temp > 1000) & ~F.isnan(temp))
     return decoded.withColumn("error", F.when(F.col("error").isNull() & odd, IMPLAUSIBLE).otherwise(F.col("error")))
 
 
 def numeric_fields(records: DataFrame, identity: tuple[str, ...] = ("device_id", "timestamp", "seq")) -> Column:
     """The numeric fields of a record as map<name, double>, nulls left out."""
     entries = [
-        F.struct(F.lit(f.name), F.col(f.name).cast("double"))
+        F.struct(F.lit(field_name(f.name)), F.col(f.name).cast("double"))
         for f in records.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in identity
     ]
     named = F.filter(F.array(*entries), lambda e: e["col2"].isNotNull())
@@ -119,7 +135,19 @@ def error_headers(decoded: DataFrame) -> DataFrame:
 
 
 def union_families(*families: DataFrame) -> DataFrame:
-    """Readings of several machine families as one frame; fields a family lacks are null."""
+    """Readings of several machine families as one frame; fields a family lacks are null.
+
+    Where families give a field other types, each type gets a column of its own, named `<field>__as_<type>`, so no
+    value is converted and no family fails another; `field_name` gives the field back.
+    """
+    types: dict[str, set[str]] = {}
+    for family in families:
+        for field in family.schema.fields:
+            types.setdefault(field.name, set()).add(field.dataType.simpleString())
+    mixed = {name for name, found in types.items() if len(found) > 1}
+    families = [family.withColumnsRenamed({
+        f.name: typed_name(f.name, f.dataType.simpleString()) for f in family.schema.fields if f.name in mixed})
+        for family in families]
     first, *rest = families
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=True)

@@ -20,6 +20,7 @@ DEFAULT_PRESSURE_MAX = 120.0
 UNKNOWN = "unknown"
 ALARM = "\U0001F6A8 ALARM [Config v.{version}]: Machine '{name}' Breached Safe Operations! -> {breaches}{context}"
 NORMAL = "\U0001F4E5 Telemetry Logged [Offset {offset}][Config v.{version}]: {name} is normal ({temp}°C, {pressure} PSI)."
+REJECTED = "\u26a0\ufe0f Caught Poison Pill at Offset {offset}: {error} -> Routing to DLQ."
 
 
 def fingerprint(raw_text: Column) -> Column:
@@ -134,13 +135,24 @@ def metric_log(checked: DataFrame, clock: Column | None = None) -> DataFrame:
     return checked.withColumn("line", line)
 
 
-def latest_lines(checked: DataFrame, count: int = 30) -> DataFrame:
+def rejected_log(decoded: DataFrame, clock: Column | None = None) -> DataFrame:
+    """(timestamp, seq, line): one log line per message that became a dead letter."""
+    line = _fill(REJECTED, offset=F.col("offset").cast("string"), error=F.col("error"))
+    if clock is not None:
+        line = F.concat(F.lit("["), F.date_format(clock, "HH:mm:ss"), F.lit("] "), line)
+    return decoded.filter(F.col("error").isNotNull()).select(
+        F.unix_millis("timestamp").alias("timestamp"), F.col("offset").alias("seq"), line.alias("line"))
+
+
+def latest_lines(checked: DataFrame, count: int = 30, rejected: DataFrame | None = None) -> DataFrame:
     """The newest log lines, newest first: a top-k, each task passes on at most `count` rows.
 
-    Texts are made for these rows only.
+    Texts of checked metrics are made for these rows only. `rejected` is the log of dead letters.
     """
-    newest = checked.orderBy(F.desc("timestamp"), F.desc("seq")).limit(count)
-    return metric_log(newest).orderBy(F.desc("timestamp"), F.desc("seq"))
+    newest = metric_log(checked.orderBy(F.desc("timestamp"), F.desc("seq")).limit(count))
+    if rejected is not None:
+        newest = newest.select("timestamp", "seq", "line").unionByName(rejected)
+    return newest.orderBy(F.desc("timestamp"), F.desc("seq")).limit(count)
 
 
 def line_protocol(checked: DataFrame) -> DataFrame:

@@ -13,13 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackline.functions.fields import field_name, held
 from trackline.functions.names import machine_type
 from trackline.operators.slices import MAX_ROWS, carry_forward, plan_slices
-from trackline.session import bounded_broadcast
+from trackline.session import BROADCAST_ROWS, bounded_broadcast
 
 # The prefixes that make a numeric field a limit.
 MAX_PREFIX = "max_"
 MIN_PREFIX = "min_"
+#: Rules per machine type up to which a log is copied to the readings.
+LOG_ROWS = 500
 
 
 def limited_measurements(schema: T.StructType) -> list[str]:
@@ -32,8 +35,10 @@ def limited_measurements(schema: T.StructType) -> list[str]:
 
 
 def _limit(schema: T.StructType, name: str) -> Column:
+    """A limit that is not a number limits nothing: every comparison with it is false."""
     present = name in schema.fieldNames() and isinstance(schema[name].dataType, T.NumericType)
-    return F.col(name).cast("double") if present else F.lit(None).cast("double")
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value) if present else F.lit(None).cast("double")
 
 
 def limits_array(schema: T.StructType) -> Column:
@@ -65,7 +70,7 @@ def rules_long(rules: DataFrame) -> DataFrame:
 
 
 def latest_rules(log: DataFrame) -> DataFrame:
-    """The last record per machine type wins; map-side combined, nothing is sorted.
+    """The last record per machine type wins, combined map-side. Records hold text, so Spark sorts them to aggregate.
 
     A record without a machine type is not usable.
     """
@@ -90,21 +95,41 @@ def measurement_columns(readings: DataFrame) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name not in identity]
 
 
-def attach_latest(readings: DataFrame, log: DataFrame) -> DataFrame:
-    """Add the current rule of the machine type; readings without one are dropped, as nothing is checked."""
+def attach_latest(readings: DataFrame, log: DataFrame, sliced: bool = False) -> DataFrame:
+    """Add the current rule of the machine type; readings without one are dropped, as nothing is checked.
+
+    `sliced` says that readings come from `alerts.by_device` with a plan.
+    """
     book = rule_book(latest_rules(log))
-    typed = readings.withColumn("machine_type", machine_type(F.col("device_id")))
+    typed = held(readings, sliced).withColumn("machine_type", machine_type(F.col("device_id")))
     return typed.join(bounded_broadcast(book.select("machine_type", "rule")), "machine_type")
 
 
-def attach_as_of(readings: DataFrame, log: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def _attach_ranges(readings: DataFrame, log: DataFrame) -> DataFrame:
+    """Each machine type's rules as one sorted array beside its readings; the last one not after a reading holds."""
+    entry = F.struct(F.col("log_time"), F.col("offset"), F.col("rule"))
+    book = rule_book(log).filter(F.col("machine_type").isNotNull() & F.col("log_time").isNotNull())
+    book = book.groupBy("machine_type").agg(F.sort_array(F.collect_list(entry)).alias("_log"))
+    typed = held(readings).withColumn("machine_type", machine_type(F.col("device_id")))
+    past = F.filter("_log", lambda e: e["log_time"] <= F.col("timestamp"))
+    joined = typed.join(F.broadcast(book), "machine_type").withColumn("rule", F.get(past, F.size(past) - 1)["rule"])
+    return joined.filter(F.col("rule").isNotNull()).drop("_log")
+
+
+def attach_as_of(readings: DataFrame, log: DataFrame, max_rows: int = MAX_ROWS,
+                 small_log: bool | None = None) -> DataFrame:
     """Add the rule in force at the time of the reading, by log time.
 
-    Readings and rules share one time line per machine type and the last rule is carried
-    forward, so no reading meets more than one rule. Machine types are few and large: they are
-    sliced like hot devices.
+    A log that is counted small is copied to the readings, which then do not move at all. Otherwise readings and
+    rules share one time line per machine type and the last rule is carried forward, so no reading meets more than
+    one rule; machine types are few and large, so they are sliced like hot devices.
     """
-    typed = readings.withColumns({"machine_type": machine_type(F.col("device_id")), "_rank": F.lit(1)})
+    if small_log is None:
+        found = log.groupBy("machine_type").count().agg(F.sum("count"), F.max("count")).first()
+        small_log = (found[0] or 0) <= BROADCAST_ROWS and (found[1] or 0) <= LOG_ROWS
+    if small_log:
+        return _attach_ranges(readings, log)
+    typed = held(readings).withColumns({"machine_type": machine_type(F.col("device_id")), "_rank": F.lit(1)})
     updates = rule_book(log).select(
         "machine_type", "rule", F.col("log_time").alias("timestamp"), F.col("offset").alias("seq"),
         F.lit(0).alias("_rank"))
@@ -122,13 +147,18 @@ def checked_values(ruled: DataFrame) -> DataFrame:
     columns = measurement_columns(ruled)
     keep = ["slice"] if "slice" in ruled.columns else []
     limit = F.col("limit")
-    value = F.coalesce(
-        *[F.when(limit["measurement"] == m, F.col(m).cast("double")) for m in columns],
-        F.lit(None).cast("double"))
+    # the reading's values by name once, then one look-up per limit
+    pairs = [x for m in columns for x in (F.lit(field_name(m)), F.col(m).cast("double"))]
+    if len({field_name(m) for m in columns}) < len(columns):  # families disagree about a field's type
+        names = dict.fromkeys(field_name(m) for m in columns)
+        pairs = [x for name in names for x in (F.lit(name), F.coalesce(
+            *[F.col(m).cast("double") for m in columns if field_name(m) == name]))]
+    values = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
     return (
-        ruled.withColumn("limit", F.explode("rule.limits"))
+        ruled.withColumn("_values", values).withColumn("limit", F.explode("rule.limits"))
         .select("device_id", "timestamp", "seq", *keep, limit["measurement"].alias("measurement"),
-                value.alias("value"), limit["upper"].alias("upper"), limit["lower"].alias("lower"),
-                F.col("rule.rule_profile").alias("rule_profile"), F.col("rule.version").alias("rule_version"))
+                F.col("_values")[limit["measurement"]].alias("value"), limit["upper"].alias("upper"),
+                limit["lower"].alias("lower"), F.col("rule.rule_profile").alias("rule_profile"),
+                F.col("rule.version").alias("rule_version"))
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )

@@ -2,7 +2,9 @@
 
 A series is one (device, measurement). Centre line and sigma come from the last 25 values
 including the current one; nothing is evaluated before 15 values or on a flat window. NaN
-values never get here (`checked_values` drops them).
+values never get here (`checked_values` drops them). A window that holds an infinite value has no
+spread that is a number: comparisons with it are false, as in the monitor's contract, so of the rules
+on zones only rule 8 (no point inside) fires there.
 
 All rules are built from one window specification: one sort, no Python. The array of the
 latest 15 values comes from lags, which cost one row access each.
@@ -147,7 +149,9 @@ def _tests(last: list[str]) -> dict[int, str]:
 
     Text keeps the conditions short to read, and each is one call to the JVM instead of hundreds.
     """
-    steps = [f"({a} - {b})" for a, b in zip(last, last[1:])]
+    up = [f"({a} > {b})" for a, b in zip(last, last[1:])]
+    down = [f"({a} < {b})" for a, b in zip(last, last[1:])]
+    known = "NOT isnan(sd)"  # Spark takes NaN for the largest number
 
     def above(value: str, width: int) -> str:
         return f"{value} > mean + {width} * sd"
@@ -164,14 +168,14 @@ def _tests(last: list[str]) -> dict[int, str]:
 
     nine, fifteen = ", ".join(last[:9]), ", ".join(last[:15])
     return {
-        1: f"{above('value', 3)} OR {below('value', 3)}",
-        2: f"least({nine}) > mean OR greatest({nine}) < mean",
-        3: f"({every([f'{s} > 0' for s in steps[:5]])}) OR ({every([f'{s} < 0' for s in steps[:5]])})",
-        4: every([f"({a} > 0 AND {b} < 0) OR ({a} < 0 AND {b} > 0)" for a, b in zip(steps[:12], steps[1:13])]),
-        5: beyond(3, 2, 2),
-        6: beyond(5, 4, 1),
-        7: f"greatest({fifteen}) <= mean + sd AND least({fifteen}) >= mean - sd",
-        8: every([f"{v} > mean + sd OR {v} < mean - sd" for v in last[:8]]),
+        1: f"{known} AND ({above('value', 3)} OR {below('value', 3)})",
+        2: f"NOT isnan(mean) AND (least({nine}) > mean OR greatest({nine}) < mean)",
+        3: f"({every(up[:5])}) OR ({every(down[:5])})",
+        4: every([f"({up[k]} AND {down[k + 1]}) OR ({down[k]} AND {up[k + 1]})" for k in range(12)]),
+        5: f"{known} AND ({beyond(3, 2, 2)})",
+        6: f"{known} AND ({beyond(5, 4, 1)})",
+        7: f"{known} AND greatest({fifteen}) <= mean + sd AND least({fifteen}) >= mean - sd",
+        8: f"isnan(sd) OR ({every([f'{v} > mean + sd OR {v} < mean - sd' for v in last[:8]])})",
     }
 
 

@@ -10,7 +10,7 @@ from trackline.functions.names import device_path, machine_type, routing_key
 from trackline.operators import cycles
 from trackline.operators.slices import plan_slices
 from trackline.plans.registry import Catalogue
-from trackline.plans.sql_views import PRESS, TRACKED
+from trackline.plans.sql_views import INCOMPLETE_DOCUMENT, PRESS, TRACKED
 from trackline.sources import fleet
 
 CATALOGUE = Catalogue()
@@ -64,6 +64,17 @@ def cycle_enrich(spark, sf_dir):
     return cycles.enriched_rows(tracked_presses(spark, sf_dir)).drop("kind_rank")
 
 
+@CATALOGUE.add("cycle_enrich_sliced", f"""
+WITH {TRACKED}
+SELECT device_id, timestamp, seq, vibration, temperature, status, context_complete, run_id, part_no, recipe_name,
+       track_in, track_out, context_event, data_point_count, last_track_out
+FROM enriched""")
+def cycle_enrich_sliced(spark, sf_dir):
+    """Cycles as for hot devices: every device with more than 40 rows is cut into time slices."""
+    timeline = fleet.press_timeline(spark, sf_dir)
+    return cycles.enriched_rows(cycles.track(timeline, plan_slices(timeline, max_rows=40))).drop("kind_rank")
+
+
 @CATALOGUE.add("cycle_enrich_two_feeds", f"""
 WITH {TRACKED}
 SELECT device_id, timestamp, seq, vibration, temperature, status, context_complete, run_id, part_no, recipe_name,
@@ -135,8 +146,9 @@ WITH {PRESS}
 SELECT device_id, MAX(timestamp) AS last_out FROM press WHERE event_type = 'purchase' GROUP BY device_id""")
 def last_track_out(spark, sf_dir):
     """Last close per device at the end of the data, orphaned closes included."""
-    state = cycles.closing_state(tracked_presses(spark, sf_dir))
-    return state.filter(F.col("last_out").isNotNull()).select("device_id", "last_out")
+    closes = F.when(F.col("ev.event_type") == cycles.TRACK_OUT, F.col("timestamp"))
+    last = fleet.press_timeline(spark, sf_dir).groupBy("device_id").agg(F.max(closes).alias("last_out"))
+    return last.filter(F.col("last_out").isNotNull())
 
 
 @CATALOGUE.add("open_cycles", f"""
@@ -156,18 +168,7 @@ def open_cycles(spark, sf_dir):
         F.col("n_since").alias("data_point_count"))
 
 
-@CATALOGUE.add("incomplete_documents", f"""
-WITH {TRACKED}
-SELECT seq, '{{"device_id":"' || device_id || '","timestamp":' || timestamp || ',"reason":"' || reason || '"' ||
-  CASE reason
-    WHEN 'abandoned_cycle' THEN ',"abandoned_run_id":"' || abandoned_run_id || '","abandoned_part_no":"'
-      || abandoned_part_no || '","abandoned_track_in":' || abandoned_track_in
-      || ',"data_point_count_at_abandonment":' || data_point_count_at_abandonment
-    WHEN 'orphaned_track_out' THEN ''
-    WHEN 'between_cycles' THEN ',"last_track_out":' || last_track_out || ',"gap_since_last_track_out_ms":'
-      || gap_since_last_track_out_ms
-    ELSE ',"last_track_out":null' END || '}}' AS document
-FROM incomplete""")
+@CATALOGUE.add("incomplete_documents", f"WITH {TRACKED} SELECT seq, {INCOMPLETE_DOCUMENT} AS document FROM incomplete")
 def incomplete_documents(spark, sf_dir):
     found = cycles.incomplete_tracks(tracked_presses(spark, sf_dir))
     return found.select("seq", incomplete_document().alias("document"))

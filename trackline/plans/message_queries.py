@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trackline.functions.encode import type_tag
+from trackline.functions.encode import encoded_rows, type_tag
+from trackline.functions.fields import field_name
 from trackline.functions.wire import has_header, message_body, schema_id
+from trackline.operators import cycles, rules
 from trackline.operators import decode as dec
-from trackline.operators import rules
 from trackline.plans.registry import Catalogue
-from trackline.plans.sql_views import PRESS, RULE_LOG
+from trackline.plans.sql_views import PRESS, RAW_TEXT_HEX, RULE_LOG, TELEMETRY_RAW
 from trackline.sources import contracts, fleet
 
 CATALOGUE = Catalogue()
@@ -28,19 +30,23 @@ def decoded_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOGUE.add("header_split", f"""
-WITH {PRESS}
+WITH {PRESS}, {TELEMETRY_RAW}
 SELECT seq AS "offset", (k < 5 OR k >= 10) AS has_header,
        CASE WHEN k < 5 OR k >= 10 THEN 1 + seq % 3 END AS schema_id,
-       CASE WHEN k < 5 THEN 20 WHEN k >= 19 AND k < 21 THEN 3 END AS body_bytes
-FROM press WHERE k < 10 OR k >= 13""")
+       CAST(len(raw_hex) // 2 - CASE WHEN k < 5 OR k >= 10 THEN 5 ELSE 0 END AS INTEGER) AS body_bytes
+FROM raw""")
 def header_split(spark, sf_dir):
-    """Header found, schema id, and the body length where it is the same for all such messages."""
+    """Header found, schema id, and the length of the body of every message."""
     rows = fleet.telemetry_messages(spark, sf_dir).filter(F.col("value").isNotNull())
-    body = message_body(F.col("value"))
-    fixed = body.isin(F.lit(b"This is not a record"), F.unhex(F.lit("C328FF")))
     return rows.select("offset", has_header(F.col("value")).alias("has_header"),
                        schema_id(F.col("value")).alias("schema_id"),
-                       F.when(fixed, F.length(body)).alias("body_bytes"))
+                       F.length(message_body(F.col("value"))).alias("body_bytes"))
+
+
+def _raw_hex(letters: DataFrame) -> DataFrame:
+    """Dead letters with their whole bytes and readable text, as hex."""
+    return letters.select("offset", "source", "error", F.lower(F.hex("raw")).alias("raw_hex"),
+                          F.lower(F.hex(F.encode("raw_text", "UTF-8"))).alias("text_hex"))
 
 
 @CATALOGUE.add("decode_split", f"""
@@ -71,20 +77,13 @@ def required_fields(spark, sf_dir):
 
 
 @CATALOGUE.add("dead_letters", f"""
-WITH {_OUTCOME}
-SELECT seq AS "offset", 'machine-telemetry' AS source, error,
-       CASE WHEN k < 5 THEN '00' || printf('%08x', 1 + seq % 3) || '54686973206973206e6f742061207265636f7264'
-            WHEN k >= 19 AND k < 21 THEN '00' || printf('%08x', 1 + seq % 3) || 'c328ff' END AS raw_hex,
-       k >= 19 AND k < 21 AS replaced_text
-FROM outcome WHERE error IS NOT NULL""")
+WITH {PRESS}, {TELEMETRY_RAW}
+SELECT seq AS "offset", 'machine-telemetry' AS source,
+       CASE WHEN k >= 13 AND k < 19 THEN 'missing_required_field' ELSE 'undecodable' END AS error, raw_hex,
+       {RAW_TEXT_HEX} AS text_hex
+FROM raw WHERE k < 5 OR (k >= 13 AND k < 23)""")
 def dead_letters(spark, sf_dir):
-    """Bad messages with unchanged bytes; those that are not UTF-8 have replacement characters in the text."""
-    letters = dec.dead_letters(decoded_telemetry(spark, sf_dir), "machine-telemetry")
-    body = message_body(F.col("raw"))
-    fixed = body.isin(F.lit(b"This is not a record"), F.unhex(F.lit("C328FF")))
-    return letters.select("offset", "source", "error",
-                          F.when(fixed, F.lower(F.hex("raw"))).alias("raw_hex"),
-                          F.contains("raw_text", F.lit("�")).alias("replaced_text"))
+    return _raw_hex(dec.dead_letters(decoded_telemetry(spark, sf_dir), "machine-telemetry"))
 
 
 @CATALOGUE.add("dynamic_fields", f"""
@@ -98,7 +97,7 @@ def dynamic_fields(spark, sf_dir):
              if f.name not in ("device_id", "timestamp", "seq") and type_tag(f.dataType)]
     counts = records.agg(*[F.count(name).alias(name) for name, _ in found])
     return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(tag).alias("tag"), F.col(name).alias("present"))
+        F.struct(F.lit(field_name(name)).alias("name"), F.lit(tag).alias("tag"), F.col(name).alias("present"))
         for name, tag in found])))
 
 
@@ -156,12 +155,18 @@ def control_latest(spark, sf_dir):
 
 
 @CATALOGUE.add("control_dead_letters", """
+WITH raw AS (
+  SELECT *, '0000000003' || lower(hex(encode(CASE WHEN s_nationkey < 22 THEN 'This is not a record'
+    ELSE '{"version":"v' || s_suppkey || '","max_vibration":122.0,"min_vibration":2.2,"max_temperature":82.0,'
+      || CASE WHEN s_acctbal >= 0 THEN '"min_temperature":5.0,' ELSE '' END
+      || '"max_pressure":75.0,"rule_profile":"HIGH_PRECISION_STRICT"}' END))) AS raw_hex
+  FROM supplier WHERE s_nationkey IN (20, 21, 22))
 SELECT s_suppkey AS "offset", 'machine-control' AS source,
-       CASE WHEN s_nationkey = 22 THEN 'missing_required_field' ELSE 'undecodable' END AS error
-FROM supplier WHERE s_nationkey IN (20, 21, 22)""")
+       CASE WHEN s_nationkey = 22 THEN 'missing_required_field' ELSE 'undecodable' END AS error, raw_hex,
+       raw_hex AS text_hex
+FROM raw""")
 def control_dead_letters(spark, sf_dir):
-    letters = dec.dead_letters(_decoded_rules(spark, sf_dir), "machine-control")
-    return letters.select("offset", "source", "error")
+    return _raw_hex(dec.dead_letters(_decoded_rules(spark, sf_dir), "machine-control"))
 
 
 @CATALOGUE.add("metric_decode", f"""
@@ -173,11 +178,14 @@ def metric_decode(spark, sf_dir):
 
 
 @CATALOGUE.add("metric_dead_letters", f"""
-WITH {PRESS}
-SELECT seq AS "offset", 'implausible' AS error FROM press WHERE k < 3 OR value * 4 > 1000""")
+WITH {PRESS}, raw AS (
+  SELECT *, '0000000004' || lower(hex(encode('{{"mc_name":"' || CASE WHEN k < 3 THEN '' ELSE device_id END
+    || '","temp":' || value * 4 || ',"pressure":' || (value + 100) || '}}'))) AS raw_hex
+  FROM press WHERE k < 3 OR value * 4 > 1000)
+SELECT seq AS "offset", 'machine-events' AS source, 'implausible' AS error, raw_hex, raw_hex AS text_hex FROM raw""")
 def metric_dead_letters(spark, sf_dir):
     decoded = dec.decode(fleet.metric_messages(spark, sf_dir), contracts.METRIC, ["mc_name", "temp", "pressure"])
-    return dec.dead_letters(dec.reject_implausible_metrics(decoded), "machine-events").select("offset", "error")
+    return _raw_hex(dec.dead_letters(dec.reject_implausible_metrics(decoded), "machine-events"))
 
 
 def _decoded_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,15 +201,60 @@ def user_records(spark, sf_dir):
 
 
 @CATALOGUE.add("user_dead_letters", """
-SELECT 'error_message' AS header,
+SELECT CAST(NULL AS VARCHAR) AS key, 'error_message' AS header,
        CASE WHEN c_nationkey < 5 THEN 'contract_violation' ELSE 'undecodable' END AS error_message,
-       COUNT(*) AS messages
-FROM customer WHERE c_nationkey < 7 GROUP BY 1, 2""")
+       '0000000001' || lower(hex(encode(CASE WHEN c_nationkey >= 5 THEN 'This is not a record'
+         ELSE '{"id":' || c_custkey || ',"name":"' || c_name || '",'
+           || CASE WHEN c_acctbal >= 0 THEN '"email":"' || c_name || '@example.com",' ELSE '' END
+           || '"phone":"555"}' END))) AS value_hex
+FROM customer WHERE c_nationkey < 7""")
 def user_dead_letters(spark, sf_dir):
     bad = dec.error_headers(_decoded_users(spark, sf_dir))
     header = F.col("headers")[0]
-    return bad.groupBy(header["key"].alias("header"), header["value"].cast("string").alias("error_message")).agg(
-        F.count(F.lit(1)).alias("messages"))
+    return bad.select(F.col("key").cast("string").alias("key"), header["key"].alias("header"),
+                      header["value"].cast("string").alias("error_message"),
+                      F.lower(F.hex("value")).alias("value_hex"))
+
+
+@CATALOGUE.add("dynamic_fields_reserved", f"""
+WITH {PRESS}
+SELECT seq, 'phase,open,slice,seq,prev,machine_type' AS measurements, 'DOUBLE,BOOLEAN,INT64,INT64,TEXT,TEXT' AS types,
+       value || ',' || (k > 20) || ',' || CAST(k AS BIGINT) || ',' || (seq + 1) || ',' || event_type || ',custom'
+         AS "values"
+FROM press WHERE event_type IN ('click', 'view')""")
+def dynamic_fields_reserved(spark, sf_dir):
+    """Sensor fields named like the library's own columns, from the message to the encoded row."""
+    contract = T.StructType.fromDDL("device_id string, timestamp bigint, phase double, open boolean, slice bigint, "
+                                    "seq bigint, prev string, machine_type string")
+    rows = fleet.press_messages(spark, sf_dir).filter(F.col("event_type").isin(*fleet.READINGS))
+    k = fleet.props_k()
+    body = F.to_json(F.struct("device_id", "timestamp", F.col("value").alias("phase"), (k > 20).alias("open"),
+                              k.cast("long").alias("slice"), (F.col("seq") + 1).alias("seq"),
+                              F.col("event_type").alias("prev"), F.lit("custom").alias("machine_type")))
+    messages = fleet.raw_messages(rows, body.cast("binary"), "odd", F.col("seq"), F.timestamp_millis("timestamp"))
+    readings = dec.good_records(dec.decode(messages, contract, ["device_id", "timestamp"]))
+    timeline = cycles.build_timeline(readings, fleet.press_events(spark, sf_dir).limit(0))
+    enriched = cycles.enriched_rows(cycles.track(timeline)).withColumn("_seq", F.col("seq"))
+    return encoded_rows(enriched, keep=("_seq",)).select(F.col("_seq").alias("seq"), "measurements", "types", "values")
+
+
+@CATALOGUE.add("family_union_mixed", f"""
+WITH {PRESS}
+SELECT seq, 'level,status' AS measurements, 'DOUBLE,TEXT' AS types, value || ',' || event_type AS "values" FROM press
+WHERE event_type IN ('click', 'view')
+UNION ALL
+SELECT (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey % 1048576, 'level,status', 'BOOLEAN,INT64',
+       (l_quantity > 25) || ',' || l_orderkey FROM lineitem""")
+def family_union_mixed(spark, sf_dir):
+    """Two families whose fields agree in name but not in type keep their values and tags."""
+    press = fleet.press_readings(spark, sf_dir).select("device_id", "timestamp", "seq", F.col("vibration").alias("level"),
+                                                       "status")
+    lathe = fleet.table(spark, sf_dir, "lineitem").select(
+        F.lit("Lathe-1").alias("device_id"), F.lit(0).cast("long").alias("timestamp"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_048_576 + F.col("l_partkey") % 1_048_576).alias("seq"),
+        (F.col("l_quantity") > 25).alias("level"), F.col("l_orderkey").alias("status"))
+    both = dec.union_families(press, lathe).withColumn("_seq", F.col("seq"))
+    return encoded_rows(both, keep=("_seq",)).select(F.col("_seq").alias("seq"), "measurements", "types", "values")
 
 
 @CATALOGUE.add("family_union", f"""

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from trackline.functions.numbers import round_one_decimal
 from trackline.operators import metrics
+from trackline.operators.decode import decode, reject_implausible_metrics
 from trackline.plans.registry import Catalogue
-from trackline.sources import fleet
+from trackline.plans.sql_views import PRESS
+from trackline.sources import contracts, fleet
 
 CATALOGUE = Catalogue()
 
@@ -90,6 +92,18 @@ def control_changes(spark, sf_dir):
     return metrics.control_changes(fleet.control_documents(spark, sf_dir))
 
 
+@CATALOGUE.add("control_changes_sliced", f"""
+WITH {_DOCUMENTS},
+ordered AS (
+  SELECT *, LAG(fingerprint) OVER (PARTITION BY subject ORDER BY timestamp, seq) AS previous_fingerprint
+  FROM valid_documents)
+SELECT subject, timestamp, seq, fingerprint, previous_fingerprint, temp_max, pressure_max FROM ordered
+WHERE previous_fingerprint IS NULL OR previous_fingerprint <> fingerprint""")
+def control_changes_sliced(spark, sf_dir):
+    """Changes as for hot subjects: every subject with more than 4 documents is cut into time slices."""
+    return metrics.control_changes(fleet.control_documents(spark, sf_dir), max_rows=4)
+
+
 @CATALOGUE.add("current_limits", f"WITH {_DOCUMENTS} SELECT * FROM current_limits")
 def current_limits(spark, sf_dir):
     return metrics.current_limits(fleet.control_documents(spark, sf_dir))
@@ -117,15 +131,31 @@ def metric_breach(spark, sf_dir):
         "mc_name", "seq", "temp", "pressure", "temp_max", "pressure_max", "temp_breached", "pressure_breached")
 
 
-@CATALOGUE.add("metric_log", f"WITH {_METRICS} SELECT seq, line FROM lines")
+_ALL_LINES = f"""
+WITH {PRESS}, {_METRICS.lstrip()},
+all_lines AS (
+  SELECT timestamp, seq, line FROM lines
+  UNION ALL
+  SELECT timestamp, seq, '\u26a0\ufe0f Caught Poison Pill at Offset ' || seq || ': implausible -> Routing to DLQ.'
+  FROM press WHERE k < 3 OR value * 4 > 1000)"""
+
+
+def rejected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode(fleet.metric_messages(spark, sf_dir), contracts.METRIC, ["mc_name", "temp", "pressure"])
+    return metrics.rejected_log(reject_implausible_metrics(decoded))
+
+
+@CATALOGUE.add("metric_log", f"{_ALL_LINES} SELECT seq, line FROM all_lines")
 def metric_log(spark, sf_dir):
-    return metrics.metric_log(checked_metrics(spark, sf_dir)).select("seq", "line")
+    """Lines of checked metrics and of rejected messages."""
+    lines = metrics.metric_log(checked_metrics(spark, sf_dir)).select("seq", "line")
+    return lines.unionByName(rejected_metrics(spark, sf_dir).select("seq", "line"))
 
 
-@CATALOGUE.add("metric_latest30", f"""
-WITH {_METRICS} SELECT timestamp, seq, line FROM lines ORDER BY timestamp DESC, seq DESC LIMIT 30""")
+@CATALOGUE.add("metric_latest30", f"{_ALL_LINES} SELECT * FROM all_lines ORDER BY timestamp DESC, seq DESC LIMIT 30")
 def metric_latest30(spark, sf_dir):
-    return metrics.latest_lines(checked_metrics(spark, sf_dir)).select("timestamp", "seq", "line")
+    return metrics.latest_lines(checked_metrics(spark, sf_dir), rejected=rejected_metrics(spark, sf_dir)).select(
+        "timestamp", "seq", "line")
 
 
 @CATALOGUE.add("line_protocol", f"""

@@ -10,7 +10,7 @@ from trackline.operators.alerts import alerts_for, by_device
 from trackline.operators.limits import limit_breaches
 from trackline.operators.slices import SlicePlan, plan_slices
 from trackline.plans.registry import Catalogue
-from trackline.plans.sql_views import CHECKED, PRESS, RULE_LOG, zone_rules
+from trackline.plans.sql_views import ALERT_DOCUMENT, CHECKED, PRESS, RULE_LOG, zone_rules
 from trackline.sources import fleet
 
 CATALOGUE = Catalogue()
@@ -29,7 +29,7 @@ def scored_presses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone rules over the press fleet: one shuffle of narrow readings, hot devices sliced."""
     readings = _readings(spark, sf_dir)
     plan = plan_slices(readings)
-    ruled = rules.attach_latest(by_device(readings, plan), fleet.rule_log(spark, sf_dir))
+    ruled = rules.attach_latest(by_device(readings, plan), fleet.rule_log(spark, sf_dir), plan is not None)
     checked = rules.checked_values(ruled)
     return spc.evaluate(checked.drop("upper", "lower", "rule_profile", "rule_version"), plan)
 
@@ -165,17 +165,18 @@ lathes AS (
   FROM lineitem),
 lathe_values AS (
   SELECT device_id, timestamp, seq, 'spindle_rpm' AS measurement, l_quantity AS value FROM lathes
-  UNION ALL SELECT device_id, timestamp, seq, 'cutting_force', l_extendedprice FROM lathes)"""
+  UNION ALL SELECT device_id, timestamp, seq, 'cutting_force', l_extendedprice FROM lathes
+  UNION ALL SELECT device_id, timestamp, seq, 'coolant_pressure', l_discount FROM lathes)"""
 
 
 @CATALOGUE.add("spc_lathes", f"WITH {LATHES}, {zone_rules('lathe_values')} {_violations_sql('scored')}")
 def spc_lathes(spark, sf_dir):
-    """Zone rules over two measurements of every line item."""
-    readings = fleet.lathe_readings(spark, sf_dir).select("device_id", "timestamp", "seq", "spindle_rpm",
-                                                          "cutting_force")
+    """Zone rules over every measurement of every line item."""
+    names = ("spindle_rpm", "cutting_force", "coolant_pressure")
+    readings = fleet.lathe_readings(spark, sf_dir).select("device_id", "timestamp", "seq", *names)
     plan = plan_slices(readings)
     measured = F.array(*[F.struct(F.lit(m).alias("measurement"), F.col(m).alias("value"))
-                         for m in ("spindle_rpm", "cutting_force")])
+                         for m in names])
     keep = ["device_id", "timestamp", "seq"] + (["slice"] if plan else [])
     values = by_device(readings, plan).select(*keep, F.inline(measured))
     return spc.violations(spc.evaluate(values, plan))
@@ -203,12 +204,61 @@ def alerts(spark, sf_dir):
     return press_alerts(spark, sf_dir).drop("document")
 
 
-@CATALOGUE.add("alert_documents", _ALERTS_SQL + """
-SELECT seq, '{"alert_type":"' || alert_type || '","timestamp":' || timestamp || ',"measurement":"' || measurement
-  || '","value":' || value || ',"device_id":"' || device_id || '",' ||
-  CASE alert_type WHEN 'limit_breach' THEN '"limit_type":"' || limit_type || '","limit_value":' || limit_value
-    || ',"rule_profile":"' || rule_profile || '","rule_version":"' || rule_version || '"}'
-  ELSE '"rule_number":' || rule_number || ',"rule_description":"' || rule_description || '"}' END AS document
-FROM alerts""")
+@CATALOGUE.add("alert_documents", f"{_ALERTS_SQL} SELECT seq, {ALERT_DOCUMENT} AS document FROM alerts")
 def alert_documents(spark, sf_dir):
     return press_alerts(spark, sf_dir).select("seq", "document")
+
+
+#: Rows per slice of the queries that show that slicing changes nothing; few, so that small data is sliced too.
+SLICED_ROWS = 40
+
+
+@CATALOGUE.add("alerts_sliced", _ALERTS_SQL + " SELECT * FROM alerts")
+def alerts_sliced(spark, sf_dir):
+    """Alerts as for hot devices: every device with more than SLICED_ROWS readings is cut into slices."""
+    readings = _readings(spark, sf_dir)
+    plan = plan_slices(readings, SLICED_ROWS)
+    return alerts_for(readings, fleet.rule_log(spark, sf_dir), plan).drop("document")
+
+
+@CATALOGUE.add("rule_lookup_as_of_sliced", f"""
+WITH {PRESS}, {RULE_LOG}
+SELECT p.seq, p.machine_type, r.version
+FROM press p ASOF JOIN rule_log r ON p.machine_type = r.machine_type AND p.timestamp >= r.log_time""")
+def rule_lookup_as_of_sliced(spark, sf_dir):
+    """The lookup for rule logs too large to copy, with machine types cut into slices."""
+    ruled = rules.attach_as_of(_readings(spark, sf_dir), fleet.rule_log(spark, sf_dir), SLICED_ROWS, small_log=False)
+    return ruled.select("seq", "machine_type", "rule.version")
+
+
+_ODD_CHECKED = f"""{PRESS.replace("event_type, value,", "event_type, CASE WHEN event_id % 55 = 0 THEN NULL "
+                                  "WHEN event_id % 40 = 0 THEN CAST('infinity' AS DOUBLE) ELSE value END AS value,")},
+{RULE_LOG.replace("CAST(60 + s_nationkey AS DOUBLE) AS max_temperature",
+                  "CASE WHEN s_nationkey % 3 <> 0 THEN CAST(60 + s_nationkey AS DOUBLE) END AS max_temperature")
+         .replace("CAST(s_nationkey AS DOUBLE) / 10 AS min_vibration", "CAST(NULL AS DOUBLE) AS min_vibration")},
+long_values AS (
+  SELECT device_id, machine_type, timestamp, seq, 'vibration' AS measurement, value FROM press WHERE value IS NOT NULL
+  UNION ALL SELECT device_id, machine_type, timestamp, seq, 'temperature', k FROM press),
+checked AS (
+  SELECT v.device_id, v.timestamp, v.seq, v.measurement, v.value, r.upper, r.lower, r.rule_profile,
+         r.version AS rule_version
+  FROM long_values v JOIN latest r ON v.machine_type = r.machine_type AND v.measurement = r.measurement
+  WHERE r.upper IS NOT NULL OR r.lower IS NOT NULL),
+breaches AS (
+  SELECT device_id, timestamp, seq, measurement, value, 'upper' AS limit_type, upper AS limit_value,
+         rule_profile, rule_version FROM checked WHERE value > upper
+  UNION ALL
+  SELECT device_id, timestamp, seq, measurement, value, 'lower', lower, rule_profile, rule_version
+  FROM checked WHERE value < lower)"""
+
+
+@CATALOGUE.add("alerts_nonfinite", f"WITH {_ODD_CHECKED}, {ALERT_VIEWS} SELECT * FROM alerts")
+def alerts_nonfinite(spark, sf_dir):
+    """Some values are NaN or infinite and some limits NaN: missing values, real breaches and no limits."""
+    seq, nan = F.col("seq"), F.lit(float("nan"))
+    readings = _readings(spark, sf_dir).withColumn("vibration", F.when(seq % 55 == 0, nan).when(
+        seq % 40 == 0, F.lit(float("inf"))).otherwise(F.col("vibration")))
+    log = fleet.rule_log(spark, sf_dir, "s_nationkey").withColumns({
+        "max_temperature": F.when(F.col("s_nationkey") % 3 == 0, nan).otherwise(F.col("max_temperature")),
+        "min_vibration": nan}).drop("s_nationkey")
+    return alerts_for(readings, log, plan_slices(readings)).drop("document")

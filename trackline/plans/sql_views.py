@@ -11,6 +11,36 @@ press AS (
          CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k
   FROM events)"""
 
+# The bytes of every telemetry message of `press` as lower-case hex, null where a message has no value.
+TELEMETRY_RAW = """
+raw AS (
+  SELECT *, lower(CASE WHEN k >= 5 AND k < 10 THEN '' ELSE '00' || printf('%08x', 1 + seq % 3) END
+    || CASE WHEN k < 5 THEN hex(encode('This is not a record')) WHEN k >= 19 AND k < 21 THEN 'C328FF'
+       ELSE hex(encode('{' || CASE WHEN k >= 13 AND k < 16 THEN '' ELSE '"device_id":"' || device_id || '",' END
+         || CASE WHEN k >= 16 AND k < 19 THEN '' ELSE '"timestamp":' || timestamp || ',' END || '"vibration":'
+         || CASE WHEN k >= 21 AND k < 23 THEN '"n/a"' ELSE CAST(value AS VARCHAR) END || ',"temperature":' || k
+         || ',"pressure":65.5,"status":"' || event_type || ',x"}')) END) AS raw_hex
+  FROM press WHERE k < 10 OR k >= 13)"""
+
+# The text of a dead letter as hex: bytes that are not UTF-8 become the replacement character.
+RAW_TEXT_HEX = "replace(raw_hex, 'c328ff', 'efbfbd28efbfbd')"
+
+INCOMPLETE_DOCUMENT = """'{"device_id":"' || device_id || '","timestamp":' || timestamp || ',"reason":"' || reason || '"' ||
+  CASE reason
+    WHEN 'abandoned_cycle' THEN ',"abandoned_run_id":"' || abandoned_run_id || '","abandoned_part_no":"'
+      || abandoned_part_no || '","abandoned_track_in":' || abandoned_track_in
+      || ',"data_point_count_at_abandonment":' || data_point_count_at_abandonment
+    WHEN 'orphaned_track_out' THEN ''
+    WHEN 'between_cycles' THEN ',"last_track_out":' || last_track_out || ',"gap_since_last_track_out_ms":'
+      || gap_since_last_track_out_ms
+    ELSE ',"last_track_out":null' END || '}'"""
+
+ALERT_DOCUMENT = """'{"alert_type":"' || alert_type || '","timestamp":' || timestamp || ',"measurement":"' || measurement
+  || '","value":' || value || ',"device_id":"' || device_id || '",' ||
+  CASE alert_type WHEN 'limit_breach' THEN '"limit_type":"' || limit_type || '","limit_value":' || limit_value
+    || ',"rule_profile":"' || rule_profile || '","rule_version":"' || rule_version || '"}'
+  ELSE '"rule_number":' || rule_number || ',"rule_description":"' || rule_description || '"}' END"""
+
 # g counts the recognised events before a row, so event number g is the latest one.
 _TRACKED = """,
 line AS (
@@ -135,26 +165,29 @@ def zone_rules(series: str) -> str:
     return f"""
 frames AS (
   SELECT device_id, measurement, timestamp, seq, value,
-         COUNT(*) OVER f AS n, AVG(value) OVER f AS mean, STDDEV_SAMP(value) OVER f AS raw_sd,
+         COUNT(*) OVER f AS n, bool_or(isinf(value)) OVER f AS wild,
+         CASE WHEN MAX(value) OVER f = 'infinity'::DOUBLE THEN 'infinity'::DOUBLE
+              ELSE AVG(CASE WHEN isinf(value) THEN 0 ELSE value END) OVER f END AS mean,
+         STDDEV_SAMP(CASE WHEN isinf(value) THEN 0 ELSE value END) OVER f AS raw_sd,
          MIN(value) OVER f AS lo, MAX(value) OVER f AS hi,
          array_agg(value) OVER f AS w, array_agg(sign(step)) OVER f AS s
   FROM (SELECT *, value - LAG(value) OVER (PARTITION BY device_id, measurement ORDER BY timestamp, seq) AS step
         FROM {series}) AS stepped
   WINDOW f AS (PARTITION BY device_id, measurement ORDER BY timestamp, seq
                ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)),
-spread AS (SELECT *, CASE WHEN hi > lo THEN raw_sd ELSE 0 END AS sd FROM frames),
+spread AS (SELECT *, CASE WHEN wild THEN 1 WHEN hi > lo THEN raw_sd ELSE 0 END AS sd FROM frames),
 scored AS (
   SELECT *,
-    n >= 15 AND sd > 0 AND (value > mean + 3 * sd OR value < mean - 3 * sd) AS rule_1,
+    n >= 15 AND sd > 0 AND NOT wild AND (value > mean + 3 * sd OR value < mean - 3 * sd) AS rule_1,
     n >= 15 AND sd > 0 AND (len(list_filter({tail(9)}, lambda x: x > mean)) = 9
       OR len(list_filter({tail(9)}, lambda x: x < mean)) = 9) AS rule_2,
     n >= 15 AND sd > 0 AND abs(list_sum(list_slice(s, -5, -1))) = 5 AS rule_3,
     n >= 15 AND sd > 0 AND len(list_filter(list_slice(s, -13, -1), lambda x: x <> 0)) = 13
       AND len(list_filter(list_zip(list_slice(s, -13, -2), list_slice(s, -12, -1)), lambda p: p[1] = p[2])) = 0 AS rule_4,
-    n >= 15 AND sd > 0 AND {beyond(3, 2, 2)} AS rule_5,
-    n >= 15 AND sd > 0 AND {beyond(5, 4, 1)} AS rule_6,
-    n >= 15 AND sd > 0
+    n >= 15 AND sd > 0 AND NOT wild AND {beyond(3, 2, 2)} AS rule_5,
+    n >= 15 AND sd > 0 AND NOT wild AND {beyond(5, 4, 1)} AS rule_6,
+    n >= 15 AND sd > 0 AND NOT wild
       AND len(list_filter({tail(15)}, lambda x: x <= mean + sd AND x >= mean - sd)) = 15 AS rule_7,
-    n >= 15 AND sd > 0
-      AND len(list_filter({tail(8)}, lambda x: x <= mean + sd AND x >= mean - sd)) = 0 AS rule_8
+    n >= 15 AND sd > 0 AND (wild
+      OR len(list_filter({tail(8)}, lambda x: x <= mean + sd AND x >= mean - sd)) = 0) AS rule_8
   FROM spread)"""

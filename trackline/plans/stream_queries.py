@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from trackline.plans.registry import Catalogue
 from trackline.plans.rule_queries import ALERT_VIEWS
-from trackline.plans.sql_views import checked, tracked
+from trackline.plans.sql_views import (ALERT_DOCUMENT, INCOMPLETE_DOCUMENT, PRESS, RAW_TEXT_HEX, TELEMETRY_RAW, checked,
+                                       tracked)
 from trackline.session import shared_dir
 from trackline.sources import fleet, sinks
 from trackline.streaming.monitor import Monitor
@@ -60,42 +61,44 @@ def stream_readings(spark, sf_dir):
 
 
 @CATALOGUE.add("stream_incomplete", f"""
-WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")} SELECT * FROM incomplete""")
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")}
+SELECT *, {INCOMPLETE_DOCUMENT} AS document FROM incomplete""")
 def stream_incomplete(spark, sf_dir):
-    return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/incomplete").drop("batch", "document")
+    return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/incomplete").drop("batch")
 
 
 @CATALOGUE.add("stream_alerts", f"""
-WITH {checked(_GOOD_READING)}, {ALERT_VIEWS} SELECT * FROM alerts""")
+WITH {checked(_GOOD_READING)}, {ALERT_VIEWS} SELECT *, {ALERT_DOCUMENT} AS document FROM alerts""")
 def stream_alerts(spark, sf_dir):
-    return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/alerts").drop("batch", "document")
+    return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/alerts").drop("batch")
+
+
+_BAD = f"""{TELEMETRY_RAW},
+bad AS (
+  SELECT seq, CASE WHEN k >= 13 AND k < 19 THEN 'missing_required_field' ELSE 'undecodable' END AS error, raw_hex,
+         {RAW_TEXT_HEX} AS text_hex
+  FROM raw WHERE event_type IN ('click', 'view') AND (k < 5 OR (k >= 13 AND k < 23)))"""
 
 
-@CATALOGUE.add("stream_dead_letters", """
-SELECT event_id AS "offset", 'machine-telemetry' AS source,
-       CASE WHEN k >= 13 AND k < 19 THEN 'missing_required_field' ELSE 'undecodable' END AS error
-FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k FROM events) AS e
-WHERE event_type IN ('click', 'view') AND (k < 5 OR (k >= 13 AND k < 23))""")
+@CATALOGUE.add("stream_dead_letters", f"""
+WITH {PRESS}, {_BAD}
+SELECT seq AS "offset", 'machine-telemetry' AS source, error, raw_hex, text_hex FROM bad""")
 def stream_dead_letters(spark, sf_dir):
     rows = sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/dead_letters")
-    return rows.select("offset", "source", "error")
+    return rows.select("offset", "source", "error", F.lower(F.hex("raw")).alias("raw_hex"),
+                       F.lower(F.hex(F.encode("raw_text", "UTF-8"))).alias("text_hex"))
 
 
 @CATALOGUE.add("outgoing_messages", f"""
 WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")},
-bad AS (SELECT COUNT(*) AS n FROM press WHERE event_type IN ('click', 'view') AND (k < 5 OR (k >= 13 AND k < 23)))
-SELECT 'machine-incomplete-track' AS topic, reason AS kind, COUNT(*) AS messages, COUNT(DISTINCT device_id) AS keys
-FROM incomplete GROUP BY reason
-UNION ALL SELECT 'machine-DLQ', 'telemetry', n, 0 FROM bad""")
+{checked(_GOOD_READING).removeprefix(PRESS + ",")}, {ALERT_VIEWS}, {_BAD}
+SELECT 'machine-incomplete-track' AS topic, device_id AS key, lower(hex(encode({INCOMPLETE_DOCUMENT}))) AS value_hex
+FROM incomplete
+UNION ALL SELECT 'machine-alerts', device_id, lower(hex(encode({ALERT_DOCUMENT}))) FROM alerts
+UNION ALL SELECT 'machine-DLQ', NULL, text_hex FROM bad""")
 def outgoing_messages(spark, sf_dir):
-    """Incomplete tracks and dead letters as broker messages, counted by topic and kind."""
+    """Incomplete tracks, alerts and dead letters as broker messages, with key and value."""
     out = run_monitor(spark, sf_dir)
-    faults = sinks.as_messages(sinks.read_table(spark, f"{out}/incomplete"), sinks.INCOMPLETE_TOPIC,
-                               F.col("document"), F.col("device_id"))
-    letters = sinks.as_messages(sinks.read_table(spark, f"{out}/dead_letters"), sinks.DEAD_LETTER_TOPIC,
-                                F.col("raw_text"))
-    kind = F.coalesce(F.get_json_object("value", "$.reason"), F.lit("telemetry"))
-    # keys first, so that no group has to hold all of its keys at once
-    per_key = faults.unionByName(letters).groupBy("topic", kind.alias("kind"), "key").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per_key.groupBy("topic", "kind").agg(F.sum("n").alias("messages"), F.count("key").alias("keys"))
+    found = {name: sinks.read_table(spark, f"{out}/{name}") for name in ("incomplete", "alerts", "dead_letters")}
+    messages = sinks.outgoing(found["incomplete"], found["alerts"], found["dead_letters"])
+    return messages.select("topic", "key", F.lower(F.hex(F.encode("value", "UTF-8"))).alias("value_hex"))

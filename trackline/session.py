@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 #: Largest table that may be copied to every executor.
 BROADCAST_ROWS = 200_000
+#: Shuffle partitions before adaptive execution merges the small ones.
+INITIAL_PARTITIONS = 8192
 
 
 def build_session(app: str = "trackline", master: str | None = None, shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
     """A session with the settings the operators assume; a cluster passes its own on top.
 
-    Adaptive execution merges small shuffle partitions, so the initial number is set high
-    and only local runs lower it.
+    Adaptive execution merges small shuffle partitions, so on a cluster their initial number is set high
+    (INITIAL_PARTITIONS): a window's partition can't be split afterwards. Local runs start from `shuffle_partitions`.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -27,6 +29,8 @@ def build_session(app: str = "trackline", master: str | None = None, shuffle_par
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(INITIAL_PARTITIONS))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for name, value in conf.items():

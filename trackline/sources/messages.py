@@ -23,22 +23,35 @@ def _configured(reader, topics: list[str], fmt: str, starting: str, options: dic
 
 
 def message_stream(spark: SparkSession, topics: list[str], starting: str, *, fmt: str = "kafka", path: str | None = None,
-                   since: datetime | None = None, **options: str) -> DataFrame:
+                   since: datetime | None = None, started: str | None = None, **options: str) -> DataFrame:
     """Messages of some topics as a stream.
 
     Sensor feeds start at the latest message; feeds that hold state (events, rules) at the
     earliest one, so that a cycle opened before the start is known. A broker keeps its place in
-    the checkpoint. Files have no such place: `latest` drops messages older than `since`
-    (default: now), which a restarted stream must be given again.
+    the checkpoint. Files have no such place: `latest` drops messages older than `since`, or than the
+    first start of the feed, which the folder `started` remembers for restarts (see `feed_start`).
     """
     reader = _configured(spark.readStream, topics, fmt, starting, options)
     rows = (reader.load(path) if path else reader.load()).filter(F.col("topic").isin(topics))
     if fmt != "kafka" and starting == LATEST:
-        start = since or datetime.now(UTC)
+        start = since or (feed_start(spark, started) if started else datetime.now(UTC))
         rows = rows.filter(F.col("timestamp") >= F.timestamp_micros(F.lit(int(start.timestamp() * 1_000_000))))
     return rows.select(*COLUMNS)
 
 
+def feed_start(spark: SparkSession, folder: str) -> datetime:
+    """When a feed was first started: now on the first call, and the same time on every later one.
+
+    The folder lies beside the stream's checkpoint, so a restarted stream drops nothing that came while it was down.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        now = int(datetime.now(UTC).timestamp() * 1_000_000)
+        spark.createDataFrame([(now,)], "micros bigint").coalesce(1).write.parquet(folder)
+    micros = spark.read.schema("micros bigint").parquet(folder).first().micros
+    return datetime.fromtimestamp(micros / 1_000_000, UTC)
+
+
 def message_batch(spark: SparkSession, topics: list[str], *, fmt: str = "kafka", path: str | None = None,
                   **options: str) -> DataFrame:
     """All messages of some topics so far; read again in each micro-batch where they hold rules."""

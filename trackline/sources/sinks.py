@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The topics of the outgoing feeds.
 ALERT_TOPIC = "machine-alerts"
 INCOMPLETE_TOPIC = "machine-incomplete-track"
 DEAD_LETTER_TOPIC = "machine-DLQ"
 
+#: Columns kept as folder names.
+TEXT_FOLDERS = ("machine_type",)
+
 
 def batch_folder(table: str, batch_id: int) -> str:
     return f"{table}/batch={batch_id}"
@@ -27,8 +31,13 @@ def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: list[s
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """All batches of a table."""
-    return spark.read.option("mergeSchema", "true").parquet(table)
+    """All batches of a table. Folder names are text, so a machine type 007 does not come back as the number 7."""
+    rows = spark.read.option("mergeSchema", "true").parquet(table)
+    folders = {name: "string" for name in TEXT_FOLDERS if name in rows.columns}
+    if not folders:
+        return rows
+    kinds = [T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in rows.schema.fields]
+    return spark.read.schema(T.StructType(kinds)).parquet(table)
 
 
 def as_messages(rows: DataFrame, topic: str, value: Column, key: Column | None = None) -> DataFrame:
@@ -37,6 +46,13 @@ def as_messages(rows: DataFrame, topic: str, value: Column, key: Column | None =
                        value.cast("string").alias("value"), F.lit(topic).alias("topic"))
 
 
+def outgoing(incomplete: DataFrame, alerts: DataFrame, letters: DataFrame) -> DataFrame:
+    """The three outgoing feeds as broker messages: faults and alerts by device, dead letters without a key."""
+    return (as_messages(incomplete, INCOMPLETE_TOPIC, F.col("document"), F.col("device_id"))
+            .unionByName(as_messages(alerts, ALERT_TOPIC, F.col("document"), F.col("device_id")))
+            .unionByName(as_messages(letters, DEAD_LETTER_TOPIC, F.col("raw_text"))))
+
+
 def send(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
     """Hand messages to a broker, which delivers them at least once."""
     messages.write.format(fmt).options(**options).mode("append").save()

@@ -18,27 +18,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trackline.functions.encode import incomplete_document
+from trackline.functions.encode import encoded_rows, incomplete_document
 from trackline.functions.names import machine_type
 from trackline.operators import cycles, spc
 from trackline.operators.alerts import alerts, by_device
-from trackline.operators.decode import dead_letters, decode, good_records, union_families
+from trackline.operators.decode import dead_letters, decode, decode_rule_log, good_records, union_families
 from trackline.operators.rules import attach_latest, checked_values
 from trackline.operators.slices import MAX_ROWS, plan_slices
 from trackline.sources import contracts
-from trackline.sources.messages import EARLIEST, LATEST, message_stream
-from trackline.sources.sinks import write_batch
+from trackline.sources.messages import EARLIEST, LATEST, message_batch, message_stream
+from trackline.sources.sinks import batch_folder, outgoing, write_batch
 from trackline.streaming.state import StateTable
 
 RuleLog = Callable[[SparkSession], DataFrame]
 
 
+def control_feed(spark: SparkSession, contract: T.StructType, topic: str = "machine-control", **source: str) -> DataFrame:
+    """The control topic from its beginning, decoded; `decode.rule_records` of it is the rule log."""
+    return decode_rule_log(message_batch(spark, [topic], **source), contract)
+
+
 @dataclass(frozen=True)
 class Monitor:
     """Where things are, and which feeds there are.
 
     rule_log   reads the rule log; called in each micro-batch, so rules change without a restart
     families   contract per telemetry topic; a new machine family is one more entry
+    avsc       Avro schema per topic, for feeds with Avro bodies
+    control    reads the decoded control topic (see `control_feed`); its unusable records become dead letters
+    encoded    also writes encoded rows; outgoing: also writes alerts, faults and dead letters as broker messages
     """
 
     out_dir: str
@@ -48,6 +56,10 @@ class Monitor:
     context_topic: str = "machine-context-events"
     max_rows: int = MAX_ROWS
     full_every: int = 20
+    avsc: dict[str, str] = field(default_factory=dict)
+    control: RuleLog | None = None
+    encoded: bool = False
+    outgoing: bool = False
 
     @property
     def topics(self) -> list[str]:
@@ -64,13 +76,24 @@ class Monitor:
 
     def _process(self, spark: SparkSession, messages: DataFrame, batch_id: int) -> None:
         decoded = {
-            topic: decode(messages.filter(F.col("topic") == topic), contract, ["device_id", "timestamp"])
+            topic: decode(messages.filter(F.col("topic") == topic), contract, ["device_id", "timestamp"],
+                          avsc=self.avsc.get(topic)).persist()
             for topic, contract in self.families.items()
         }
         context = decode(messages.filter(F.col("topic") == self.context_topic), contracts.CONTEXT,
-                         contracts.required_fields(contracts.CONTEXT))
+                         contracts.required_fields(contracts.CONTEXT), avsc=self.avsc.get(self.context_topic)).persist()
+        try:
+            self._decoded(spark, decoded, context, batch_id)
+        finally:
+            for frame in (*decoded.values(), context):
+                frame.unpersist()
+
+    def _decoded(self, spark, decoded, context, batch_id) -> None:
         bad = [dead_letters(d, topic) for topic, d in {**decoded, self.context_topic: context}.items()]
         write_batch(union_families(*bad), f"{self.out_dir}/dead_letters", batch_id)
+        if self.control is not None:
+            write_batch(dead_letters(self.control(spark), "machine-control"), f"{self.out_dir}/control_dead_letters",
+                        batch_id)
 
         readings = union_families(*[good_records(d) for d in decoded.values()])
         timeline = cycles.build_timeline(readings, good_records(context)).persist()
@@ -80,6 +103,10 @@ class Monitor:
             plan = plan_slices(timeline, self.max_rows)
             self._cycles(spark, timeline, touched, plan, batch_id)
             self._alerts(spark, timeline, touched, plan, batch_id)
+            if self.outgoing:
+                names = ("incomplete", "alerts", "dead_letters")
+                feeds = [spark.read.parquet(batch_folder(f"{self.out_dir}/{name}", batch_id)) for name in names]
+                write_batch(outgoing(*feeds), f"{self.out_dir}/outgoing", batch_id)
         finally:
             if plan is not None:
                 plan.release()
@@ -88,6 +115,7 @@ class Monitor:
     def _cycles(self, spark, timeline, touched, plan, batch_id) -> None:
         state = StateTable(f"{self.state_dir}/devices", ("device_id",), self.full_every)
         carry = state.before(spark, batch_id, touched)
+        carry = carry.persist() if carry is not None else None
         tracked = cycles.track(timeline, plan, carry.drop("last_timestamp") if carry is not None else None).persist()
         try:
             rows = cycles.enriched_rows(tracked)
@@ -100,20 +128,25 @@ class Monitor:
                     "is_late", F.coalesce(F.col("timestamp") < F.col("_shown"), F.lit(False))).drop("_shown")
                 after = after.join(shown, "device_id", "left").withColumn(
                     "last_timestamp", F.greatest("last_timestamp", "_shown")).drop("_shown")
-            write_batch(rows.withColumn("machine_type", machine_type(F.col("device_id"))),
-                        f"{self.out_dir}/readings", batch_id, ["machine_type"])
+            typed = rows.withColumn("machine_type", machine_type(F.col("device_id")))
+            write_batch(typed.hint("rebalance", "machine_type"), f"{self.out_dir}/readings", batch_id, ["machine_type"])
+            if self.encoded:
+                write_batch(encoded_rows(rows), f"{self.out_dir}/encoded", batch_id)
             faults = cycles.incomplete_tracks(tracked).withColumn("document", incomplete_document())
             write_batch(faults, f"{self.out_dir}/incomplete", batch_id)
             state.write(batch_id, after)
         finally:
             tracked.unpersist()
+            if carry is not None:
+                carry.unpersist()
 
     def _alerts(self, spark, timeline, touched, plan, batch_id) -> None:
         state = StateTable(f"{self.state_dir}/series", spc.SERIES, self.full_every)
         packed = state.before(spark, batch_id, touched)
         carry = spc.unpack_tails(packed) if packed is not None else None
         readings = timeline.filter("ev IS NULL").drop("ev", "kind_rank")
-        checked = checked_values(attach_latest(by_device(readings, plan), self.rule_log(spark))).persist()
+        checked = checked_values(attach_latest(by_device(readings, plan), self.rule_log(spark),
+                                               plan is not None)).persist()
         try:
             write_batch(alerts(checked, plan, carry), f"{self.out_dir}/alerts", batch_id)
             tails = spc.pack_tails(spc.closing_tail(checked, carry))
@@ -122,11 +155,12 @@ class Monitor:
             checked.unpersist()
 
     def messages(self, spark: SparkSession, since: datetime | None = None, **source: str) -> DataFrame:
-        """The feeds as one stream: readings from now on (for files: `since`), events from the beginning.
+        """The feeds as one stream: readings from the first start on (for files: or `since`), events from the beginning.
 
         Events are read from the earliest one so that a cycle opened before the start is known.
         """
-        telemetry = message_stream(spark, list(self.families), LATEST, since=since, **source)
+        telemetry = message_stream(spark, list(self.families), LATEST, since=since, started=f"{self.state_dir}/started",
+                                   **source)
         return telemetry.unionByName(message_stream(spark, [self.context_topic], EARLIEST, **source))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:

@@ -30,16 +30,19 @@ class MetricMonitor:
 
     out_dir: str
     documents: Callable[[SparkSession], DataFrame]
+    avsc: str | None = None
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        decoded = decode(messages, contracts.METRIC, ["mc_name", "temp", "pressure"])
+        decoded = decode(messages, contracts.METRIC, ["mc_name", "temp", "pressure"], avsc=self.avsc)
         decoded = reject_implausible_metrics(decoded).persist()
         try:
             records = decoded.filter("error IS NULL").select(
                 "record.*", F.col("offset").alias("seq"), F.unix_millis("timestamp").alias("timestamp"))
             checked = metrics.check_metrics(records, metrics.current_limits(self.documents(spark)))
             log = metrics.metric_log(checked, clock=F.timestamp_millis("timestamp"))
+            rejected = metrics.rejected_log(decoded, clock=F.col("timestamp"))
+            log = log.unionByName(rejected, allowMissingColumns=True)
             write_batch(log, f"{self.out_dir}/metric_log", batch_id)
             write_text(metrics.line_protocol(checked), f"{self.out_dir}/line_protocol", batch_id)
             write_batch(dead_letters(decoded, "machine-events"), f"{self.out_dir}/metric_dead_letters", batch_id)
@@ -56,9 +59,10 @@ class UserFeed:
     """Keeps good user records and sends bad ones on with the reason in a header."""
 
     out_dir: str
+    avsc: str | None = None
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        decoded = decode(messages, contracts.USER, ["id", "name"], strict=True).persist()
+        decoded = decode(messages, contracts.USER, ["id", "name"], avsc=self.avsc, strict=True).persist()
         try:
             write_batch(good_records(decoded), f"{self.out_dir}/user_records", batch_id)
             write_batch(error_headers(decoded), f"{self.out_dir}/user_dead_letters", batch_id)
