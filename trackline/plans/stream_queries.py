@@ -7,18 +7,21 @@ one batch run, which is what the SQL computes.
 
 from __future__ import annotations
 
-import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackline.plans.registry import Catalogue
 from trackline.plans.rule_queries import ALERT_VIEWS
-from trackline.plans.sql_views import (ALERT_DOCUMENT, INCOMPLETE_DOCUMENT, PRESS, RAW_TEXT_HEX, TELEMETRY_RAW, checked,
+from trackline.plans.sql_views import (ALERT_DOCUMENT, INCOMPLETE_DOCUMENT, PRESS, RAW_TEXT_HEX, RULE_LOG, TELEMETRY_RAW,
+                                       checked,
                                        tracked)
-from trackline.session import shared_dir
+from trackline.session import work_dir
 from trackline.sources import fleet, sinks
+from trackline.sources.messages import EARLIEST, LATEST, message_stream
 from trackline.streaming.monitor import Monitor
+from trackline.streaming.simple_feeds import MetricMonitor, UserFeed
 
 CATALOGUE = Catalogue()
 SLICES = 3
@@ -42,7 +45,7 @@ def press_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_monitor(spark: SparkSession, sf_dir: str) -> str:
     """Fold the feeds; returns the folder of the output tables."""
-    folder = f"{shared_dir(spark)}/monitor-{uuid.uuid4().hex}"
+    folder = work_dir(spark, "monitor")
     monitor = Monitor(f"{folder}/out", f"{folder}/state", lambda s: fleet.rule_log(s, sf_dir))
     for batch_id, messages in enumerate(_slices(press_feeds(spark, sf_dir))):
         monitor.process(messages, batch_id)
@@ -102,3 +105,120 @@ def outgoing_messages(spark, sf_dir):
     found = {name: sinks.read_table(spark, f"{out}/{name}") for name in ("incomplete", "alerts", "dead_letters")}
     messages = sinks.outgoing(found["incomplete"], found["alerts"], found["dead_letters"])
     return messages.select("topic", "key", F.lower(F.hex(F.encode("value", "UTF-8"))).alias("value_hex"))
+
+
+LONG_AGO = datetime(1970, 1, 1, tzinfo=UTC)
+
+
+def run_stream(spark: SparkSession, parts: list[DataFrame], folder: str, start) -> None:
+    """Write the feed part by part as files; after each, start the stream anew and let it read what is there."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        start(f"{folder}/in", f"{folder}/checkpoint").awaitTermination()
+
+
+def restarted_monitor(spark: SparkSession, parts: list[DataFrame], rule_logs: list) -> str:
+    """The monitor as a stream that is stopped and started between the parts; returns the folder of its tables."""
+    folder = work_dir(spark, "monitor")
+    logs = iter(rule_logs)
+
+    def start(path: str, checkpoint: str):
+        monitor = Monitor(f"{folder}/out", f"{folder}/state", next(logs))
+        stream = monitor.messages(spark, since=LONG_AGO, fmt="parquet", path=path)
+        return monitor.start(stream, checkpoint, availableNow=True)
+
+    run_stream(spark, parts, folder, start)
+    return f"{folder}/out"
+
+
+@CATALOGUE.add("stream_restart", f"""
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")}
+SELECT device_id, timestamp, seq, vibration, temperature, context_complete, run_id, part_no, recipe_name, track_in,
+       track_out, context_event, data_point_count, last_track_out, FALSE AS is_late
+FROM enriched""")
+def stream_restart(spark, sf_dir):
+    """A file stream stopped and started in the middle gives what one run over all messages gives."""
+    parts = _slices(press_feeds(spark, sf_dir), 2)
+    rules = [lambda s: fleet.rule_log(s, sf_dir)] * 2
+    return sinks.read_table(spark, f"{restarted_monitor(spark, parts, rules)}/readings").select(
+        "device_id", "timestamp", "seq", "vibration", "temperature", "context_complete", "run_id", "part_no",
+        "recipe_name", "track_in", "track_out", "context_event", "data_point_count", "last_track_out", "is_late")
+
+
+@CATALOGUE.add("stream_late", f"""
+WITH {PRESS}, line AS (
+  SELECT *, seq % 2 AS part FROM press
+  WHERE event_type IN ('signup', 'purchase') OR (event_type IN ('click', 'view') AND ({_GOOD_READING}))),
+shown AS (SELECT device_id, MAX(timestamp) AS newest FROM line WHERE part = 0 GROUP BY device_id)
+SELECT device_id, seq, part = 1 AND COALESCE(timestamp < newest, FALSE) AS is_late
+FROM line LEFT JOIN shown USING (device_id)""")
+def stream_late(spark, sf_dir):
+    """Messages of odd number arrive after all others; rows older than what their device has shown are marked."""
+    feeds = press_feeds(spark, sf_dir)
+    parts = [feeds.filter(F.col("offset") % 2 == k) for k in (0, 1)]
+    rules = [lambda s: fleet.rule_log(s, sf_dir)] * 2
+    return sinks.read_table(spark, f"{restarted_monitor(spark, parts, rules)}/readings").select(
+        "device_id", "seq", "is_late")
+
+
+@CATALOGUE.add("stream_rule_change", f"""
+WITH {PRESS}, {RULE_LOG}, line AS (
+  SELECT *, seq % 2 AS part FROM press WHERE event_type IN ('click', 'view') AND ({_GOOD_READING})),
+versions AS (
+  SELECT part, machine_type, MAX("offset") AS "offset" FROM rule_log, (VALUES (0), (1)) AS parts(part)
+  WHERE part = 1 OR "offset" % 3 = 0 GROUP BY part, machine_type),
+long_values AS (
+  SELECT part, machine_type, seq, 'vibration' AS measurement, value FROM line
+  UNION ALL SELECT part, machine_type, seq, 'temperature', k FROM line
+  UNION ALL SELECT part, machine_type, seq, 'pressure', 65.5 FROM line),
+checked AS (
+  SELECT v.seq, v.measurement, v.value, r.upper, r.lower, r.version AS rule_version
+  FROM long_values v JOIN versions USING (part, machine_type)
+  JOIN rule_long r USING (machine_type, "offset", measurement))
+SELECT seq, measurement, 'upper' AS limit_type, upper AS limit_value, rule_version FROM checked WHERE value > upper
+UNION ALL SELECT seq, measurement, 'lower', lower, rule_version FROM checked WHERE value < lower""")
+def stream_rule_change(spark, sf_dir):
+    """Limit breaches of two batches, between which two thirds of the limit records are published."""
+    feeds = press_feeds(spark, sf_dir)
+    parts = [feeds.filter(F.col("offset") % 2 == k) for k in (0, 1)]
+    rules = [lambda s: fleet.rule_log(s, sf_dir).filter("offset % 3 = 0"), lambda s: fleet.rule_log(s, sf_dir)]
+    found = sinks.read_table(spark, f"{restarted_monitor(spark, parts, rules)}/alerts")
+    return found.filter("alert_type = 'limit_breach'").select(
+        "seq", "measurement", "limit_type", "limit_value", "rule_version")
+
+
+@CATALOGUE.add("user_stream", """
+SELECT 'U' || c_custkey AS id, c_name AS name,
+       CASE WHEN c_acctbal >= 0 THEN c_name || '@example.com' END AS email, c_custkey AS seq
+FROM customer WHERE c_nationkey >= 7""")
+def user_stream(spark, sf_dir):
+    """User records from a file stream that is started twice."""
+    folder = work_dir(spark, "users")
+    messages = fleet.user_messages(spark, sf_dir)
+    feed = UserFeed(f"{folder}/out")
+    run_stream(spark, [messages.filter(F.col("offset") % 2 == k) for k in (0, 1)], folder, lambda path, checkpoint: feed.start(
+        message_stream(spark, ["user-events"], EARLIEST, fmt="parquet", path=path), checkpoint, availableNow=True))
+    return sinks.read_table(spark, f"{folder}/out/user_records").drop("batch")
+
+
+@CATALOGUE.add("metric_stream", f"""
+WITH {PRESS}
+SELECT seq, k >= 3 AND value * 4 <= 1000 AS checked,
+       CASE WHEN k < 3 OR value * 4 > 1000 THEN '\u26a0\ufe0f Caught Poison Pill at Offset ' || seq
+         || ': implausible -> Routing to DLQ.' END AS rejected_line,
+       strftime(make_timestamp(timestamp * 1000), '%H:%M:%S') AS clock,
+       CASE WHEN k >= 3 AND value * 4 <= 1000 THEN CAST(printf('%.1f', value * 4) AS DOUBLE) END AS temp
+FROM press""")
+def metric_stream(spark, sf_dir):
+    """Metrics from a file stream that is started twice: one log line per message, with its time of day."""
+    folder = work_dir(spark, "metrics")
+    messages = fleet.metric_messages(spark, sf_dir)
+    monitor = MetricMonitor(f"{folder}/out", lambda s: fleet.control_documents(s, sf_dir))
+    run_stream(spark, [messages.filter(F.col("offset") % 2 == k) for k in (0, 1)], folder,
+               lambda path, checkpoint: monitor.start(message_stream(
+                   spark, ["machine-events"], LATEST, fmt="parquet", path=path, since=LONG_AGO), checkpoint,
+                   availableNow=True))
+    log = sinks.read_table(spark, f"{folder}/out/metric_log")
+    checked = F.col("mc_name").isNotNull()
+    return log.select("seq", checked.alias("checked"), F.when(~checked, F.expr("substring(line, 12)")).alias("rejected_line"),
+                      F.expr("substring(line, 2, 8)").alias("clock"), "temp")

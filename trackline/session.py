@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +55,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder inside the shared one, removed when the driver ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Hint a broadcast only when the table is measured (or known) to hold at most `limit` rows.
 
