@@ -49,7 +49,6 @@ def test_large_group_of_near_copies(spark, monkeypatch, paired):
     """Copies at every distance of one text: no link may be lost, by pairs nor by blocks."""
     monkeypatch.setattr(op4, "PAIRED", paired)
     monkeypatch.setattr(op4, "BLOCK", 8)
-    monkeypatch.setattr(op4, "PAIRS_A_GROUP", 4)
     rng = random.Random(3)
     words = [f"w{rng.randrange(400)}" for _ in range(150)]
     rows = [(k, changed(words, rng.randrange(12), rng)) for k in range(90)]

@@ -9,7 +9,7 @@ from trackline.llm.common import written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round over edges (a, b) with a < b: every node hands its neighbours the smallest node it knows.
+    """One half round over edges (a, b) with a < b: every node hands its neighbours the smallest node it knows.
 
     Minima are summed up before the shuffle, and the join back can split a node with very many neighbours.
     """
@@ -23,23 +23,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         moved = met.select(F.col("least").alias("a"), "b").unionByName(
             least.select(F.col("least").alias("a"), F.col("node").alias("b")))
-    return moved.filter("a <> b").distinct()
+    return moved.filter("a <> b")
+
+
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every component is a star: no node is above one node and below another, or below two."""
+    sides = edges.select(F.col("a").alias("node"), F.lit(1).alias("above"), F.lit(0).alias("below")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("above"), F.lit(1).alias("below")))
+    nodes = sides.groupBy("node").agg(F.max("above").alias("above"), F.sum("below").alias("below"))
+    return nodes.filter("below > 1 OR above + below > 1").isEmpty()
 
 
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
-    Each round's edges are written to the shared folder; rounds end when they change nothing. Their number grows
-    with the logarithm of the longest path, and a round never gathers the neighbours of a node.
+    Each round's edges are written to the shared folder. Their number grows with the logarithm of the longest path,
+    and a round never gathers the neighbours of a node.
     """
     now = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .distinct(), name)
-    before = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
-            break
-        before = mark
-        now = written(_star(_star(now, large=True), large=False), name)
+    while not _is_done(now):
+        now = written(_star(_star(now, large=True), large=False).distinct(), name)
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
-        now.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
+        now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -20,46 +20,46 @@ from trackline.llm.common import Words, arrow_map, fresh, mixed, shingles, table
 from trackline.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
-#: Two texts of similarity 0.8 share no band of the signature with a chance of (1 - 0.8**ROWS)**BANDS = 1.5e-5.
-BANDS, ROWS = 28, 5
+#: Two texts of similarity 0.8 share no band of the signature with a chance of (1 - 0.8**ROWS)**BANDS = 2.6e-5.
+BANDS, ROWS = 20, 4
 #: Band buckets up to this size are compared member by member, where their members are not linked yet; larger ones in
 #: blocks of BLOCK documents, inside tasks.
 PAIRED, BLOCK = 32, 64
-#: Pairs that meet one copy of a leader's text.
-PAIRS_A_GROUP = 512
 
 
-def thrown(cells: np.ndarray, low: np.ndarray, width: np.ndarray, weight: np.ndarray, limit: float,
-           size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The earliest dart below `limit` for every coordinate, and its rank (infinite where there is none).
+def thrown(cells: np.ndarray, low: np.ndarray, width: np.ndarray, weight: np.ndarray, limit: np.ndarray,
+           row: np.ndarray, rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every row and coordinate the earliest dart below the row's limit, and its rank (infinite if there is none).
 
     A cell is a stretch [low, low + width) of an element's weight axis. Its darts come in the order of their rank,
     with exponential gaps, all drawn from hashes, so every document that covers the cell sees the same darts.
     """
-    darts, ranks, rank, step = [], [], np.zeros(len(cells)), np.uint64(0)
+    darts, ranks, owners, rank, step = [], [], [], np.zeros(len(cells)), np.uint64(0)
     with np.errstate(over="ignore"):
         while len(cells):
             step += np.uint64(0x9E3779B97F4A7C15)
             dart = mixed(cells + step)
             rank = rank - np.log(((dart >> np.uint64(11)) + 0.5) / 2.0 ** 53) / width
-            live = rank <= limit
-            cells, low, width, weight, rank, dart = (x[live] for x in (cells, low, width, weight, rank, dart))
+            live = np.flatnonzero(rank <= limit)
+            cells, low, width, weight, limit, row, rank, dart = (
+                x[live] for x in (cells, low, width, weight, limit, row, rank, dart))
             height = (mixed(dart ^ np.uint64(0xA5A5A5A5)) >> np.uint64(11)) / 2.0 ** 53
-            inside = low + height * width < weight
+            inside = np.flatnonzero(low + height * width < weight)
             darts.append(dart[inside])
             ranks.append(rank[inside])
-    dart, rank = (np.concatenate(x) if x else np.zeros(0) for x in (darts, ranks))
-    order = np.argsort(-rank, kind="stable")  # of several assignments to a coordinate the last one, the earliest, stays
-    coordinate = (mixed(dart.astype(np.uint64) ^ np.uint64(0x5A5A5A5A)) % np.uint64(size)).astype(np.int64)[order]
-    signature, first = np.zeros(size, np.uint64), np.full(size, np.inf)
-    signature[coordinate], first[coordinate] = dart[order], rank[order]
-    return signature, first
-
-
-def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray | None:
-    """`size` coordinates for distinct elements (64-bit numbers) of positive weights; None without elements."""
-    if not len(elements):
-        return None
+            owners.append(row[inside])
+    signature, first = np.zeros(rows * size, np.uint64), np.full(rows * size, np.inf)
+    if darts:
+        dart, rank, owner = map(np.concatenate, (darts, ranks, owners))
+        order = np.argsort(-rank)  # of several assignments to a place the last one, the earliest dart, stays
+        place = owner * size + (mixed(dart ^ np.uint64(0x5A5A5A5A)) % np.uint64(size)).astype(np.int64)
+        signature[place[order]], first[place[order]] = dart[order], rank[order]
+    return signature.reshape(rows, size), first.reshape(rows, size)
+
+
+def dart_signatures(elements: np.ndarray, weights: np.ndarray, row: np.ndarray, rows: int, size: int) -> np.ndarray:
+    """(rows, size) coordinates; row says whose each element is. An element occurs once per row at most and has a
+    positive weight; the coordinates of a row without elements are 0."""
     levels = np.ceil(np.log2(np.maximum(weights, 1))).astype(np.int64)  # cells [0, 1), [1, 2), [2, 4), [4, 8), ...
     owner = np.repeat(np.arange(len(elements)), levels + 1)
     level = np.arange(len(owner)) - np.repeat(np.cumsum(levels + 1) - levels - 1, levels + 1)
@@ -67,17 +67,33 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.n
     low = np.where(level == 0, 0.0, width)
     with np.errstate(over="ignore"):
         cells = elements[owner] + mixed(level.astype(np.uint64) + np.uint64(1))
-    limit = (size * np.log(size) + 3 * size) / weights.sum()
-    while True:
-        signature, first = thrown(cells, low, width, weights[owner], limit, size)
-        if np.isfinite(first).all():
-            return signature
+    weight, row_of = weights[owner], row[owner]
+    total = np.bincount(row, weights, rows)
+    limit = (size * np.log(size) + 3 * size) / np.where(total > 0, total, 1)
+    signature = np.zeros((rows, size), np.uint64)
+    wanted = total > 0
+    while wanted.any():
+        own = np.flatnonzero(wanted[row_of])
+        found, first = thrown(cells[own], low[own], width[own], weight[own], limit[row_of[own]], row_of[own], rows, size)
+        full = wanted & np.isfinite(first).all(axis=1)
+        signature[full] = found[full]
+        wanted &= ~full
         limit *= 2
+    return signature
+
+
+def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray | None:
+    """The coordinates for one set of weighted elements; None without elements."""
+    rows = np.zeros(len(elements), np.int64)
+    return dart_signatures(elements, weights, rows, 1, size)[0] if len(elements) else None
 
 
-def weighted(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    elements, counts = np.unique(runs, return_counts=True)
-    return elements, counts.astype(np.float64)
+def weighted(runs: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs per text, how often each occurs, and the text."""
+    order = np.lexsort((runs, text))
+    runs, text = runs[order], text[order]
+    first = np.flatnonzero(np.concatenate([[True], (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])])[:len(runs)])
+    return runs[first], np.diff(np.append(first, len(runs))).astype(np.float64), text[first]
 
 
 def occurrences(runs: np.ndarray) -> np.ndarray:
@@ -100,36 +116,44 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(a) + len(b) - shared)
 
 
+def texts_runs(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `size` words of every text, and whose they are; a shorter text with words is one run."""
+    held = Words(*texts)
+    numbers = held.numbers()
+    at = held.runs(size)
+    found, text = shingles(numbers, size)[at] if len(at) else numbers[:0], held.text[at]
+    short = np.flatnonzero((held.counts > 0) & (held.counts < size))
+    begin = np.cumsum(held.counts) - held.counts
+    extra = [shingles(numbers[begin[k]:begin[k] + held.counts[k]], size) for k in short]
+    return np.concatenate([found, *extra]), np.concatenate([text, short])
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     band = mixed(np.arange(1, bands + 1).astype(np.uint64))
     for batch in batches:
         found = []
         for _, texts in text_groups(batch.column(2).to_pylist()):
-            held = Words(*texts)
-            numbers = np.split(held.numbers(), np.cumsum(held.counts)[:-1])
-            for own in numbers:
-                signature = dart_signature(*weighted(shingles(own, words)), bands * rows)
-                if signature is None:
-                    found.append(None)
-                    continue
-                key = band.copy()
-                with np.errstate(over="ignore"):
-                    for part in signature.reshape(bands, rows).T:
-                        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + part)
-                found.append(key.view(np.int64))
+            elements, weights, text = weighted(*texts_runs(texts, words))
+            signatures = dart_signatures(elements, weights, text, len(texts), bands * rows)
+            keys = np.tile(band, (len(texts), 1))
+            with np.errstate(over="ignore"):
+                for part in signatures.reshape(len(texts), bands, rows).transpose(2, 0, 1):
+                    keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + part)
+            has = np.bincount(text, minlength=len(texts)) > 0
+            found += [key if own else None for key, own in zip(keys.view(np.int64), has, strict=True)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))],
                                          names=["doc_id", "copy", "bands"])
 
 
 def _checked(batches: Iterator[pa.RecordBatch], words: int, least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) that are similar enough. The row with a's own text comes before its partners' rows."""
-    held, leader = None, None
+    """Pairs (a, b) that are similar enough; rows of one `a` mostly follow each other, so its text is kept at hand."""
+    held, own = None, None
     for batch in batches:
         found = []
-        for a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if b is None:
-                held, leader = a, occurrences(text_runs(text, words))
-            elif held == a and similarity(leader, occurrences(text_runs(text, words))) >= least:
+        for a, b, first, second in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held != a:
+                held, own = a, occurrences(text_runs(first, words))
+            if similarity(own, occurrences(text_runs(second, words))) >= least:
                 found.append((a, b))
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)],
                                          names=["a", "b"])
@@ -138,18 +162,12 @@ def _checked(batches: Iterator[pa.RecordBatch], words: int, least: float) -> Ite
 def similar_pairs(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
     """Those of the pairs (a, b) whose whole texts are similar enough.
 
-    Each partner's text travels once per pair, the text of `a` once per PAIRS_A_GROUP pairs; a frequent `a` is
-    dealt to several tasks.
+    Two joins bring the texts; a node with very many pairs is split by Spark, as a join needs no whole key.
     """
-    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_GROUP).cast("long").alias("groups"))
-    partners = pairs.join(texts.withColumnRenamed("node", "b"), "b").join(groups, "a").select(
-        "a", F.pmod(F.xxhash64("b"), "groups").alias("salt"), "b", "text")
-    leaders = groups.join(texts.withColumnRenamed("node", "a"), "a").select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("salt"),
-        F.lit(None).cast("long").alias("b"), "text")
-    dealt = partners.unionByName(leaders).repartition("a", "salt").sortWithinPartitions(
-        "a", "salt", F.col("b").asc_nulls_first())
-    return arrow_map(dealt.select("a", "b", "text"), _checked, "a long, b long", words, least)
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("first"))
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("second"))
+    met = pairs.join(second, "b").join(first, "a").select("a", "b", "first", "second")
+    return arrow_map(met, _checked, "a long, b long", words, least)
 
 
 def _block(rows: pd.DataFrame, words: int, least: float) -> pd.DataFrame:
@@ -230,8 +248,8 @@ def classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, band
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(buckets.join(shared, "key"), "dart-members")
-    needed = nodes.select("copy", "node").join(members.select("node").distinct(), "node", "left_semi")
-    own = texts.join(needed, "copy").filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node")))
+    own = texts.select(F.coalesce("doc_id", F.xxhash64("copy")).alias("node"), "text").join(
+        members.select("node").distinct(), "node")
     own = written(own.groupBy("node").agg(F.first("text").alias("text")), "dart-texts")
     first = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = written(similar_pairs(first, own, words, least), "dart-links")
@@ -248,7 +266,8 @@ def classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, band
     more = similar_pairs(pairs, own, words, least).unionByName(
         hot_links(open_ones.filter(F.col("n") > PAIRED), own, words, least))
     more = written(more, "dart-more-links")
-    found = joined if more.isEmpty() else components(links.unionByName(more), "dart-classes")
+    stars = joined.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    found = joined if more.isEmpty() else components(stars.unionByName(more), "dart-classes")
     found = found.withColumnRenamed("component", "class_id")
     return sketched.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy"), found
 
