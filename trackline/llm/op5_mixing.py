@@ -7,12 +7,14 @@ documents are never gathered by source, as one source may hold a third of them.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trackline.llm.common import fresh, table, unit, written
+from trackline.session import bounded_broadcast
 
 WEIGHTS = (5, 2, 1)
 #: The mix's size as a share of the corpus, in percent; and the most often a source may be repeated.
@@ -21,7 +23,7 @@ SEED = 42
 #: Bins a source's documents fall into at each step of the search for the last one taken.
 BINS = 4096
 #: Documents added at most per source to come closer to its target.
-FILLS = 2
+FILLS = 5
 
 
 def word_count(text: Column) -> Column:
@@ -72,9 +74,10 @@ def water_filled(sources: DataFrame, percent: int = PERCENT, epochs: int = EPOCH
             F.col("target"))), "mix-sources")
 
 
-def _cut(docs: DataFrame, limits: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
     """For every source the documents of the fractional repetition: in the order of a seeded number, as many as fit
-    into the source's remaining size, and then FILLS times the largest document that fits into what is left.
+    into the source's remaining size, and then up to FILLS times the largest document that fits into what is left;
+    once none fits, one more where that comes nearer.
 
     Two histograms of BINS bins find the bins that hold the last document; only that last bin's documents are put
     in order. The histograms are summed before the shuffle, so a source with many documents is no hot group.
@@ -89,13 +92,14 @@ def _cut(docs: DataFrame, limits: DataFrame) -> DataFrame:
         return passed.groupBy("source_key").agg(F.min("bin").alias("border"), F.min_by("before", "bin").alias("upto"))
 
     first, second = F.floor(F.col("u") * BINS), F.floor(F.col("u") * BINS * BINS) % BINS
-    rows = docs.select("row_key", "source_key", "size", "u").join(limits, "source_key")
+    small = partial(bounded_broadcast, rows=sources)  # all these tables have one row per source
+    rows = docs.select("row_key", "source_key", "size", "u").join(small(limits), "source_key")
     one = written(border(rows, first), "mix-bins")
-    rows = rows.join(one, "source_key", "left")
+    rows = rows.join(small(one), "source_key", "left")
     inside = rows.filter(first == F.col("border")).withColumn("wanted", F.col("wanted") - F.col("upto")).drop(
         "border", "upto")
     two = written(border(inside, second).withColumnsRenamed({"border": "border2", "upto": "upto2"}), "mix-bins")
-    rows = rows.join(two, "source_key", "left")
+    rows = rows.join(small(two), "source_key", "left")
     sure = F.col("border").isNull() | (first < F.col("border")) | (
         (first == F.col("border")) & (F.col("border2").isNull() | (second < F.col("border2"))))
     edge = rows.filter((first == F.col("border")) & (second == F.col("border2")))
@@ -105,13 +109,23 @@ def _cut(docs: DataFrame, limits: DataFrame) -> DataFrame:
     edge = edge.filter(F.col("before") + F.col("size") <= F.col("wanted"))
     taken = written(rows.filter(sure).select("row_key").unionByName(edge.select("row_key")).distinct(), "mix-taken")
     rows = rows.select("row_key", "source_key", "size", "wanted")
+    past = False  # nothing fits any more: one last document may go past the target, if that is nearer to it
     for _ in range(FILLS):
         marked = rows.join(taken.withColumn("in", F.lit(1)), "row_key", "left")
         left = marked.groupBy("source_key", "wanted").agg(F.sum(F.when(F.col("in") == 1, F.col("size"))).alias("sum"))
         left = left.select("source_key", (F.col("wanted") - F.coalesce("sum", F.lit(0))).alias("left"))
-        fits = marked.filter("in IS NULL AND size > 0").join(left, "source_key").filter("size <= left")
-        picks = fits.groupBy("source_key").agg(F.max_by("row_key", F.struct("size", "row_key")).alias("row_key"))
-        taken = written(taken.unionByName(picks.select("row_key")), "mix-taken")
+        fits = marked.filter("in IS NULL AND size > 0").join(small(left), "source_key").filter(
+            "size < 2 * left" if past else "size <= left")
+        miss = F.struct(F.abs(F.col("size") - F.col("left")), "row_key")
+        picks = fits.groupBy("source_key").agg(F.min_by("row_key", miss).alias("row_key"))
+        picks = written(picks, "mix-picks")
+        if not picks.isEmpty():
+            taken = written(taken.unionByName(picks.select("row_key")), "mix-taken")
+        elif not past:
+            past = True
+            continue
+        if past:
+            break
     return taken
 
 
@@ -122,8 +136,8 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
 
     `size` is the text's number of words. Sources by code point, null last, weigh `weights`, repeating. A document is
     taken whole, floor(target / source_size) times and, for the fractional part, once more if it is among the first
-    of its source in the order of a seeded hash of id and text; FILLS single documents then fill the gap to the
-    target as far as they fit. `taken` is size times repeats.
+    of its source in the order of a seeded hash of id and text; single documents then fill the gap to the target, the
+    last one past it where that is nearer. `taken` is size times repeats.
 
     Null and empty texts have size 0 and take no words. Repeated rows are rows of their own; those equal in id and text
     share their number and so are all taken or left. A null id is an id of its own. A source of size 0 has target 0.
@@ -142,9 +156,10 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
     whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     filled = written(filled.select("source_key", "source_size", "target", whole.alias("whole"),
                                    (F.col("target") - whole * F.col("source_size")).alias("wanted")), "mix-targets")
-    more = _cut(rows, filled.filter("wanted > 0").select("source_key", "wanted"))
+    count = filled.count()
+    more = _cut(rows, filled.filter("wanted > 0").select("source_key", "wanted"), count)
     more = more.distinct().withColumn("more", F.lit(1))
-    found = rows.join(filled, "source_key").join(more, "row_key", "left")
+    found = rows.join(bounded_broadcast(filled, rows=count), "source_key").join(more, "row_key", "left")
     repeats = (F.col("whole") + F.coalesce("more", F.lit(0))).alias("repeats")
     return found.select("doc_id", "source", "size", "source_size", "target", repeats, "row_key").withColumn(
         "taken", (F.col("size") * F.col("repeats")).cast("long"))
