@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from trackline.llm.common import arrow_map, fresh, table, written
 from trackline.llm.cuckoo import CuckooFilter
+from trackline.session import bounded_broadcast
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys a shard is planned for; the number of shards follows the number of keys, so a filter stays small.
@@ -167,7 +168,8 @@ def drops(state: LineState, refs: DataFrame) -> DataFrame:
     """
     shard = _shard(max(1, state.shards)).alias("shard")
     groups = state.counts.groupBy(shard).agg(F.ceil(F.sum("n_docs") / GROUP_LINES).cast("long").alias("groups"))
-    groups = groups.join(state.filters.select("shard"), "shard", "left_semi")  # one row per shard
+    groups = groups.join(state.filters.select("shard"), "shard", "left_semi")
+    groups = bounded_broadcast(groups, rows=state.shards)  # one row per shard
     lines = refs.select(shard, "doc_id", *KEY).join(groups, "shard").select(
         "shard", F.pmod(F.xxhash64("doc_id", "high"), "groups").alias("salt"), "doc_id", *KEY,
         F.lit(None).cast("binary").alias("filter"), F.lit(True).alias("is_line"))
