@@ -109,23 +109,18 @@ def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
     edge = edge.filter(F.col("before") + F.col("size") <= F.col("wanted"))
     taken = written(rows.filter(sure).select("row_key").unionByName(edge.select("row_key")).distinct(), "mix-taken")
     rows = rows.select("row_key", "source_key", "size", "wanted")
-    past = False  # nothing fits any more: one last document may go past the target, if that is nearer to it
     for _ in range(FILLS):
         marked = rows.join(taken.withColumn("in", F.lit(1)), "row_key", "left")
         left = marked.groupBy("source_key", "wanted").agg(F.sum(F.when(F.col("in") == 1, F.col("size"))).alias("sum"))
         left = left.select("source_key", (F.col("wanted") - F.coalesce("sum", F.lit(0))).alias("left"))
-        fits = marked.filter("in IS NULL AND size > 0").join(small(left), "source_key").filter(
-            "size < 2 * left" if past else "size <= left")
-        miss = F.struct(F.abs(F.col("size") - F.col("left")), "row_key")
+        fits = marked.filter("in IS NULL AND size > 0").join(small(left), "source_key").filter("size < 2 * left")
+        # what fits goes first; only where nothing fits may a document go past the target, if that is nearer to it
+        miss = F.struct(F.col("size") > F.col("left"), F.abs(F.col("size") - F.col("left")), "row_key")
         picks = fits.groupBy("source_key").agg(F.min_by("row_key", miss).alias("row_key"))
         picks = written(picks, "mix-picks")
-        if not picks.isEmpty():
-            taken = written(taken.unionByName(picks.select("row_key")), "mix-taken")
-        elif not past:
-            past = True
-            continue
-        if past:
+        if picks.isEmpty():
             break
+        taken = written(taken.unionByName(picks.select("row_key")), "mix-taken")
     return taken
 
 
