@@ -91,6 +91,29 @@ def test_leaks_equal_brute_force(spark):
     assert clean == {i for i, _ in docs} - {i for i, _ in found}
 
 
+@pytest.mark.parametrize("common", [op3.COMMON, 0])
+def test_no_edit_hides_a_copy(spark, docs, sf_dir, monkeypatch, common):
+    """Copies of every item edited at every 2nd to 6th word, by other words, words put in or left out."""
+    monkeypatch.setattr(op3, "COMMON", common)
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = [(row.item_id, row.text) for row in bench.orderBy("item_id").collect()][:12]
+    copies = []
+    for i, text in items:
+        for every in (2, 3, 4, 5, 6):
+            for way in (lambda w: ["other"], lambda w: [w, "more"], lambda w: []):
+                own = [x for k, w in enumerate(brute.plain(text)) for x in (way(w) if k % every == every - 1 else [w])]
+                copies.append((len(copies), f"some words before {' '.join(own)} and some behind"))
+        copies.append((len(copies), " more ".join(brute.plain(text))))
+    frame = spark.createDataFrame(copies, "doc_id long, text string")
+    own_items = spark.createDataFrame(items, "item_id long, text string")
+    found = {(row.doc_id, row.item_id): row.score for row in op3.leaks(frame, own_items).collect()}
+    expected = brute.leaks(copies, items)
+    assert len(expected) > 12 * 12 and found == {pair: pytest.approx(score) for pair, score in expected.items()}
+    texts = docs.select("doc_id", "text").unionByName(frame.selectExpr("doc_id - 1000000 AS doc_id", "text"))
+    among = {(row.doc_id + 1000000, row.item_id) for row in op3.leaks(texts, bench).filter("doc_id < 0").collect()}
+    assert set(expected) <= among
+
+
 def test_aligned_words_are_told(spark):
     frame = spark.createDataFrame([(1, "before it. The quick, brown fox jumps over one lazy dog! and after")],
                                   "doc_id long, text string")

@@ -1,52 +1,85 @@
-"""Benchmark decontamination: rare n-gram seeds find passages near test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: shared word pairs find passages near test items, Smith-Waterman alignment scores them.
 
-Words are compared in lower case, without punctuation. Of the n-grams of an item only rare ones are seeds: the one
-with the lowest document frequency in the training corpus of every WINDOW neighbouring words. So a copy with WINDOW
-words in a row as in the item always has a seed, however often the passage occurs.
+Words are compared in lower case, without punctuation. Seeds are all pairs of neighbouring words of an item; a document
+holds one where the two words stand side by side or with one word between. A passage whose score reaches `least` holds
+at least `needed` of them within `reach` words, wherever its edits are: between two matched words stands nothing or one
+word (a pair), two words or more (cost 2), or an item's word was changed or left out (cost 1, and never matched). So
+stretches with fewer pairs are passed over without loss, and no count of the corpus decides what is looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackline.llm.common import Words, arrow_map, shingles, table, text_groups
+from trackline.llm.common import Words, arrow_map, mixed, table, text_groups
 
-SEED, WINDOW = 3, 6
-#: Scores of the alignment, per word; a passage counts from this share of the item's best possible score on.
+#: Scores of the alignment, per word (`needed` and `reach` rest on them); a passage counts from this share of the item's best possible score on.
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Characters of test items that a task holds at a time; larger benchmarks take several passes.
 BLOCK_CHARS = 8 << 20
+#: Pairs at more places of items than this are no seeds, up to half of those an item needs; it then needs so many fewer.
+COMMON = 64
 _FILTER = np.uint64((1 << 20) - 1)
 
 
+def needed(sizes: np.ndarray, least: float) -> np.ndarray:
+    """The fewest pairs that a passage of score `least` shares with an item of that many words.
+
+    Of m matched words, m - 1 - b - c pairs are left by b gaps with an item's word in them and c with two words or more
+    put in. The score allows b + 2 c <= 2 m - 2 least size, and b <= size - m; the least over all m is this.
+    """
+    return np.ceil(sizes * (4 * least - 1) / 3 - 1 - 1e-9).astype(np.int64)
+
+
+def pairs(numbers: np.ndarray, apart: int) -> np.ndarray:
+    """A number for each two words that stand `apart` words from each other."""
+    return mixed(numbers[:-apart] * np.uint64(0x9E3779B97F4A7C15) + numbers[apart:])
+
+
 @dataclass(frozen=True)
 class Items:
-    """Test items as word numbers, and their seeds: seed k occurs in item owner[i] at word place[i], for i from
-    first[k] to first[k + 1]."""
+    """Test items as word numbers, and their seeds: seed k occurs in the items owner[first[k]:first[k + 1]], once for
+    each of its places. A passage of item i holds at least need[i] seeds within reach[i] words; where that is below
+    one, every document is looked at."""
 
     ids: list
     words: list[np.ndarray]
+    need: np.ndarray
+    reach: np.ndarray
     seeds: np.ndarray
     first: np.ndarray
     owner: np.ndarray
-    place: np.ndarray
     maybe: np.ndarray
 
     @classmethod
-    def of(cls, ids: list, words: list[np.ndarray], numbers: np.ndarray, owner: np.ndarray,
-           place: np.ndarray) -> Items:
-        order = np.lexsort((place, owner, numbers))
+    def of(cls, ids: list, texts: list[str | None], least: float) -> Items:
+        words = [Words(text, plain=True).numbers() for text in texts]
+        sizes = np.array([len(own) for own in words], np.int64)
+        need, reach = needed(sizes, least), np.ceil(sizes * (3 - 2 * least)).astype(np.int64)
+        numbers = np.concatenate([np.zeros(0, np.uint64), *(pairs(own, 1) for own in words)])
+        owner = np.repeat(np.arange(len(words)), np.maximum(sizes - 1, 0))
+        # the commonest pairs first in each item
+        _, which, times = np.unique(numbers, return_inverse=True, return_counts=True)
+        order = np.lexsort((numbers, -times[which], owner))
+        numbers, owner, times = numbers[order], owner[order], times[which][order]
+        rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        out = (times > COMMON) & (rank < need[owner] // 2)
+        need = need - np.bincount(owner[out], minlength=len(words))
+        used = ~out & (need[owner] > 0)
+        numbers, owner = numbers[used], owner[used]
+        order = np.lexsort((owner, numbers))
         seeds, first = np.unique(numbers[order], return_index=True)
         maybe = np.zeros(int(_FILTER) + 1, bool)
         maybe[(seeds & _FILTER).astype(np.int64)] = True
-        return cls(ids, words, seeds, np.append(first, len(numbers)), owner[order], place[order], maybe)
+        return cls(ids, words, need, reach, seeds, np.append(first, len(numbers)), owner[order], maybe)
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in `grams` that are seeds, and which."""
@@ -58,34 +91,6 @@ class Items:
         return at[real], seed[real]
 
 
-def all_grams(ids: list, texts: list[str | None]) -> Items:
-    """Items with every n-gram as a seed; an item of fewer words is one n-gram."""
-    words, numbers, owner, place = [], [], [], []
-    for k, text in enumerate(texts):
-        words.append(Words(text, plain=True).numbers())
-        grams = shingles(words[-1], SEED)
-        numbers.append(grams)
-        owner.append(np.full(len(grams), k))
-        place.append(np.arange(len(grams)))
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return Items.of(ids, words, join(numbers, np.uint64), join(owner, np.int64), join(place, np.int64))
-
-
-def rare_seeds(items: Items, frequency: np.ndarray) -> Items:
-    """The items with the rarest n-gram of every window left; frequency holds documents per n-gram."""
-    gram = np.repeat(np.arange(len(items.seeds)), np.diff(items.first))
-    order = np.lexsort((items.place, items.owner))
-    gram, owner, place = gram[order], items.owner[order], items.place[order]
-    chosen = np.zeros(len(gram), bool)
-    span = WINDOW - SEED + 1
-    for k in np.unique(owner):
-        own = np.flatnonzero(owner == k)
-        rank = np.lexsort((items.seeds[gram[own]], frequency[gram[own]])).argsort()
-        for at in range(max(1, len(own) - span + 1)):
-            chosen[own[at + int(np.argmin(rank[at:at + span]))]] = True
-    return Items.of(items.ids, items.words, items.seeds[gram[chosen]], owner[chosen], place[chosen])
-
-
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score of two word arrays, and the passage's last aligned word."""
     row, best, end = np.zeros(len(passage) + 1, np.int64), 0, 0
@@ -100,49 +105,36 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def leaks_in(words: np.ndarray, hits: np.ndarray, seeds: np.ndarray, items: Items,
-             least: float) -> Iterator[tuple[int, float, int, int]]:
-    """(item, score, first word, last word) for every item of which the document holds a similar passage."""
-    span = np.diff(items.first)[seeds]
-    if not span.sum():
-        return
-    entry = np.repeat(items.first[seeds], span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-    item, begin = items.owner[entry], np.repeat(hits, span) - items.place[entry]
-    order = np.lexsort((begin, item))
-    item, begin = item[order], begin[order]
-    for own in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
-        k = int(item[own[0]])
-        target = items.words[k]
-        slack = len(target) // 2 + 2
-        best = (0, 0, 0)
-        starts = np.flatnonzero(np.diff(begin[own], prepend=-2 ** 62) > slack)
-        for a, b in zip(starts, np.append(starts[1:], len(own)) - 1, strict=True):
-            low = max(0, int(begin[own[a]]) - slack)
-            passage = words[low:int(begin[own[b]]) + len(target) + slack]
-            common = int(np.isin(passage, target).sum())
-            if MATCH * min(common, len(target)) < least * MATCH * len(target):
-                continue  # even if all common words were aligned the score would be too low
-            score, end = alignment(target, passage)
-            if score > best[0]:
-                _, back = alignment(target[::-1], passage[:end + 1][::-1])
-                best = (score, low + end - back, low + end)
-        score = best[0] / (MATCH * len(target))
-        if score >= least:
-            yield k, score, best[1], best[2]
-
-
-def _frequency(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
-    found = np.zeros(len(items.seeds), np.int64)
-    for batch in batches:
-        for _, texts in text_groups(batch.column(0).to_pylist()):
-            words = Words(*texts, plain=True)
-            at = words.runs(SEED)
-            if len(at):
-                hits, seeds = items.hits(shingles(words.numbers(), SEED)[at])
-                seen = np.unique(words.text[at[hits]] * len(items.seeds) + seeds)
-                found += np.bincount(seen % max(1, len(items.seeds)), minlength=len(found))
-    at = np.flatnonzero(found)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["gram", "docs"])
+def stretches(words: Words, numbers: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first word, word behind the last) of all stretches that may hold a passage, by text and item."""
+    spots, found = [], []
+    for apart in (1, 2):
+        at = words.runs(apart + 1)
+        hits, seeds = items.hits(pairs(numbers, apart)[at])
+        spots.append(at[hits])
+        found.append(seeds)
+    spots, found = np.concatenate(spots), np.concatenate(found)
+    span = np.diff(items.first)[found]
+    entry = np.repeat(items.first[found], span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+    item, at = items.owner[entry], np.repeat(spots, span)
+    text = words.text[at]
+    order = np.lexsort((at, item, text))
+    item, at, text = item[order], at[order], text[order]
+    last = np.arange(len(at)) + items.need[item] - 1
+    inside = np.flatnonzero(last < len(at))
+    last = last[inside]
+    near = ((item[last] == item[inside]) & (text[last] == text[inside])
+            & (at[last] - at[inside] <= items.reach[item[inside]]))
+    inside, last = inside[near], last[near]
+    item, text = item[inside], text[inside]
+    bounds = np.concatenate([[0], np.cumsum(words.counts)])
+    low = np.maximum(at[last] - items.reach[item], bounds[text])
+    high = np.minimum(at[inside] + items.reach[item] + 1, bounds[text + 1])
+    new = np.ones(len(item), bool)
+    new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (low[1:] > high[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(item))[:len(begin)] - 1
+    yield from zip(text[begin].tolist(), item[begin].tolist(), low[begin].tolist(), high[end].tolist(), strict=True)
 
 
 def found_in(texts: list[str | None], items: Items, least: float) -> Iterator[tuple[int, int, float, int, int]]:
@@ -150,26 +142,24 @@ def found_in(texts: list[str | None], items: Items, least: float) -> Iterator[tu
     words = Words(*texts, plain=True)
     numbers = words.numbers()
     bounds = np.concatenate([[0], np.cumsum(words.counts)])
-    at = words.runs(SEED)
-    if len(at):
-        hits, seeds = items.hits(shingles(numbers, SEED)[at])
-        hits = at[hits]
-    else:
-        hits = seeds = at
-    short = [k for k, own in enumerate(items.words) if 0 < len(own) < SEED]
-    texts_hit = np.unique(words.text[hits]) if not short else np.arange(len(texts))
-    for k in texts_hit.tolist():
-        low, high = np.searchsorted(hits, bounds[k]), np.searchsorted(hits, bounds[k + 1])
-        own = numbers[bounds[k]:bounds[k + 1]]
-        for leak in leaks_in(own, hits[low:high] - bounds[k], seeds[low:high], items, least):
-            yield k, *leak
-        for item in short:  # items of fewer words than a seed have no seed; their words are looked for one by one
-            target = items.words[item]
-            if len(own) and MATCH * int(np.isin(target, own).sum()) >= least * MATCH * len(target):
-                score, end = alignment(target, own)
-                if score >= least * MATCH * len(target):
-                    _, back = alignment(target[::-1], own[:end + 1][::-1])
-                    yield k, item, score / (MATCH * len(target)), end - back, end
+    # items without a pair that a passage must hold are looked for in whole texts
+    everywhere = [k for k, own in enumerate(items.words) if len(own) and items.need[k] < 1]
+    places = chain(stretches(words, numbers, items), (
+        (k, item, int(bounds[k]), int(bounds[k + 1])) for k in range(len(texts)) if words.counts[k] for item in everywhere))
+    for (k, item), own in groupby(places, key=lambda place: place[:2]):
+        target = items.words[item]
+        best = (0, 0, 0)
+        for _, _, low, high in own:
+            passage = numbers[low:high]
+            if int(np.isin(target, passage).sum()) < least * len(target):
+                continue  # even if all its words found here were aligned the score would be too low
+            score, end = alignment(target, passage)
+            if score > best[0]:
+                _, back = alignment(target[::-1], passage[:end + 1][::-1])
+                best = (score, low + end - back, low + end)
+        score = best[0] / (MATCH * len(target))
+        if best[0] and score >= least:
+            yield k, item, score, best[1] - int(bounds[k]), best[2] - int(bounds[k])
 
 
 def _leaks(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iterator[pa.RecordBatch]:
@@ -194,20 +184,15 @@ def _clean(batches: Iterator[pa.RecordBatch], items: Items, least: float, text_a
         yield batch.filter(pa.array(keep))
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Iterator[Items]:
-    """The test items with their rare seeds, block by block; each is of bounded size and fits a task and the driver."""
+def item_blocks(benchmark: DataFrame, least: float) -> Iterator[Items]:
+    """The test items with their seeds, block by block; each is of bounded size and fits a task and the driver."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text"))
     chars = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS)
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).orderBy("item_id", "item_text")
         rows = rows.collect()
-        grams = all_grams([row.item_id for row in rows], [row.item_text for row in rows])
-        counts = arrow_map(docs.select(text_col), _frequency, "gram long, docs long", grams)
-        frequency = np.zeros(len(grams.seeds), np.int64)
-        for row in counts.groupBy("gram").agg(F.sum("docs").alias("docs")).collect():  # at most one per n-gram
-            frequency[row.gram] = row.docs
-        yield rare_seeds(grams, frequency)
+        yield Items.of([row.item_id for row in rows], [row.item_text for row in rows], least)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, id_col: str = "doc_id",
@@ -215,16 +200,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, id_co
     """(doc_id, item_id, score, first_word, last_word): every document that holds a passage similar to a test item.
 
     The score is the best local alignment's share of the item's own score, from `least` to 1; the words are counted
-    from 0 in the document without punctuation. Documents are read twice per block of items and never shuffled.
+    from 0 in the document without punctuation. Documents are read once per block of items and never shuffled.
 
-    Null and empty texts and items hold no words and match nothing. An item of fewer words than a seed is aligned
-    with every document that holds enough of its words. Rows with equal ids or texts are each looked at; equal items
+    Null and empty texts and items hold no words and match nothing. An item of so few words that a passage need not
+    hold a pair (up to three at the threshold) is aligned with every document that holds enough of its words. Rows with equal ids or texts are each looked at; equal items
     each count. A null id stays null. Empty tables give no rows. Other columns play no part.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, score double, first_word long, last_word long"
     found = docs.sparkSession.createDataFrame([], schema)
-    for items in item_blocks(texts, benchmark):
+    for items in item_blocks(benchmark, least):
         found = found.unionByName(arrow_map(texts, _leaks, schema, items, least))
     return found
 
@@ -236,7 +221,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = THRESHO
     text_at = docs.columns.index(text_col)
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
     kept = docs.toDF(*names)
-    for items in item_blocks(docs, benchmark, text_col):
+    for items in item_blocks(benchmark, least):
         kept = arrow_map(kept, _clean, schema, items, least, text_at)
     return kept.toDF(*docs.columns)
 
