@@ -197,6 +197,69 @@ def test_licenses(spark, odd_docs, no_docs):
     assert op8.scan_licenses(odd_docs).count() == 14 and op8.scan_licenses(no_docs).count() == 0
 
 
+APACHE = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def test_wrapped_licenses(spark):
+    remark = lambda text, mark: "\n".join(mark + line for line in text.split("\n"))
+    rows = [(1, APACHE), (2, MIT), (3, BSD), (4, GPL), (5, remark(APACHE, "# ")), (6, remark(MIT, " * ")),
+            (7, GPL.replace("\n", "\r\n")), (8, "Released under\n\nthe MIT License"),
+            (9, "Released under the MIT License\nReleased under the\nMIT License and more"), (10, f"{MIT}\n\n{BSD}")]
+    found = {row.doc_id: (row.n_sentences, row.licenses, row.rules) for row in op8.scan_licenses(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: (5, "Apache-2.0", "Apache-2.0/header"), 2: (3, "MIT", "MIT/text"),
+                     3: (2, "BSD-3-Clause", "BSD-3-Clause/text"), 4: (2, "GPL-3.0", "GPL-3.0/header"),
+                     5: (5, "Apache-2.0", "Apache-2.0/header"), 6: (3, "MIT", "MIT/text"),
+                     7: (2, "GPL-3.0", "GPL-3.0/header"), 8: (0, "", ""), 9: (1, "MIT", "MIT/notice"),
+                     10: (5, "MIT,BSD-3-Clause", "MIT/text,BSD-3-Clause/text")}
+
+
 def naive_base(text):
     found, text = [], text or ""
     found += [(m.start(), 0, m.end()) for m in op9.ASSIGN.finditer(text) if len(m[2]) >= 12]

@@ -1,6 +1,7 @@
 """License scans by sentence rules: normalised sentences become known identifiers, whose sequences match rules.
 
-Only SQL functions, one pass per row, no shuffle: the tables of sentences and rules are constants.
+Only SQL functions, one pass per row, no shuffle: the tables of sentences and rules are constants. The SQL counterpart
+knows sentences of one line only, which is all the given tables hold.
 """
 
 from __future__ import annotations
@@ -80,8 +81,20 @@ RULES = (
 )
 #: A licence whose rule matched takes the place of the weaker ones its sentences are part of.
 INSTEAD = {"BSD-3-Clause": "BSD-2-Clause"}
-#: Where a sentence ends: at a line break, or at a mark before white space or the end.
-SENTENCE_END = r"\n+|[.!?;:]+(?=\s|$)"
+#: Rewrites of a text in lower case, in this order, that leave words, single spaces and three kinds of ends: "S" for the
+#: end of a sentence or paragraph, "W" for a semicolon or colon, which may also stand inside a sentence, and "\n".
+MARKS = (
+    (r"[.!?](?=\s|$)", "S"),
+    (r"[;:](?=\s|$)", "W"),
+    (r"[^a-z0-9\nSW]+", " "),
+    (r"[ W]*W[ W]*", "W"),
+    (r"[ \nSW]*(?:S|\n[ W]?\n)[ \nSW]*", "S"),
+    (r"[ \nW]*W[ \nW]*", "W"),
+    (r" ?\n ?", "\n"),
+)
+#: A known sentence from one end to another, over any number of lines; the longest that begins at a place counts.
+KNOWN = "(?<![a-z0-9 ])(?:" + "|".join(
+    words.replace(" ", r"[ \nW]") for words in sorted(SENTENCES.values(), key=len, reverse=True)) + ")(?![a-z0-9 ])"
 NUMBERS = {name: k + 1 for k, name in enumerate(SENTENCES)}
 
 
@@ -92,12 +105,15 @@ def _codes(names: tuple[str, ...]) -> str:
 def identifiers(text: Column) -> Column:
     """The known sentences of a text as text, in their order: ",3,,7,". Sentences that are not known are left out.
 
-    Sentences that end and go on in the next line are looked for joined, too: white space does not count.
+    A sentence may go on in the next lines, from the beginning of a line or sentence to the end of one. Lines without a
+    letter or digit end it.
     """
     known = F.create_map(*(F.lit(x) for name, words in SENTENCES.items() for x in (words, f",{NUMBERS[name]},")))
-    plain = F.transform(F.split(text, SENTENCE_END), lambda part: F.trim(
-        F.regexp_replace(F.lower(part), r"[^a-z0-9]+", " ")))
-    return F.array_join(F.transform(plain, lambda words: F.element_at(known, words)), "")
+    plain = F.lower(text)
+    for pattern, mark in MARKS:
+        plain = F.regexp_replace(plain, pattern, mark)
+    found = F.regexp_extract_all(F.trim(plain), F.lit(KNOWN), F.lit(0))
+    return F.array_join(F.transform(found, lambda words: F.element_at(known, F.translate(words, "\nW", "  "))), "")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
