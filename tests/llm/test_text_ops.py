@@ -155,6 +155,19 @@ def test_targets_equal_brute_force(docs, texts):
     assert sorted(map(tuple, op5.mixed_sources(docs.repartition(5)).collect())) == sorted(map(tuple, rows))
 
 
+def test_long_documents_leave_no_gap(spark):
+    """Sources of short documents and a long one, which often stands where the seeded order is cut."""
+    rng = random.Random(3)
+    rows = [(1000 * s + k, "w " * (2000 if k == 0 else rng.randrange(1, 21)), f"s{s}") for s in range(6)
+            for k in range(300)]
+    mix = op5.mixed_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), (1,), 50)
+    found = mix.toPandas()
+    for _, own in found.groupby("source"):
+        left = own.target.iloc[0] - own.taken.sum()
+        assert abs(left) <= 20 and own.repeats.max() == 1
+        assert all(abs(left - size) >= abs(left) for size in own["size"][own.repeats == 0])
+
+
 @pytest.mark.parametrize("weights", [(5, 2, 1), (1,), (100, 1)])
 def test_water_filling(spark, weights):
     rng = random.Random(7)

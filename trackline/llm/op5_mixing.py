@@ -6,6 +6,7 @@ documents are never gathered by source, as one source may hold a third of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 from functools import partial
 
@@ -22,8 +23,6 @@ PERCENT, EPOCHS = 150, 2
 SEED = 42
 #: Bins a source's documents fall into at each step of the search for the last one taken.
 BINS = 4096
-#: Documents added at most per source to come closer to its target.
-FILLS = 5
 
 
 def word_count(text: Column) -> Column:
@@ -74,10 +73,8 @@ def water_filled(sources: DataFrame, percent: int = PERCENT, epochs: int = EPOCH
             F.col("target"))), "mix-sources")
 
 
-def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
-    """For every source the documents of the fractional repetition: in the order of a seeded number, as many as fit
-    into the source's remaining size, and then up to FILLS times the largest document that fits into what is left;
-    once none fits, one more where that comes nearer.
+def _first_ones(rows: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The keys of the first rows of every source, in the order of u, whose sizes together are at most `wanted`.
 
     Two histograms of BINS bins find the bins that hold the last document; only that last bin's documents are put
     in order. The histograms are summed before the shuffle, so a source with many documents is no hot group.
@@ -92,8 +89,6 @@ def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
         return passed.groupBy("source_key").agg(F.min("bin").alias("border"), F.min_by("before", "bin").alias("upto"))
 
     first, second = F.floor(F.col("u") * BINS), F.floor(F.col("u") * BINS * BINS) % BINS
-    small = partial(bounded_broadcast, rows=sources)  # all these tables have one row per source
-    rows = docs.select("row_key", "source_key", "size", "u").join(small(limits), "source_key")
     one = written(border(rows, first), "mix-bins")
     rows = rows.join(small(one), "source_key", "left")
     inside = rows.filter(first == F.col("border")).withColumn("wanted", F.col("wanted") - F.col("upto")).drop(
@@ -107,21 +102,32 @@ def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
                                          .rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     edge = edge.withColumn("before", upto + F.col("upto") + F.col("upto2"))
     edge = edge.filter(F.col("before") + F.col("size") <= F.col("wanted"))
-    taken = written(rows.filter(sure).select("row_key").unionByName(edge.select("row_key")).distinct(), "mix-taken")
-    rows = rows.select("row_key", "source_key", "size", "wanted")
-    for _ in range(FILLS):
-        marked = rows.join(taken.withColumn("in", F.lit(1)), "row_key", "left")
+    return written(rows.filter(sure).select("row_key").unionByName(edge.select("row_key")).distinct(), "mix-taken")
+
+
+def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
+    """For every source the documents of the fractional repetition: in the order of a seeded number, as many as fit
+    into the source's remaining size; the same again with those that fit into what is left, until none does; and then
+    one more where that comes nearer.
+
+    A document that does not fit is passed over and what is left is less than it, so each step leaves about half of
+    what the one before left. Only documents of less than twice that size are read again.
+    """
+    small = partial(bounded_broadcast, rows=sources)  # all these tables have one row per source
+    rows = docs.select("row_key", "source_key", "size", "u").join(small(limits), "source_key")
+    taken, step = None, _first_ones(rows, small)
+    while taken is None or not step.isEmpty():
+        taken = step if taken is None else taken.unionByName(step)
+        marked = rows.join(step.withColumn("in", F.lit(1)), "row_key", "left")
         left = marked.groupBy("source_key", "wanted").agg(F.sum(F.when(F.col("in") == 1, F.col("size"))).alias("sum"))
-        left = left.select("source_key", (F.col("wanted") - F.coalesce("sum", F.lit(0))).alias("left"))
-        fits = marked.filter("in IS NULL AND size > 0").join(small(left), "source_key").filter("size < 2 * left")
-        # what fits goes first; only where nothing fits may a document go past the target, if that is nearer to it
-        miss = F.struct(F.col("size") > F.col("left"), F.abs(F.col("size") - F.col("left")), "row_key")
-        picks = fits.groupBy("source_key").agg(F.min_by("row_key", miss).alias("row_key"))
-        picks = written(picks, "mix-picks")
-        if picks.isEmpty():
-            break
-        taken = written(taken.unionByName(picks.select("row_key")), "mix-taken")
-    return taken
+        left = written(left.select("source_key", (F.col("wanted") - F.coalesce("sum", F.lit(0))).alias("wanted")),
+                       "mix-left")
+        open_ones = marked.filter("in IS NULL AND size > 0").drop("in", "wanted").join(small(left), "source_key")
+        rows = written(open_ones.filter("size < 2 * wanted"), "mix-open")
+        step = _first_ones(rows.filter("size <= wanted"), small)
+    nearest = F.min_by("row_key", F.struct("size", "row_key"))
+    return written(taken.unionByName(rows.groupBy("source_key").agg(nearest.alias("row_key")).select("row_key")),
+                   "mix-taken")
 
 
 def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = PERCENT, epochs: int = EPOCHS,
@@ -131,8 +137,8 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
 
     `size` is the text's number of words. Sources by code point, null last, weigh `weights`, repeating. A document is
     taken whole, floor(target / source_size) times and, for the fractional part, once more if it is among the first
-    of its source in the order of a seeded hash of id and text; single documents then fill the gap to the target, the
-    last one past it where that is nearer. `taken` is size times repeats.
+    of its source in the order of a seeded hash of id and text; those that fit then fill the gap to the target until
+    none does, and a last one goes past it where that is nearer. `taken` is size times repeats.
 
     Null and empty texts have size 0 and take no words. Repeated rows are rows of their own; those equal in id and text
     share their number and so are all taken or left. A null id is an id of its own. A source of size 0 has target 0.
