@@ -16,6 +16,9 @@ from trackline.llm import op7_warc as op7
 from trackline.llm import op8_license_rules as op8
 from trackline.llm import op9_secret_crf as op9
 from trackline.llm import op10_quality_rules as op10
+from trackline.llm import op11_qd_whitening as op11
+from trackline.llm import op12_bloom_dedup as op12
+from trackline.llm import op13_fp_tree_search as op13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance": op1.op1_importance,
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_rules": op8.op8_license_rules,
     "op9_secret_crf": op9.op9_secret_crf,
     "op10_quality_rules": op10.op10_quality_rules,
+    "op11_qd_whitening": op11.op11_qd_whitening,
+    "op12_bloom_dedup": op12.op12_bloom_dedup,
+    "op13_fp_tree_search": op13.op13_fp_tree_search,
 }
 
 SQL: dict[str, str] = {
@@ -36,4 +42,6 @@ SQL: dict[str, str] = {
     "op7_warc": op7.SQL,
     "op8_license_rules": op8.SQL,
     "op10_quality_rules": op10.SQL,
+    "op12_bloom_dedup": op12.SQL,
+    "op13_fp_tree_search": op13.SQL,
 }
