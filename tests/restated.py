@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 
 @dataclass
@@ -69,15 +69,19 @@ def replay(messages):
 
 
 def zone_rules(series: list[float]) -> list[set[int]]:
-    """The rules that fire at each value of one series."""
+    """The rules that fire at each value of one series, in exact fractions of the values as they are written."""
     fired = []
+    written = [Fraction(str(v)) for v in series]
     for end in range(1, len(series) + 1):
-        window = series[max(0, end - 25):end]
+        window = written[max(0, end - 25):end]
         found: set[int] = set()
         if len(window) >= 15 and max(window) > min(window):
             mean = sum(window) / len(window)
-            sd = math.sqrt(sum((v - mean) ** 2 for v in window) / (len(window) - 1))
-            z = lambda v, k: (v > mean + k * sd) - (v < mean - k * sd)  # noqa: E731 side of a zone
+            variance = sum((v - mean) ** 2 for v in window) / (len(window) - 1)
+
+            def z(v, k):  # side of a zone
+                return ((v > mean) - (v < mean)) * ((v - mean) ** 2 > k * k * variance)  # noqa: B023
+
             sides = [(v > mean) - (v < mean) for v in window]
             steps = [(b > a) - (b < a) for a, b in zip(window, window[1:])]
             if z(window[-1], 3):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,46 @@ def test_random_series(spark, max_rows):
     assert {n for rules in got.values() for n in rules} >= {1, 2, 5, 6, 7}
 
 
+def tied_series() -> dict[str, list[float]]:
+    """Series whose values fall on the mean and on sigma lines all the time."""
+    rng = random.Random(7)
+    return {
+        "cents": [rng.randint(0, 10) / 100 for _ in range(300)],
+        "one in the middle": ([0.1, -0.1] * 12 + [0.0]) * 6,
+        "far from zero": [1e6 + rng.randint(0, 8) / 100 for _ in range(300)],
+        "negative": [-rng.randint(0, 3) / 10 for _ in range(200)],
+        "mixed sizes": [rng.choice([1e-9, 2e-9, 123456.75, 0.3]) for _ in range(200)],
+        "large": [rng.randint(0, 4) * 1e18 for _ in range(120)],
+        "small": [rng.randint(0, 4) * 1e-30 for _ in range(120)],
+    }
+
+
+@pytest.mark.parametrize("max_rows", [None, 7, 60])
+def test_values_on_a_line_are_on_neither_side(spark, max_rows):
+    series = tied_series()
+    values = frame(spark, series)
+    plan = plan_slices(values, max_rows) if max_rows else None
+    got = fired(spc.evaluate(plan.assign(values) if plan else values, plan))
+    assert got == {(d, i): r for d, v in series.items() for i, r in enumerate(zone_rules(v))}
+
+
+def test_moments_are_the_same_to_the_last_bit(spark):
+    """Sliced or not, and whatever the order of equal sums, the mean is the exact one rounded."""
+    rng = random.Random(8)
+    series = {"d": [rng.gauss(1e3, 1) * 10 ** rng.randint(-6, 6) for _ in range(400)], **tied_series()}
+    values = frame(spark, series)
+    columns = ("device_id", "seq", "n", "mean", "sd")
+    whole = {tuple(r[:2]): r for r in spc.evaluate(values).select(*columns).collect()}
+    for max_rows in (7, 100):
+        plan = plan_slices(values, max_rows)
+        assert {tuple(r[:2]): r for r in spc.evaluate(plan.assign(values), plan).select(*columns).collect()} == whole
+    for (device, at), row in whole.items():
+        window = [Fraction(v) for v in series[device][max(0, at - 24):at + 1]]
+        mean = sum(window) / len(window)
+        rounded = 30 if device in ("large", "small") else 3  # beyond the grids sums are plain
+        assert abs(Fraction(row.mean) - mean) <= abs(mean) * Fraction(rounded, 2 ** 53), (device, at)
+
+
 def test_tails_continue_a_series(spark):
     rng = random.Random(3)
     series = [rng.gauss(5, 2) for _ in range(120)]

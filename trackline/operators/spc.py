@@ -6,6 +6,11 @@ values never get here (`checked_values` drops them). A window that holds an infi
 spread that is a number: comparisons with it are false, as in the monitor's contract, so of the rules
 on zones only rule 8 (no point inside) fires there.
 
+The sum of a window is exact: every value is cut on fixed grids into parts whose sums no rounding touches, so it depends
+neither on the order of the values nor on the slicing, and the mean is one rounding away from the true one. A value that
+is on a line as written (0.05 with a mean of 0.05) differs from it only by what binary numbers can't hold; differences
+below ROUNDING of the window's largest value count as none, so such a value is *on* the line, on neither side of it.
+
 All rules are built from one window specification: one sort, no Python. The array of the
 latest 15 values comes from lags, which cost one row access each.
 """
@@ -33,6 +38,25 @@ RULES = {
 
 SERIES = ("device_id", "measurement")
 
+#: Grids of the exact sums, coarse to fine. 25 parts of one grid add up without rounding for values below LARGEST; digits
+#: below the finest grid (1e-25) and larger values are summed as they are.
+GRIDS = (8, -37, -82)
+LARGEST = 2.0 ** 55
+#: Share of a window's largest value below which a distance from a line is rounding. Values of up to 13 digits are told apart.
+ROUNDING = 2.0 ** -45
+
+
+def _parts(value: str) -> dict[str, Column]:
+    """A value as parts on the grids and a rest: `x + big - big` is x rounded to the grid that `big` can hold."""
+    rest, parts = F.col(value), {}
+    small = F.abs(rest) < LARGEST  # false for infinite ones
+    for k, grid in enumerate(GRIDS):
+        big = 1.5 * 2.0 ** (52 + grid)
+        parts[f"_part{k}"] = F.when(small, (rest + big) - big).otherwise(0.0)
+        rest = rest - parts[f"_part{k}"]
+    parts["_rest"] = rest
+    return parts
+
 
 def _tail(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The last 24 values per key; Spark limits each map task to 24 rows per key before the shuffle."""
@@ -120,28 +144,35 @@ def evaluate(values: DataFrame, plan: SlicePlan | None = None, carry: DataFrame
 
     # Values are never null here; saying so keeps null checks out of the generated code.
     rows = rows.withColumn("value", F.coalesce("value", F.lit(0.0)))
+    parts = _parts("value")
+    rows = rows.withColumns(parts)
     spec = Window.partitionBy(*partition_columns(plan, *SERIES)).orderBy(*_order(rows))
     recent = spec.rowsBetween(1 - WINDOW_CAPACITY, 0)
     lags = {f"_v{k}": F.lag("value", k, 0.0).over(spec) for k in range(1, MIN_POINTS)}
     out = rows.withColumns({
         "n": F.count("value").over(recent),
-        "_mean": F.avg("value").over(recent),
+        **{f"{part}_sum": F.sum(part).over(recent) for part in parts},
         "_sd": F.stddev_samp("value").over(recent),
         "_lo": F.min("value").over(recent),
         "_hi": F.max("value").over(recent),
         **lags,
     })
     # A flat window has no spread, whatever rounding leaves in the sum.
+    coarse, middle, fine, rest = (F.coalesce(F.col(f"{part}_sum"), F.lit(0.0)) for part in parts)
+    largest = F.greatest(F.abs("_lo"), F.abs("_hi"))
     out = out.withColumns({
-        "mean": F.coalesce("_mean", F.lit(0.0)),
+        "mean": (coarse + (middle + (fine + rest))) / F.col("n"),
+        "_near": F.when(largest < float("inf"), largest * ROUNDING).otherwise(0.0),
         "sd": F.when(F.col("_hi") > F.col("_lo"), F.coalesce("_sd", F.lit(0.0))).otherwise(F.lit(0.0)),
     })
+    out = out.withColumns({"_up": F.col("mean") + F.col("_near"), "_down": F.col("mean") - F.col("_near")})
     ready = f"n >= {MIN_POINTS} AND sd > 0"
     last = ["value", *lags]
     out = out.withColumns({f"rule_{number}": F.expr(f"{ready} AND ({test})") for number, test in _tests(last).items()})
     if seeds is not None:
         out = out.filter("phase = 1")
-    return out.drop("_mean", "_sd", "_lo", "_hi", *lags, "phase", "slice")
+    return out.drop("_sd", "_lo", "_hi", "_near", "_up", "_down", *parts, *(f"{part}_sum" for part in parts), *lags,
+                    "phase", "slice")
 
 
 def _tests(last: list[str]) -> dict[int, str]:
@@ -154,10 +185,10 @@ def _tests(last: list[str]) -> dict[int, str]:
     known = "NOT isnan(sd)"  # Spark takes NaN for the largest number
 
     def above(value: str, width: int) -> str:
-        return f"{value} > mean + {width} * sd"
+        return f"{value} > _up + {width} * sd"
 
     def below(value: str, width: int) -> str:
-        return f"{value} < mean - {width} * sd"
+        return f"{value} < _down - {width} * sd"
 
     def every(conditions: list[str]) -> str:
         return " AND ".join(f"({c})" for c in conditions)
@@ -169,13 +200,13 @@ def _tests(last: list[str]) -> dict[int, str]:
     nine, fifteen = ", ".join(last[:9]), ", ".join(last[:15])
     return {
         1: f"{known} AND ({above('value', 3)} OR {below('value', 3)})",
-        2: f"NOT isnan(mean) AND (least({nine}) > mean OR greatest({nine}) < mean)",
+        2: f"NOT isnan(mean) AND (least({nine}) > _up OR greatest({nine}) < _down)",
         3: f"({every(up[:5])}) OR ({every(down[:5])})",
         4: every([f"({up[k]} AND {down[k + 1]}) OR ({down[k]} AND {up[k + 1]})" for k in range(12)]),
         5: f"{known} AND ({beyond(3, 2, 2)})",
         6: f"{known} AND ({beyond(5, 4, 1)})",
-        7: f"{known} AND greatest({fifteen}) <= mean + sd AND least({fifteen}) >= mean - sd",
-        8: f"isnan(sd) OR ({every([f'{v} > mean + sd OR {v} < mean - sd' for v in last[:8]])})",
+        7: f"{known} AND greatest({fifteen}) <= _up + sd AND least({fifteen}) >= _down - sd",
+        8: f"isnan(sd) OR ({every([f'{v} > _up + sd OR {v} < _down - sd' for v in last[:8]])})",
     }
 
 

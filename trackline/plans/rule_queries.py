@@ -173,7 +173,12 @@ lathe_values AS (
 def spc_lathes(spark, sf_dir):
     """Zone rules over every measurement of every line item."""
     names = ("spindle_rpm", "cutting_force", "coolant_pressure")
-    readings = fleet.lathe_readings(spark, sf_dir).select("device_id", "timestamp", "seq", *names)
+    return _line_violations(fleet.lathe_readings(spark, sf_dir).select("device_id", "timestamp", "seq", *names))
+
+
+def _line_violations(readings: DataFrame) -> DataFrame:
+    """Zone rules over every measurement of the readings."""
+    names = [c for c in readings.columns if c not in ("device_id", "timestamp", "seq")]
     plan = plan_slices(readings)
     measured = F.array(*[F.struct(F.lit(m).alias("measurement"), F.col(m).alias("value"))
                          for m in names])
@@ -182,6 +187,24 @@ def spc_lathes(spark, sf_dir):
     return spc.violations(spc.evaluate(values, plan))
 
 
+TIES = f"""{LATHES.replace("l_quantity, l_extendedprice, l_discount", "l_tax, l_linenumber")}""".split("lathe_values")[0] + """
+lathe_values AS (
+  SELECT device_id, timestamp, seq, 'fine' AS measurement, l_tax AS value FROM lathes
+  UNION ALL SELECT device_id, timestamp, seq, 'far_from_zero', 1000000 + l_tax FROM lathes
+  UNION ALL SELECT device_id, timestamp, seq, 'three_levels', (l_linenumber % 3 - 1) / 10.0 FROM lathes
+  UNION ALL SELECT device_id, timestamp, seq, 'two_levels', (l_linenumber % 2) * 0.2 - 0.1 FROM lathes)"""
+
+
+@CATALOGUE.add("spc_ties", f"WITH {TIES}, {zone_rules('lathe_values')} {_violations_sql('scored')}")
+def spc_ties(spark, sf_dir):
+    """Zone rules where values are often equal to the mean or a sigma line, also far from zero."""
+    lathes = fleet.lathe_readings(spark, sf_dir, "l_tax", "l_linenumber")
+    number = F.col("l_linenumber")
+    return _line_violations(lathes.select(
+        "device_id", "timestamp", "seq", F.col("l_tax").alias("fine"), (1e6 + F.col("l_tax")).alias("far_from_zero"),
+        ((number % 3 - 1) / 10.0).alias("three_levels"), ((number % 2 * 2 - 1) / 10.0).alias("two_levels")))
+
+
 ALERT_VIEWS = f"""{zone_rules('checked')}, fired AS ({_violations_sql('scored')}),
 alerts AS (
   SELECT 'limit_breach' AS alert_type, device_id, timestamp, seq, measurement, value, limit_type, limit_value,

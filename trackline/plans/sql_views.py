@@ -154,40 +154,49 @@ CHECKED = checked()
 
 
 def zone_rules(series: str) -> str:
-    """`scored`: rules 1-8 over `series`(device_id, measurement, timestamp, seq, value), from frames and lists."""
+    """`scored`: rules 1-8 over `series`(device_id, measurement, timestamp, seq, value), in whole numbers.
+
+    All values have two decimals, so hundredths and their sums are exact. With S and Q the sums of a window's values and
+    squares, a value is off the centre by (n * value - S) / n and the variance is (n * Q - S * S) / n / (n - 1).
+    """
     def tail(n: int) -> str:
-        return f"list_slice(w, -{n}, -1)"
+        return f"list_slice(u, -{n}, -1)"
+
+    def off(x: str, width: int) -> str:
+        """Whether x lies beyond so many sigmas, on either side."""
+        return f"(n * {x} - s) * (n * {x} - s) * (n - 1) > {width * width} * n * (n * q - s * s)"
 
     def beyond(n: int, needed: int, width: int) -> str:
-        return (f"(len(list_filter({tail(n)}, lambda x: x > mean + {width} * sd)) >= {needed} OR "
-                f"len(list_filter({tail(n)}, lambda x: x < mean - {width} * sd)) >= {needed})")
+        return (f"(len(list_filter({tail(n)}, lambda x: n * x > s AND {off('x', width)})) >= {needed} OR "
+                f"len(list_filter({tail(n)}, lambda x: n * x < s AND {off('x', width)})) >= {needed})")
 
     return f"""
 frames AS (
-  SELECT device_id, measurement, timestamp, seq, value,
-         COUNT(*) OVER f AS n, bool_or(isinf(value)) OVER f AS wild,
-         CASE WHEN MAX(value) OVER f = 'infinity'::DOUBLE THEN 'infinity'::DOUBLE
-              ELSE AVG(CASE WHEN isinf(value) THEN 0 ELSE value END) OVER f END AS mean,
-         STDDEV_SAMP(CASE WHEN isinf(value) THEN 0 ELSE value END) OVER f AS raw_sd,
-         MIN(value) OVER f AS lo, MAX(value) OVER f AS hi,
-         array_agg(value) OVER f AS w, array_agg(sign(step)) OVER f AS s
-  FROM (SELECT *, value - LAG(value) OVER (PARTITION BY device_id, measurement ORDER BY timestamp, seq) AS step
+  SELECT device_id, measurement, timestamp, seq, value, CAST(COUNT(*) OVER f AS HUGEINT) AS n,
+         bool_or(isinf(value)) OVER f AS wild, MAX(value) OVER f = 'infinity'::DOUBLE AS soars,
+         SUM(hundredths) OVER f AS s, SUM(hundredths * hundredths) OVER f AS q, hundredths AS own,
+         array_agg(hundredths) OVER f AS u, array_agg(value) OVER f AS w, array_agg(sign(step)) OVER f AS steps
+  FROM (SELECT *, value - LAG(value) OVER (PARTITION BY device_id, measurement ORDER BY timestamp, seq) AS step,
+               CAST(CASE WHEN isinf(value) THEN 0 ELSE round(value * 100) END AS HUGEINT) AS hundredths
         FROM {series}) AS stepped
   WINDOW f AS (PARTITION BY device_id, measurement ORDER BY timestamp, seq
                ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)),
-spread AS (SELECT *, CASE WHEN wild THEN 1 WHEN hi > lo THEN raw_sd ELSE 0 END AS sd FROM frames),
+spread AS (
+  SELECT *, s / n::DOUBLE / 100 AS mean, n >= 15 AND (wild OR n * q > s * s) AS ready,
+         CASE WHEN wild THEN 1 WHEN n > 1 THEN sqrt((n * q - s * s)::DOUBLE / (n * (n - 1))::DOUBLE) / 100 ELSE 0 END AS sd
+  FROM frames),
 scored AS (
-  SELECT *,
-    n >= 15 AND sd > 0 AND NOT wild AND (value > mean + 3 * sd OR value < mean - 3 * sd) AS rule_1,
-    n >= 15 AND sd > 0 AND (len(list_filter({tail(9)}, lambda x: x > mean)) = 9
-      OR len(list_filter({tail(9)}, lambda x: x < mean)) = 9) AS rule_2,
-    n >= 15 AND sd > 0 AND abs(list_sum(list_slice(s, -5, -1))) = 5 AS rule_3,
-    n >= 15 AND sd > 0 AND len(list_filter(list_slice(s, -13, -1), lambda x: x <> 0)) = 13
-      AND len(list_filter(list_zip(list_slice(s, -13, -2), list_slice(s, -12, -1)), lambda p: p[1] = p[2])) = 0 AS rule_4,
-    n >= 15 AND sd > 0 AND NOT wild AND {beyond(3, 2, 2)} AS rule_5,
-    n >= 15 AND sd > 0 AND NOT wild AND {beyond(5, 4, 1)} AS rule_6,
-    n >= 15 AND sd > 0 AND NOT wild
-      AND len(list_filter({tail(15)}, lambda x: x <= mean + sd AND x >= mean - sd)) = 15 AS rule_7,
-    n >= 15 AND sd > 0 AND (wild
-      OR len(list_filter({tail(8)}, lambda x: x <= mean + sd AND x >= mean - sd)) = 0) AS rule_8
+  SELECT * REPLACE (CAST(n AS BIGINT) AS n),
+    ready AND NOT wild AND {off('own', 3)} AS rule_1,
+    ready AND CASE WHEN soars THEN len(list_filter(list_slice(w, -9, -1), lambda x: isinf(x))) = 0
+      ELSE len(list_filter({tail(9)}, lambda x: n * x > s)) = 9
+           OR len(list_filter({tail(9)}, lambda x: n * x < s)) = 9 END AS rule_2,
+    ready AND abs(list_sum(list_slice(steps, -5, -1))) = 5 AS rule_3,
+    ready AND len(list_filter(list_slice(steps, -13, -1), lambda x: x <> 0)) = 13
+      AND len(list_filter(list_zip(list_slice(steps, -13, -2), list_slice(steps, -12, -1)), lambda p: p[1] = p[2])) = 0
+      AS rule_4,
+    ready AND NOT wild AND {beyond(3, 2, 2)} AS rule_5,
+    ready AND NOT wild AND {beyond(5, 4, 1)} AS rule_6,
+    ready AND NOT wild AND len(list_filter({tail(15)}, lambda x: {off('x', 1)})) = 0 AS rule_7,
+    ready AND (wild OR len(list_filter({tail(8)}, lambda x: {off('x', 1)})) = 8) AS rule_8
   FROM spread)"""

@@ -95,8 +95,8 @@ def press_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lathe_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry of the lathes: ship date plus an order-based time of day, in milliseconds."""
+def lathe_readings(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Telemetry of the lathes: ship date plus an order-based time of day, in milliseconds; `extra` adds table columns."""
     position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("Lathe-"), F.lpad(F.col("l_suppkey").cast("string"), 10, "0")).alias("device_id"),
@@ -106,6 +106,7 @@ def lathe_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("cutting_force"),
         F.col("l_discount").alias("coolant_pressure"),
         F.col("l_linestatus").alias("status"),
+        *extra,
     )
 
 
