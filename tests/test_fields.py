@@ -146,4 +146,5 @@ def test_small_rule_logs_move_no_reading(spark, odd_readings):
     log = spark.createDataFrame([("M", "v1", "p", 0, 0, 100.0)], "machine_type string, version string, "
                                 "rule_profile string, offset long, log_time long, max_phase double")
     plan = rules.attach_as_of(odd_readings, log)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert "device_id" not in " ".join(line for line in plan.split("\n") if "hashpartitioning" in line)

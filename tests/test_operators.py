@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import json
 import random
 
@@ -289,3 +290,49 @@ def test_readings_of_a_random_feed_keep_their_number(spark):
     items = random_messages(1, 50, 3)
     frame = reading_frame(spark, items)
     assert dec.union_families(frame, frame.drop("status")).count() == 2 * frame.count()
+
+
+@pytest.mark.parametrize("crowd", [3, 16])
+def test_rules_in_force_by_time_cells(spark, crowd):
+    """Bursts, equal times, rules before and after all readings: the index finds what a scan of the log finds."""
+    rng = random.Random(4)
+    times = [rng.randrange(10 ** 9) for _ in range(200)] + [5 * 10 ** 8 + rng.randrange(40) for _ in range(300)] + [7] * 5
+    log = [(k, t, f"v{k}", rng.choice(["Press-A", "Press-B"]), 1.0, "p") for k, t in enumerate(times)]
+    log += [(900, None, "no time", "Press-A", 1.0, "p"), (901, 3, "no type", None, 1.0, "p"),
+            (902, 50, "alone", "Press-C", 1.0, "p")]
+    frame = spark.createDataFrame(log, "offset long, log_time long, version string, machine_type string, max_x double, "
+                                       "rule_profile string")
+    asked = sorted({0, 6, 7, 8, 49, 50, 2 * 10 ** 9, *(t + d for t in times for d in (-1, 0, 1))})
+    readings = spark.createDataFrame([(f"Press-{m}-1", t, t, 2.0) for m in "ABCD" for t in asked],
+                                     "device_id string, timestamp long, seq long, x double")
+    index = rules.rule_index(frame, crowd)
+    found = {(r.machine_type, r.timestamp): r.version for r in index.attach(readings.withColumn(
+        "machine_type", F.regexp_extract("device_id", "^[^-]+-[A-Z]", 0))).select(
+        "machine_type", "timestamp", "rule.version").collect()}
+    expected = {}
+    for m in ("Press-A", "Press-B", "Press-C"):
+        for t in asked:
+            past = [(at, k, v) for k, at, v, kind, *_ in log if kind == m and at is not None and at <= t]
+            if past:
+                expected[m, t] = max(past)[2]
+    assert found == expected
+    crowds = index.spans.groupBy("machine_type", "_start").count().agg(F.max("count"), F.sum("count")).first()
+    assert crowds[0] <= crowd + 1 and crowds[1] <= 8 * len(log)
+    assert rules.rule_index(frame.limit(0)).attach(readings.withColumn("machine_type", F.lit("Press-A"))).count() == 0
+
+
+def test_long_rule_log(spark):
+    """100,000 rules: every reading meets a few of them, and none is shuffled."""
+    n = F.col("id")
+    log = spark.range(100_000).select(
+        n.alias("offset"), (n * 7919 % 10 ** 8).alias("log_time"), F.concat(F.lit("v"), n).alias("version"),
+        F.concat(F.lit("Press-"), F.when(n % 2 == 0, "A").otherwise("B")).alias("machine_type"), F.lit(1.0).alias("max_x"),
+        F.lit("p").alias("rule_profile"))
+    readings = spark.range(2000).select(F.lit("Press-A-1").alias("device_id"), (n * 50_000 + 100_000).alias("timestamp"),
+                                        n.alias("seq"), F.lit(2.0).alias("x"))
+    found = {r.timestamp: r.version for r in rules.attach_as_of(readings, log).select("timestamp", "rule.version").collect()}
+    starts = sorted((k * 7919 % 10 ** 8, k) for k in range(0, 100_000, 2))
+    assert found == {t: f"v{starts[bisect.bisect_right(starts, (t, 10 ** 9)) - 1][1]}"
+                     for t in range(100_000, 100_100_000, 50_000)}
+    most = rules.rule_index(log).spans.groupBy("machine_type", "_start").count().agg(F.max("count")).first()
+    assert most[0] <= rules.CROWD + 1

@@ -15,7 +15,7 @@ RESERVED = frozenset((
     "kind_rank", "ev", "slice", "phase", "n_seed", "out_seed", "prev", "n_before", "last_out", "open", "is_late",
     "context_complete", "run_id", "part_no", "recipe_name", "track_in", "track_out", "context_event",
     "data_point_count", "last_track_out", "machine_type", "rule", "limit", "carried", "offset", "batch", "document",
-    "_read", "_prev", "_start", "_base", "_width", "_slice_of", "_rank", "_phase", "_shown"))
+    "_read", "_prev", "_start", "_base", "_width", "_slice_of", "_rank", "_phase", "_shown", "_last", "_from", "_until"))
 
 
 def held_name(name: str) -> str:

@@ -9,7 +9,10 @@ Frames:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +24,8 @@ from trackline.session import BROADCAST_ROWS, bounded_broadcast
 # The prefixes that make a numeric field a limit.
 MAX_PREFIX = "max_"
 MIN_PREFIX = "min_"
-#: Rules per machine type up to which a log is copied to the readings.
-LOG_ROWS = 500
+#: Rules of one time cell above which it is cut into finer ones.
+CROWD = 16
 
 
 def limited_measurements(schema: T.StructType) -> list[str]:
@@ -105,30 +108,104 @@ def attach_latest(readings: DataFrame, log: DataFrame, sliced: bool = False) ->
     return typed.join(bounded_broadcast(book.select("machine_type", "rule")), "machine_type")
 
 
-def _attach_ranges(readings: DataFrame, log: DataFrame) -> DataFrame:
-    """Each machine type's rules as one sorted array beside its readings; the last one not after a reading holds."""
-    entry = F.struct(F.col("log_time"), F.col("offset"), F.col("rule"))
+@dataclass(frozen=True)
+class RuleIndex:
+    """The rules of a log by time cells, so that a reading meets the few rules of its cell and not the log.
+
+    `grids` hold, level by level, a grid of equal cells: the first one row per machine type (`_base`, `_width`, `_last`, the
+    start of its last rule), each further one row per crowded cell of the level before (`_start`). `spans` has one row
+    per cell (`_start`) and rule in force in it, from `_from` until before `_until` (null: still).
+    """
+
+    grids: list[DataFrame]
+    spans: DataFrame
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Drop the cached index; for streams, which make one per micro-batch."""
+        for frame in self.held:
+            frame.unpersist()
+
+    def attach(self, readings: DataFrame) -> DataFrame:
+        """Readings with the rule in force at their time; earlier ones go. Nothing is shuffled."""
+        first, *finer = self.grids
+        out = _in_cell(readings.join(F.broadcast(first), "machine_type"))
+        for grid in finer:
+            out = _in_cell(out.join(F.broadcast(grid), ["machine_type", "_start"], "left"))
+        in_force = (F.col("timestamp") >= F.col("_from")) & (
+            F.col("_until").isNull() | (F.col("timestamp") < F.col("_until")))
+        met = out.join(F.broadcast(self.spans), ["machine_type", "_start"]).filter(in_force)
+        return met.drop("_start", "_last", "_from", "_until")
+
+
+def _in_cell(rows: DataFrame) -> DataFrame:
+    """The start of each row's cell; where no finer grid was joined it stays. Times after the last rule count as its time."""
+    time = F.least("timestamp", "_last")
+    start = F.col("_base") + F.floor((time - F.col("_base")) / F.col("_width")) * F.col("_width")
+    known = F.coalesce(start, F.col("_start")) if "_start" in rows.columns else start
+    return rows.withColumn("_start", known).drop("_base", "_width")
+
+
+def _over_cells(spans: DataFrame) -> DataFrame:
+    """One row per rule and cell of its grid that it holds in; a rule without an end holds in the cell of its start."""
+    def cell(time: Column) -> Column:
+        return F.floor((time - F.col("_base")) / F.col("_width"))
+
+    end = F.coalesce(F.col("_until") - 1, F.col("_from"))
+    cells = F.sequence(cell(F.greatest("_from", "_base")), cell(F.least(end, F.col("_end"))))
+    return spans.withColumn("_cell", F.explode(cells)).withColumn(
+        "_start", F.col("_base") + F.col("_cell") * F.col("_width")).drop("_cell")
+
+
+def rule_index(log: DataFrame, crowd: int = CROWD) -> RuleIndex:
+    """Index a log that is small enough to be copied: about two rows per rule.
+
+    Every machine type gets as many equal cells as it has rules. Cells with more than `crowd` rules are cut again, into
+    twice as many cells as they have rules, until none is left or cells are one millisecond wide; of records with
+    the same time the last one counts, so such a cell holds one rule.
+    """
     book = rule_book(log).filter(F.col("machine_type").isNotNull() & F.col("log_time").isNotNull())
-    book = book.groupBy("machine_type").agg(F.sort_array(F.collect_list(entry)).alias("_log"))
-    typed = held(readings).withColumn("machine_type", machine_type(F.col("device_id")))
-    past = F.filter("_log", lambda e: e["log_time"] <= F.col("timestamp"))
-    joined = typed.join(F.broadcast(book), "machine_type").withColumn("rule", F.get(past, F.size(past) - 1)["rule"])
-    return joined.filter(F.col("rule").isNotNull()).drop("_log")
+    book = book.groupBy("machine_type", F.col("log_time").alias("_from")).agg(F.max_by("rule", "offset").alias("rule"))
+    spans = book.withColumn("_until", F.lead("_from").over(Window.partitionBy("machine_type").orderBy("_from")))
+    grid = book.groupBy("machine_type").agg(
+        F.min("_from").alias("_base"), F.max("_from").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    width = F.ceil((F.col("_last") - F.col("_base") + 1) / F.col("_n"))
+    grid = grid.withColumn("_width", width).drop("_n")
+    grids, left = [grid], spans.join(F.broadcast(grid.withColumn("_end", F.col("_last"))), "machine_type")
+    keys, settled, kept = ["machine_type", "_start"], [], []
+    while True:
+        left = _over_cells(left).persist()
+        kept.append(left)
+        crowded = left.groupBy(*keys, "_width").agg(F.count(F.lit(1)).alias("_n")).filter(
+            (F.col("_n") > crowd) & (F.col("_width") > 1)).collect()
+        if not crowded:
+            settled.append(left)
+            break
+        # as rows of their own, at most one in `crowd` of the rules: the plan stays flat however many levels there are
+        finer = log.sparkSession.createDataFrame(
+            [(c.machine_type, c["_start"], c["_start"], c["_start"] + c["_width"] - 1, -(-c["_width"] // (2 * c["_n"])))
+             for c in crowded], "machine_type string, _start long, _base long, _end long, _width long")
+        settled.append(left.join(F.broadcast(finer.select(*keys)), keys, "left_anti"))
+        grids.append(finer.drop("_end"))
+        left = left.select(*keys, "_from", "_until", "rule").join(F.broadcast(finer), keys)
+    columns = ("machine_type", "_start", "_from", "_until", "rule")
+    return RuleIndex(grids, reduce(DataFrame.unionByName, [part.select(*columns) for part in settled]),
+                     tuple(kept))
 
 
 def attach_as_of(readings: DataFrame, log: DataFrame, max_rows: int = MAX_ROWS,
                  small_log: bool | None = None) -> DataFrame:
     """Add the rule in force at the time of the reading, by log time.
 
-    A log that is counted small is copied to the readings, which then do not move at all. Otherwise readings and
+    A log that is counted small is indexed by time cells and copied to the readings, which then do not move at all and
+    meet a few rules each, however long the log is. Otherwise readings and
     rules share one time line per machine type and the last rule is carried forward, so no reading meets more than
     one rule; machine types are few and large, so they are sliced like hot devices.
     """
     if small_log is None:
-        found = log.groupBy("machine_type").count().agg(F.sum("count"), F.max("count")).first()
-        small_log = (found[0] or 0) <= BROADCAST_ROWS and (found[1] or 0) <= LOG_ROWS
+        small_log = log.count() <= BROADCAST_ROWS
     if small_log:
-        return _attach_ranges(readings, log)
+        return rule_index(log).attach(held(readings).withColumn("machine_type", machine_type(F.col("device_id"))))
     typed = held(readings).withColumns({"machine_type": machine_type(F.col("device_id")), "_rank": F.lit(1)})
     updates = rule_book(log).select(
         "machine_type", "rule", F.col("log_time").alias("timestamp"), F.col("offset").alias("seq"),

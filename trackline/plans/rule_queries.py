@@ -123,6 +123,29 @@ def limit_breach_as_of(spark, sf_dir):
     return limit_breaches(rules.checked_values(ruled)).drop("rule_profile")
 
 
+_LONG_LOG = """
+long_log AS (
+  SELECT machine_type, log_time, arg_max(version, o_orderkey) AS version, arg_max(max_vibration, o_orderkey) AS max_vibration
+  FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Press-A' ELSE 'Press-B' END AS machine_type,
+               'o' || o_orderkey AS version, CAST(40 + o_orderkey % 60 AS DOUBLE) AS max_vibration,
+               1704067200000 + CASE WHEN o_orderkey % 3 = 0 THEN 1000000000 + o_orderkey % 1000
+                                    ELSE o_orderkey * 7919317 % 2700000000 END AS log_time
+        FROM orders) AS records
+  GROUP BY machine_type, log_time)"""
+
+
+@CATALOGUE.add("limit_breach_long_log", f"""
+WITH {PRESS}, {_LONG_LOG}
+SELECT p.device_id, p.timestamp, p.seq, 'vibration' AS measurement, p.value, 'upper' AS limit_type,
+       r.max_vibration AS limit_value, r.version AS rule_version
+FROM press p ASOF JOIN long_log r ON p.machine_type = r.machine_type AND p.timestamp >= r.log_time
+WHERE p.value > r.max_vibration""")
+def limit_breach_long_log(spark, sf_dir):
+    """Breaches under a rule log longer than the readings, a third of it within one second."""
+    ruled = rules.attach_as_of(_readings(spark, sf_dir), fleet.long_rule_log(spark, sf_dir))
+    return limit_breaches(rules.checked_values(ruled)).drop("rule_profile")
+
+
 @CATALOGUE.add("spc_stats", f"""
 WITH {CHECKED}, {zone_rules("checked")}
 SELECT device_id, measurement, seq, n, round(mean, 6) AS mean, round(sd, 6) AS sd

@@ -129,6 +129,16 @@ def rule_log(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     )
 
 
+def long_rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long rule log: one record per order, spread over a month, but every third one within a single second."""
+    key = F.col("o_orderkey")
+    spread = F.when(key % 3 == 0, F.lit(1_000_000_000) + key % 1000).otherwise(key * 7_919_317 % F.lit(2_700_000_000))
+    return table(spark, sf_dir, "orders").select(
+        key.alias("offset"), (F.lit(1_704_067_200_000) + spread).alias("log_time"),
+        F.concat(F.lit("o"), key).alias("version"), F.when(key % 2 == 0, "Press-A").otherwise("Press-B").alias("machine_type"),
+        (F.lit(40.0) + key % 60).alias("max_vibration"), F.lit("STANDARD_HEAVY_DUTY").alias("rule_profile"))
+
+
 def _json(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields)).cast("binary")
 
