@@ -27,23 +27,33 @@ def grams(text, buckets=65536):
     return [n % buckets for n in numbers] + [(a * 31 + b) % buckets for a, b in zip(numbers, numbers[1:])]
 
 
-def ratios(docs, labels, buckets=65536):
+class Models:
     """docs: (id, text); labels: (id, quality, toxic)."""
-    good = {i for i, quality, toxic in labels if i is not None and quality == 1 and not toxic}
-    raw, target = Counter(), Counter()
-    for i, text in docs:
-        found = grams(text, buckets)
-        raw.update(found)
-        if i in good:
-            target.update(found)
-    raws, targets = sum(raw.values()) + buckets, sum(target.values())
-    share = {b: (raw[b] + 1) / raws for b in raw}
-    return {b: math.log((target[b] + 1048576 * share[b]) / (targets + 1048576)) - math.log(share[b]) for b in raw}
 
+    def __init__(self, docs, labels, buckets=65536):
+        self.good = {i for i, quality, toxic in labels if i is not None and quality == 1 and not toxic}
+        self.raw, self.target = Counter(), Counter()
+        for i, text in docs:
+            found = grams(text, buckets)
+            self.raw.update(found)
+            if i in self.good:
+                self.target.update(found)
+        self.raws, self.targets = sum(self.raw.values()) + buckets, sum(self.target.values())
+
+    def score(self, text, without=False):
+        """Mean log ratio; the target model holds a tenth of the raw one, and not the text itself if it is `without`."""
+        found = grams(text)
+        own = Counter(found) if without else Counter()
+        rest = self.targets - len(found) if without else self.targets
+        if not found or not rest:
+            return 0.0
+        return sum(math.log((self.target[b] - own[b] + rest * (share := (self.raw[b] + 1) / self.raws) / 10)
+                            / (rest * 1.1) / share) for b in found) / len(found)
 
-def quality(docs, labels, threshold):
-    known = ratios(docs, labels)
-    rows = []
+
+def quality(docs, labels):
+    models = Models(docs, labels)
+    rows, trusted = [], []
     for i, text in docs:
         text = text or ""
         own = words(text)
@@ -51,11 +61,17 @@ def quality(docs, labels, threshold):
         windows = Counter(tuple(own[k:k + 5]) for k in range(len(own) - 4))
         covered = {k + j for k in range(len(own) - 4) if windows[tuple(own[k:k + 5])] > 1 for j in range(5)}
         failed = len(own) < 10 or 100 * len(covered) > 20 * len(own)
-        found = grams(text)
-        score = sum(known[b] for b in found) / len(found) if found else 0.0
+        score = models.score(text, i in models.good)
+        if i in models.good and not failed:
+            trusted.append(score)
         rows.append((i, len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
-                     len(covered), failed, not failed and score >= threshold))
-    return rows
+                     len(covered), failed, score))
+    trusted.sort()
+    least = -math.inf
+    if trusted:
+        low, middle = (trusted[max(1, math.ceil(len(trusted) * p / 100)) - 1] for p in (1, 50))
+        least = middle - 1.25 * (middle - low)
+    return [(*row[:-1], not row[-2] and row[-1] >= least - 1e-9) for row in rows]
 
 
 def line_key(line):

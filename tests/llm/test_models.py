@@ -31,18 +31,30 @@ def test_words_follow_the_contract():
 
 def test_quality_equals_brute_force(docs, labels, texts):
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    expected = brute.quality(texts, [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()],
-                             op10.THRESHOLD)
+    expected = brute.quality(texts, [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()])
     assert rows_of(op10.score_quality(docs, labels), *columns) == sorted(expected, key=str)
+    assert any(not failed and not kept for *_, failed, kept in expected)  # the method rejects some
 
 
-def test_quality_tells_good_from_bad(spark):
-    """Held out: the model sees even ids' labels only, odd ids are judged."""
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
-    scored = op10.score_quality(docs, labels.filter("doc_id % 2 = 0")).filter("doc_id % 2 = 1 AND NOT base_failed")
-    judged = scored.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("double"))).collect()
-    share = dict(map(tuple, judged))
-    assert share[1] > 0.995 and share[0] < 0.2
+@pytest.mark.parametrize("size, given", [("0.001", None), ("0.01", None), ("0.1", 300), ("0.1", None)])
+def test_quality_tells_good_from_bad_at_every_size(spark, size, given):
+    """Documents past the base rules: bad ones go, good ones stay, however many labels there are."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf{size}/{name}.parquet") for name in ("documents", "labels"))
+    known = labels if given is None else labels.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(given)
+    scored = op10.score_quality(docs, known).filter("NOT base_failed").join(labels.filter("toxic = 0"), "doc_id")
+    share = dict(map(tuple, scored.groupBy("quality").agg(F.avg(F.col("kept").cast("double"))).collect()))
+    assert share[1] >= 0.99 and share[0] <= 0.2, share
+
+
+def test_trusted_documents_are_judged_without_themselves(spark, docs, texts, labels):
+    known = [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()]
+    models = brute.Models(texts, known)
+    rows = op10.score_quality(docs, labels).collect()
+    plain = dict(texts)
+    assert all(math.isclose(r.log_ratio, models.score(plain[r.doc_id], r.doc_id in models.good), abs_tol=1e-9) for r in rows)
+    alone = spark.createDataFrame([(min(models.good), 1, 0)], "doc_id long, quality int, toxic int")
+    own = op10.score_quality(docs, alone).filter(F.col("doc_id") == min(models.good)).first()
+    assert own.log_ratio == 0.0 and own.kept != own.base_failed
 
 
 def test_quality_edges(odd_docs, no_docs, labels, spark):
@@ -59,10 +71,9 @@ def test_quality_edges(odd_docs, no_docs, labels, spark):
 
 
 def test_resampling_equals_brute_force(docs, labels, texts):
-    known = brute.ratios(texts, [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()])
+    models = brute.Models(texts, [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()])
     rows = op1.resample(docs, labels, k=50).collect()
-    weight = {i: (sum(known[b] for b in g) / len(g) * op1.LENGTH if (g := brute.grams(t)) else op1.NEVER)
-              for i, t in texts}
+    weight = {i: models.score(t) * op1.LENGTH if brute.words(t) else op1.NEVER for i, t in texts}
     assert all(math.isclose(row.log_weight, weight[row.doc_id], abs_tol=1e-6) for row in rows)
     kept = {row.doc_id for row in rows if row.kept}
     assert kept == {row.doc_id for row in sorted(rows, key=lambda r: -r.score)[:50]}

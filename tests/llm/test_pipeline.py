@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from trackline.llm import op10_quality_rules as op10
 from trackline.llm.queries import QUERIES, SQL
 
 
@@ -21,7 +20,7 @@ def test_stages(spark, sf_dir, docs, texts, labels):
 
     kept = stages["quality rules"](spark, docs, sf_dir)
     assert kept.columns == docs.columns
-    good = {row[0] for row in brute.quality(texts, known, op10.THRESHOLD) if row[-1]}
+    good = {row[0] for row in brute.quality(texts, known) if row[-1]}
     assert by_id(kept) == [(i, t) for i, t in texts if i in good]
 
     lines = stages["line dedup"](spark, kept, sf_dir)
@@ -71,7 +70,7 @@ def test_odd_documents(spark, odd_docs, sf_dir):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_rows_match(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels", "conversations", "benchmark"):
+    for table in ("documents", "pages", "labels", "conversations", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     frame = QUERIES[name](spark, sf_dir)
     order = sorted(frame.columns)
@@ -81,4 +80,4 @@ def test_rows_match(spark, sf_dir, name):
 
 
 def test_every_operator_has_its_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]

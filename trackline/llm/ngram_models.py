@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,8 @@ BASE, PRIME, PAIR = 257, 2_147_483_647, 31
 BUCKETS = 65_536
 #: Most labelled documents the target model is fitted on.
 TARGET_DOCS = 20_000
-#: N-grams that the raw model is worth in the target model: a small target sample then rejects little, not at random.
-PRIOR = 1_048_576
+#: Weight of the raw model in the target model, as a share of the target sample's n-grams: it is alike at every size.
+MIX = 0.1
 
 
 def grams(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,23 +58,44 @@ def gram_counts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """log(target share / raw share) per bucket.
-
-    Raw counts are smoothed by one, target counts by the raw shares with the weight of PRIOR n-grams: where the target
-    sample says little the ratio is near 0. The driver receives one row per bucket and no more, however large the
-    corpus is.
-    """
-    raw, target = np.ones(buckets), np.zeros(buckets)
-    for row in counts.collect():
-        raw[row.bucket] += row.raw
-        target[row.bucket] += row.target
-    share = raw / raw.sum()
-    return np.log((target + PRIOR * share) / (target.sum() + PRIOR)) - np.log(share)
-
-
-def log_ratio_sums(words: Words, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each text the sum of the ratios over its words and pairs, and their number."""
-    found, text = grams(words, len(ratios))
-    size = len(words.counts)
-    return np.bincount(text, ratios[found], size), np.bincount(text, minlength=size)
+@dataclass(frozen=True)
+class GramModels:
+    """Shares of the buckets in the raw text, and counts in the target sample."""
+
+    share: np.ndarray
+    target: np.ndarray
+
+    @classmethod
+    def of(cls, counts: DataFrame, buckets: int = BUCKETS) -> GramModels:
+        """Raw counts are smoothed by one. The driver receives one row per bucket, however large the corpus is."""
+        raw, target = np.ones(buckets), np.zeros(buckets)
+        for row in counts.collect():
+            raw[row.bucket] += row.raw
+            target[row.bucket] += row.target
+        return cls(raw / raw.sum(), target)
+
+    def ratios(self) -> np.ndarray:
+        """log(target share / raw share) per bucket; all 0 where nothing is known of the target."""
+        total = self.target.sum()
+        if not total:
+            return np.zeros(len(self.share))
+        return np.log((self.target + MIX * self.share * total) / ((1 + MIX) * total)) - np.log(self.share)
+
+    def sums(self, words: Words, ratios: np.ndarray, trusted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For each text the sum of the ratios over its words and pairs, and their number.
+
+        A trusted text is judged as if it were not in the target sample, so its score compares with those of others.
+        """
+        size = len(words.counts)
+        found, text = grams(words, len(ratios))
+        many = np.bincount(text, minlength=size)
+        value = ratios[found]
+        if trusted is not None and trusted.any():
+            own = np.flatnonzero(trusted[text])
+            _, place, times = np.unique(text[own] * len(ratios) + found[own], return_inverse=True, return_counts=True)
+            left, total = self.target[found[own]] - times[place], self.target.sum() - many[text[own]]
+            share = self.share[found[own]]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                alone = np.log((left + MIX * share * total) / ((1 + MIX) * total)) - np.log(share)
+            value[own] = np.where(total > 0, alone, 0.0)
+        return np.bincount(text, value, size), many

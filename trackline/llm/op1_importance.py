@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackline.llm.common import Words, arrow_map, table, text_groups, unit, written
-from trackline.llm.ngram_models import BUCKETS, TARGET_DOCS, gram_counts, log_ratio_sums, log_ratios, target_sample
+from trackline.llm.ngram_models import BUCKETS, TARGET_DOCS, GramModels, gram_counts, target_sample
 
 #: Texts are weighed as if each held so many n-grams, so that length alone neither wins nor loses.
 LENGTH = 200
@@ -21,11 +21,12 @@ NEVER = -1e6
 DIGIT = 16
 
 
-def _weigh(batches: Iterator[pa.RecordBatch], ratios: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+def _weigh(batches: Iterator[pa.RecordBatch], models: GramModels, length: int) -> Iterator[pa.RecordBatch]:
+    ratios = models.ratios()
     for batch in batches:
         parts = []
         for _, texts in text_groups(batch.column(1).to_pylist()):
-            total, grams = log_ratio_sums(Words(*texts), ratios)
+            total, grams = models.sums(Words(*texts), ratios)
             parts.append(np.where(grams > 0, total / np.maximum(grams, 1) * length, NEVER))
         weight = np.concatenate(parts)
         score = weight - np.log(-np.log(batch.column(2).to_numpy()))  # plus standard Gumbel noise
@@ -71,17 +72,17 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, *, seed:
 
     Null and empty texts weigh next to nothing. The noise depends on id and text, so reruns agree, and rows equal in
     both share their score; if such rows tie for the last place all of them are kept. A null id is an id of its own.
-    Without labels all rows are kept. An empty table gives no rows. Other columns play no part.
+    Without labels all weights are equal and all rows are kept. An empty table gives no rows. Other columns play no part.
     """
     good = F.col("quality") == 1
     sample = target_sample(labels, good & F.coalesce(F.col("toxic") == 0, F.lit(True)), target_docs)
-    ratios = log_ratios(gram_counts(docs, sample.withColumnRenamed("doc_id", id_col), id_col, text_col, buckets),
-                        buckets)
+    models = GramModels.of(gram_counts(docs, sample.withColumnRenamed("doc_id", id_col), id_col, text_col, buckets),
+                           buckets)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                         unit(F.lit(seed), F.col(id_col), F.col(text_col)).alias("u"))
     schema = f"doc_id {kind}, log_weight double, score double, place long"
-    weighed = written(arrow_map(texts, _weigh, schema, ratios, length), "importance")
+    weighed = written(arrow_map(texts, _weigh, schema, models, length), "importance")
     if k is None:
         share = labels.agg(F.avg(good.cast("double"))).first()[0]
         k = round(weighed.count() * (1.0 if share is None else share))
