@@ -12,7 +12,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 LIBRARY = catalogue()
 SQL = contract.oracle_sql()
 # Each of these runs the whole stream monitor; one of them is enough here, tools/check_queries.py compares them all.
-SLOW = ("stream_incomplete", "stream_alerts", "stream_dead_letters", "stream_late", "outgoing_messages")
+SLOW = ("stream_incomplete", "stream_alerts", "stream_dead_letters", "stream_late", "outgoing_messages", "stream_control",
+        "stream_control_letters", "stream_cold_start", "stream_commits", "metric_stream_latest30", "document_changes_stream")
 
 
 @pytest.fixture(scope="module")

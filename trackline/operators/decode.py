@@ -7,17 +7,24 @@ carry no message.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackline.functions.fields import PREFIX, field_name, typed_name
-from trackline.functions.wire import lossy_text, message_body
+from trackline.functions.wire import lossy_text, message_body, schema_id
+from trackline.sources import contracts
 
 UNDECODABLE = "undecodable"
 MISSING_FIELD = "missing_required_field"
 CONTRACT_VIOLATION = "contract_violation"
 IMPLAUSIBLE = "implausible"
+UNKNOWN_SCHEMA = "unknown_schema"
+INCOMPATIBLE_SCHEMA = "incompatible_schema"
+#: Most fields that messages may bring beside those of the contract; each becomes a column.
+MOST_FIELDS = 2_000
 _CORRUPT = "__corrupt_record"
 
 
@@ -80,6 +87,88 @@ def decode(messages: DataFrame, contract: T.StructType, required: list[str], *,
     return rows.select("*", typed.alias("record"), error.alias("error")).drop("_parsed")
 
 
+def _resolved(body: Column, writer: str, reader: str, avro: bool) -> Column:
+    """One message written under `writer` as struct<record of the reader, error>; parsed once, in the lambda's argument."""
+    sources = contracts.resolve(writer, reader)
+    contract = contracts.struct_from_avsc(reader)
+    if sources is None:
+        nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in contract.fields])
+        return F.struct(nothing.alias("record"), F.lit(INCOMPATIBLE_SCHEMA).alias("error"))
+    written = contracts.struct_from_avsc(writer)
+    parsed = _parse_avro(body, writer) if avro else _parse_json(body, written)
+
+    def read(found: Column) -> Column:
+        values = [found[s.writer].cast(s.kind) if s.writer else F.lit(s.default).cast(s.kind) for s in sources]
+        failed, missing = found.isNull(), F.lit(False)
+        if avro:
+            nulls = [found[f.name].isNull() for f in written.fields]
+            failed = failed | reduce(Column.__and__, nulls)
+        else:
+            failed = failed | found[_CORRUPT].isNotNull()
+        for source, value in zip(sources, values, strict=True):
+            missing = missing | value.isNull() if source.required else missing
+        record = F.struct(*[v.alias(s.name) for s, v in zip(sources, values, strict=True)])
+        return F.struct(record.alias("record"), F.when(failed, UNDECODABLE).when(missing, MISSING_FIELD).alias("error"))
+
+    return F.transform(F.array(parsed), read)[0]
+
+
+def decode_by_schema(messages: DataFrame, writers: dict[int, str], reader: str, *, avro: bool = False) -> DataFrame:
+    """Decode a topic whose messages were written under several schemas, told by the id in their header, to one frame.
+
+    `writers` are the Avro schemas by id, `reader` the one to read them as (see `contracts.resolve`). A message without a
+    header is read as the reader's own. One with an id that nobody knows, or whose schema does not fit the reader's,
+    is a dead letter. One pass: of each message only the schema of its id is tried.
+    """
+    body, number = message_body(F.col("value")), schema_id(F.col("value"))
+    outcome = F.when(number.isNull(), _resolved(body, reader, reader, avro))
+    for known, writer in sorted(writers.items()):
+        outcome = outcome.when(number == known, _resolved(body, writer, reader, avro))
+    rows = messages.filter(F.col("value").isNotNull()).select("*", F.explode(F.array(outcome)).alias("_parsed"))
+    contract = contracts.struct_from_avsc(reader)
+    record = F.struct(*[F.col(f"_parsed.record.{f.name}").alias(f.name) for f in contract.fields])
+    error = F.when(F.col("_parsed").isNull(), UNKNOWN_SCHEMA).otherwise(F.col("_parsed.error"))
+    return rows.select("*", record.alias("record"), error.alias("error")).drop("_parsed")
+
+
+def _open_type(found: str) -> str:
+    """The column type for a type found in messages; what is no plain number, text or flag travels as JSON text."""
+    if found == "BIGINT":
+        return "bigint"
+    if found in ("DOUBLE", "FLOAT") or found.startswith("DECIMAL"):
+        return "double"
+    return {"STRING": "string", "BOOLEAN": "boolean"}.get(found, "variant")
+
+
+def with_open_fields(decoded: DataFrame) -> DataFrame:
+    """Add the JSON fields that the contract does not name to the records of decoded messages, with the types found.
+
+    One pass over the messages finds names and types, counted together in each task; a field that is a whole number in some
+    messages and a fraction in others is a double, one of no common type is JSON text. Names come in
+    alphabetical order after those of the contract; a name that differs from another one in case only is refused.
+    """
+    document = F.try_parse_json(message_body(F.col("value")).cast("string"))
+    rows = decoded.withColumn("_doc", F.explode(F.array(document)))
+    spark, declared = decoded.sparkSession, decoded.schema["record"].dataType.fieldNames()
+    fields = rows.filter("error IS NULL").select("_doc").lateralJoin(spark.tvf.variant_explode(F.col("_doc").outer()))
+    found = fields.filter(~F.col("key").isin(declared)).groupBy("key").agg(
+        F.schema_of_variant_agg("value").alias("kind")).limit(MOST_FIELDS + 1).collect()
+    if len(found) > MOST_FIELDS:
+        raise ValueError(f"messages bring more than {MOST_FIELDS} fields that the contract does not name")
+    names = [n.lower() for n in (*declared, *(f.key for f in found))]
+    if len(set(names)) < len(names):
+        raise ValueError("two fields have names that differ in case only")
+    extra = []
+    for field in sorted(found, key=lambda f: f.key):
+        quote = '"' if "'" in field.key else "'"
+        value = F.try_variant_get("_doc", f"$[{quote}{field.key}{quote}]", "variant")
+        kind = _open_type(field.kind)
+        typed = F.to_json(value) if kind == "variant" else F.try_variant_get(value, "$", kind)
+        extra.append(F.when(F.col("error").isNull(), typed).alias(field.key))
+    record = F.struct(*[F.col("record")[n].alias(n) for n in declared], *extra)
+    return rows.withColumn("record", record).drop("_doc")
+
+
 def good_records(decoded: DataFrame) -> DataFrame:
     """The typed fields of good messages; `seq` is the message offset.
 

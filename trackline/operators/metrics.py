@@ -18,9 +18,9 @@ from trackline.sources.contracts import CONTROL_DOCUMENT
 DEFAULT_TEMP_MAX = 40.0
 DEFAULT_PRESSURE_MAX = 120.0
 UNKNOWN = "unknown"
-ALARM = "\U0001F6A8 ALARM [Config v.{version}]: Machine '{name}' Breached Safe Operations! -> {breaches}{context}"
-NORMAL = "\U0001F4E5 Telemetry Logged [Offset {offset}][Config v.{version}]: {name} is normal ({temp}°C, {pressure} PSI)."
-REJECTED = "\u26a0\ufe0f Caught Poison Pill at Offset {offset}: {error} -> Routing to DLQ."
+ALARM = "🚨 ALARM [Config v.{version}]: Machine '{name}' Breached Safe Operations! -> {breaches}{context}"
+NORMAL = "📥 Telemetry Logged [Offset {offset}][Config v.{version}]: {name} is normal ({temp}°C, {pressure} PSI)."
+REJECTED = "⚠️ Caught Poison Pill at Offset {offset}: {error} -> Routing to DLQ."
 
 
 def fingerprint(raw_text: Column) -> Column:

@@ -43,7 +43,7 @@ checked AS (
 lines AS (
   SELECT *, temp > temp_max AS temp_breached, pressure > pressure_max AS pressure_breached,
     CASE WHEN temp > temp_max OR pressure > pressure_max THEN
-      '\U0001F6A8 ALARM [Config v.' || config_version || ']: Machine ''' || mc_name
+      '🚨 ALARM [Config v.' || config_version || ']: Machine ''' || mc_name
       || ''' Breached Safe Operations! -> '
       || CASE WHEN temp > temp_max THEN 'Temperature: ' || temp || '°C (Limit: ' || temp_max || '°C)' ELSE '' END
       || CASE WHEN temp > temp_max AND pressure > pressure_max THEN ' | ' ELSE '' END
@@ -52,7 +52,7 @@ lines AS (
       || CASE WHEN temp > temp_max AND pressure > pressure_max THEN ''
               WHEN temp > temp_max THEN ' | [Pressure: ' || pressure || ' PSI]'
               ELSE ' | [Temperature: ' || temp || '°C]' END
-    ELSE '\U0001F4E5 Telemetry Logged [Offset ' || seq || '][Config v.' || config_version || ']: ' || mc_name
+    ELSE '📥 Telemetry Logged [Offset ' || seq || '][Config v.' || config_version || ']: ' || mc_name
       || ' is normal (' || temp || '°C, ' || pressure || ' PSI).' END AS line
   FROM checked)"""
 
@@ -136,7 +136,7 @@ WITH {PRESS}, {_METRICS.lstrip()},
 all_lines AS (
   SELECT timestamp, seq, line FROM lines
   UNION ALL
-  SELECT timestamp, seq, '\u26a0\ufe0f Caught Poison Pill at Offset ' || seq || ': implausible -> Routing to DLQ.'
+  SELECT timestamp, seq, '⚠️ Caught Poison Pill at Offset ' || seq || ': implausible -> Routing to DLQ.'
   FROM press WHERE k < 3 OR value * 4 > 1000)"""
 
 

@@ -168,13 +168,13 @@ for _number in spc.RULES:
     _add_zone_rule(_number)
 
 
-def _violations_sql(source: str) -> str:
+def violations_sql(source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT device_id, timestamp, seq, measurement, value, {n} AS rule_number, '{text}' AS rule_description "
         f"FROM {source} WHERE rule_{n}" for n, text in spc.RULES.items())
 
 
-@CATALOGUE.add("spc_violations", f"WITH {CHECKED}, {zone_rules('checked')} {_violations_sql('scored')}")
+@CATALOGUE.add("spc_violations", f"WITH {CHECKED}, {zone_rules('checked')} {violations_sql('scored')}")
 def spc_violations(spark, sf_dir):
     return spc.violations(scored_presses(spark, sf_dir))
 
@@ -192,7 +192,7 @@ lathe_values AS (
   UNION ALL SELECT device_id, timestamp, seq, 'coolant_pressure', l_discount FROM lathes)"""
 
 
-@CATALOGUE.add("spc_lathes", f"WITH {LATHES}, {zone_rules('lathe_values')} {_violations_sql('scored')}")
+@CATALOGUE.add("spc_lathes", f"WITH {LATHES}, {zone_rules('lathe_values')} {violations_sql('scored')}")
 def spc_lathes(spark, sf_dir):
     """Zone rules over every measurement of every line item."""
     names = ("spindle_rpm", "cutting_force", "coolant_pressure")
@@ -218,7 +218,7 @@ lathe_values AS (
   UNION ALL SELECT device_id, timestamp, seq, 'two_levels', (l_linenumber % 2) * 0.2 - 0.1 FROM lathes)"""
 
 
-@CATALOGUE.add("spc_ties", f"WITH {TIES}, {zone_rules('lathe_values')} {_violations_sql('scored')}")
+@CATALOGUE.add("spc_ties", f"WITH {TIES}, {zone_rules('lathe_values')} {violations_sql('scored')}")
 def spc_ties(spark, sf_dir):
     """Zone rules where values are often equal to the mean or a sigma line, also far from zero."""
     lathes = fleet.lathe_readings(spark, sf_dir, "l_tax", "l_linenumber")
@@ -228,7 +228,7 @@ def spc_ties(spark, sf_dir):
         ((number % 3 - 1) / 10.0).alias("three_levels"), ((number % 2 * 2 - 1) / 10.0).alias("two_levels")))
 
 
-ALERT_VIEWS = f"""{zone_rules('checked')}, fired AS ({_violations_sql('scored')}),
+ALERT_VIEWS = f"""{zone_rules('checked')}, fired AS ({violations_sql('scored')}),
 alerts AS (
   SELECT 'limit_breach' AS alert_type, device_id, timestamp, seq, measurement, value, limit_type, limit_value,
          rule_profile, rule_version, CAST(NULL AS INTEGER) AS rule_number, CAST(NULL AS VARCHAR) AS rule_description

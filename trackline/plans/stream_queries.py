@@ -26,10 +26,10 @@ from trackline.streaming.simple_feeds import MetricMonitor, UserFeed
 CATALOGUE = Catalogue()
 SLICES = 3
 
-_GOOD_READING = "event_type IN ('click', 'view') AND (k >= 23 OR (k >= 5 AND k < 10))"
+GOOD_READING = "event_type IN ('click', 'view') AND (k >= 23 OR (k >= 5 AND k < 10))"
 
 
-def _slices(messages: DataFrame, parts: int = SLICES) -> list[DataFrame]:
+def time_slices(messages: DataFrame, parts: int = SLICES) -> list[DataFrame]:
     """The messages cut at fixed points of their time span."""
     first, last = messages.agg(F.min(F.unix_millis("timestamp")), F.max(F.unix_millis("timestamp"))).first()
     width = -(-(last - first + 1) // parts)
@@ -47,13 +47,13 @@ def run_monitor(spark: SparkSession, sf_dir: str) -> str:
     """Fold the feeds; returns the folder of the output tables."""
     folder = work_dir(spark, "monitor")
     monitor = Monitor(f"{folder}/out", f"{folder}/state", lambda s: fleet.rule_log(s, sf_dir))
-    for batch_id, messages in enumerate(_slices(press_feeds(spark, sf_dir))):
+    for batch_id, messages in enumerate(time_slices(press_feeds(spark, sf_dir))):
         monitor.process(messages, batch_id)
     return f"{folder}/out"
 
 
 @CATALOGUE.add("stream_readings", f"""
-WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")}
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({GOOD_READING})")}
 SELECT device_id, timestamp, seq, vibration, temperature,
        CASE WHEN kr = 1 THEN CAST(65.5 AS DOUBLE) END AS pressure, status || ',x' AS status, context_complete, run_id,
        part_no, recipe_name, track_in, track_out, context_event, data_point_count, last_track_out, FALSE AS is_late,
@@ -64,14 +64,14 @@ def stream_readings(spark, sf_dir):
 
 
 @CATALOGUE.add("stream_incomplete", f"""
-WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")}
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({GOOD_READING})")}
 SELECT *, {INCOMPLETE_DOCUMENT} AS document FROM incomplete""")
 def stream_incomplete(spark, sf_dir):
     return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/incomplete").drop("batch")
 
 
 @CATALOGUE.add("stream_alerts", f"""
-WITH {checked(_GOOD_READING)}, {ALERT_VIEWS} SELECT *, {ALERT_DOCUMENT} AS document FROM alerts""")
+WITH {checked(GOOD_READING)}, {ALERT_VIEWS} SELECT *, {ALERT_DOCUMENT} AS document FROM alerts""")
 def stream_alerts(spark, sf_dir):
     return sinks.read_table(spark, f"{run_monitor(spark, sf_dir)}/alerts").drop("batch")
 
@@ -93,8 +93,8 @@ def stream_dead_letters(spark, sf_dir):
 
 
 @CATALOGUE.add("outgoing_messages", f"""
-WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")},
-{checked(_GOOD_READING).removeprefix(PRESS + ",")}, {ALERT_VIEWS}, {_BAD}
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({GOOD_READING})")},
+{checked(GOOD_READING).removeprefix(PRESS + ",")}, {ALERT_VIEWS}, {_BAD}
 SELECT 'machine-incomplete-track' AS topic, device_id AS key, lower(hex(encode({INCOMPLETE_DOCUMENT}))) AS value_hex
 FROM incomplete
 UNION ALL SELECT 'machine-alerts', device_id, lower(hex(encode({ALERT_DOCUMENT}))) FROM alerts
@@ -132,13 +132,13 @@ def restarted_monitor(spark: SparkSession, parts: list[DataFrame], rule_logs: li
 
 
 @CATALOGUE.add("stream_restart", f"""
-WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({_GOOD_READING})")}
+WITH {tracked(f"event_type NOT IN ('click', 'view') OR ({GOOD_READING})")}
 SELECT device_id, timestamp, seq, vibration, temperature, context_complete, run_id, part_no, recipe_name, track_in,
        track_out, context_event, data_point_count, last_track_out, FALSE AS is_late
 FROM enriched""")
 def stream_restart(spark, sf_dir):
     """A file stream stopped and started in the middle gives what one run over all messages gives."""
-    parts = _slices(press_feeds(spark, sf_dir), 2)
+    parts = time_slices(press_feeds(spark, sf_dir), 2)
     rules = [lambda s: fleet.rule_log(s, sf_dir)] * 2
     return sinks.read_table(spark, f"{restarted_monitor(spark, parts, rules)}/readings").select(
         "device_id", "timestamp", "seq", "vibration", "temperature", "context_complete", "run_id", "part_no",
@@ -148,7 +148,7 @@ def stream_restart(spark, sf_dir):
 @CATALOGUE.add("stream_late", f"""
 WITH {PRESS}, line AS (
   SELECT *, seq % 2 AS part FROM press
-  WHERE event_type IN ('signup', 'purchase') OR (event_type IN ('click', 'view') AND ({_GOOD_READING}))),
+  WHERE event_type IN ('signup', 'purchase') OR (event_type IN ('click', 'view') AND ({GOOD_READING}))),
 shown AS (SELECT device_id, MAX(timestamp) AS newest FROM line WHERE part = 0 GROUP BY device_id)
 SELECT device_id, seq, part = 1 AND COALESCE(timestamp < newest, FALSE) AS is_late
 FROM line LEFT JOIN shown USING (device_id)""")
@@ -163,7 +163,7 @@ def stream_late(spark, sf_dir):
 
 @CATALOGUE.add("stream_rule_change", f"""
 WITH {PRESS}, {RULE_LOG}, line AS (
-  SELECT *, seq % 2 AS part FROM press WHERE event_type IN ('click', 'view') AND ({_GOOD_READING})),
+  SELECT *, seq % 2 AS part FROM press WHERE event_type IN ('click', 'view') AND ({GOOD_READING})),
 versions AS (
   SELECT part, machine_type, MAX("offset") AS "offset" FROM rule_log, (VALUES (0), (1)) AS parts(part)
   WHERE part = 1 OR "offset" % 3 = 0 GROUP BY part, machine_type),
@@ -204,7 +204,7 @@ def user_stream(spark, sf_dir):
 @CATALOGUE.add("metric_stream", f"""
 WITH {PRESS}
 SELECT seq, k >= 3 AND value * 4 <= 1000 AS checked,
-       CASE WHEN k < 3 OR value * 4 > 1000 THEN '\u26a0\ufe0f Caught Poison Pill at Offset ' || seq
+       CASE WHEN k < 3 OR value * 4 > 1000 THEN '⚠️ Caught Poison Pill at Offset ' || seq
          || ': implausible -> Routing to DLQ.' END AS rejected_line,
        strftime(make_timestamp(timestamp * 1000), '%H:%M:%S') AS clock,
        CASE WHEN k >= 3 AND value * 4 <= 1000 THEN CAST(printf('%.1f', value * 4) AS DOUBLE) END AS temp

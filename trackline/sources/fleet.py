@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trackline.functions.wire import add_header
 from trackline.operators.cycles import EVENT, event_struct
+from trackline.sources import contracts
 
 # Timestamps are declared as plain UTC instants, so results do not depend on the session zone.
 SCHEMAS = {
@@ -180,6 +181,71 @@ def telemetry_messages(spark: SparkSession, sf_dir: str, event_types: tuple[str,
     return raw_messages(rows, value, "machine-telemetry", F.col("seq"), F.timestamp_millis("timestamp"))
 
 
+#: Three versions of the telemetry contract, by schema id, and the one all are read as.
+VERSIONS = {
+    1: contracts.record_schema("Telemetry", device_id="string", timestamp="long", vibration="double",
+                               temperature="double", status="string"),
+    2: contracts.record_schema("Telemetry", device_id="string", timestamp="long", vibration="int", temperature="int",
+                               pressure="double"),
+    3: contracts.record_schema("Telemetry", machine="string", timestamp="int", vibration="float", humidity="double"),
+    5: contracts.record_schema("Telemetry", device_id="string", timestamp="long", vibration="string"),
+}
+READER = contracts.record_schema(
+    "Telemetry", device_id={"type": "string", "aliases": ["machine"]}, timestamp="long", vibration="double",
+    temperature={"type": ["null", "double"], "default": None}, pressure={"type": "double", "default": 65.5},
+    status={"type": "string", "default": "UNKNOWN"})
+
+
+def versioned_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One telemetry message per event row, of six kinds in turn: the three versions, one with an id that nobody knows, one
+    whose schema does not fit, and one without a header in the reader's own schema.
+    """
+    rows = press_messages(spark, sf_dir).withColumn("k", props_k())
+    kind, device, time = F.col("seq") % 6, F.col("device_id"), F.col("timestamp")
+    whole, number = F.floor("value"), F.col("k").cast("int")
+    first = _json(device, time, F.col("value").alias("vibration"), F.col("k").alias("temperature"),
+                  F.col("event_type").alias("status"))
+    second = _json(device, time, whole.alias("vibration"), number.alias("temperature"), F.col("value").alias("pressure"))
+    third = _json(device.alias("machine"), F.col("seq").alias("timestamp"), (whole + 0.5).alias("vibration"),
+                  F.lit(0.4).alias("humidity"))
+    text = _json(device, time, F.lit("high").alias("vibration"))
+    value = (F.when(kind == 0, add_header(first, F.lit(1).cast("long"))).when(kind == 1, add_header(second, F.lit(2).cast("long")))
+             .when(kind == 2, add_header(third, F.lit(3).cast("long"))).when(kind == 3, add_header(first, F.lit(99).cast("long")))
+             .when(kind == 4, add_header(text, F.lit(5).cast("long"))).otherwise(first))
+    return raw_messages(rows, value, "machine-telemetry", F.col("seq"), F.timestamp_millis("timestamp"))
+
+
+def open_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry with fields no contract names: `humidity` (a whole number at times), `mode`, `armed`, `probe` (nested)."""
+    rows = press_messages(spark, sf_dir).withColumn("k", props_k())
+    odd = F.col("seq") % 2 == 1
+    body = F.concat(
+        F.lit('{"device_id":"'), "device_id", F.lit('","timestamp":'), "timestamp", F.lit(',"vibration":'),
+        F.col("value").cast("string"), F.lit(',"humidity":'), F.when(odd, F.col("k").cast("int").cast("string")).otherwise(
+            F.concat(F.col("k").cast("int"), F.lit(".5"))),
+        F.when(odd, F.concat(F.lit(',"mode":"'), "event_type", F.lit('"'))).otherwise(
+            F.concat(F.lit(',"armed":'), F.when(F.col("k") > 50, "true").otherwise("false"))),
+        F.when(F.col("seq") % 3 == 0, F.concat(F.lit(',"probe":{"id":'), "seq", F.lit("}"))).otherwise(""),
+        F.when(F.col("k") < 5, "").otherwise("}"))
+    return raw_messages(rows, body.cast("binary"), "machine-telemetry", F.col("seq"), F.timestamp_millis("timestamp"))
+
+
+def control_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A control document per line (order priority) and two-year period, with limits from all orders of it.
+
+    Lines 2 and 4 hold a broken document in the third period; line 3 never changes after the first.
+    """
+    line, period = F.substring("o_orderpriority", 1, 1).cast("int"), F.floor((F.year("o_orderdate") - 1990) / 2)
+    orders = table(spark, sf_dir, "orders").select(line.alias("line"), period.cast("int").alias("period"), "o_orderkey")
+    found = orders.groupBy("line", "period").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last"))
+    steady = F.col("line") == 3
+    text = F.concat(F.lit('{"version": '), "line", F.lit(', "rules": {"max_safe_temp": '),
+                    F.when(steady, F.lit(7)).otherwise(F.col("orders")), F.lit('.5, "max_safe_pressure": '),
+                    F.when(steady, F.lit(7)).otherwise(F.col("last")), F.lit(".0}}"))
+    broken = F.col("line").isin(2, 4) & (F.col("period") % 4 == 0)
+    return found.select("line", "period", F.when(broken, F.lit('{"version": 1, "rules": {')).otherwise(text).alias("raw_text"))
+
+
 def context_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context events as messages; absent run, part and recipe are left out of the body."""
     rows = press_events(spark, sf_dir)

@@ -1,7 +1,8 @@
 """Tables written per micro-batch, and rows shaped as outgoing messages.
 
 Each batch owns one folder per table and overwrites it, so a repeated batch replaces its own
-rows and nothing else.
+rows and nothing else. A batch is committed when all its tables are written; `read_committed` shows committed batches
+only, so a failure between two writes is never seen as half a batch.
 """
 
 from __future__ import annotations
@@ -30,6 +31,19 @@ def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: list[s
     writer.parquet(batch_folder(table, batch_id))
 
 
+def store_by_device(rows: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Rows as a table in buckets of devices, each sorted by device and time; returns the table.
+
+    Windows and joins by device over the table need no exchange: cycle tracking and zone rules on stored readings read each
+    bucket where it lies. One shuffle while writing puts each bucket into one file.
+    """
+    spark = rows.sparkSession
+    order = [c for c in ("device_id", "timestamp", "kind_rank", "seq") if c in rows.columns]
+    (rows.repartition(buckets, "device_id").write.bucketBy(buckets, "device_id").sortBy(*order)
+     .mode("overwrite").option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """All batches of a table. Folder names are text, so a machine type 007 does not come back as the number 7."""
     rows = spark.read.option("mergeSchema", "true").parquet(table)
@@ -40,6 +54,40 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(T.StructType(kinds)).parquet(table)
 
 
+def _commits(spark: SparkSession, out_dir: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/_commits")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _marker(spark: SparkSession, out_dir: str, batch_id: int):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/_commits/{batch_id}")
+
+
+def begin_batch(spark: SparkSession, out_dir: str, batch_id: int) -> None:
+    """Take the marker of a batch back that is about to be written, again or for the first time."""
+    files, _ = _commits(spark, out_dir)
+    files.delete(_marker(spark, out_dir, batch_id), False)
+
+
+def commit_batch(spark: SparkSession, out_dir: str, batch_id: int) -> None:
+    """Mark a batch as written. Batches run one after the other, so markers before the last two say nothing more."""
+    files, _ = _commits(spark, out_dir)
+    files.create(_marker(spark, out_dir, batch_id), True).close()
+    if batch_id > 1:
+        files.delete(_marker(spark, out_dir, batch_id - 2), False)
+
+
+def last_committed(spark: SparkSession, out_dir: str) -> int:
+    """The latest batch of which every table is written; -1 for none."""
+    files, path = _commits(spark, out_dir)
+    return max((int(f.getPath().getName()) for f in files.listStatus(path)), default=-1) if files.exists(path) else -1
+
+
+def read_committed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """A table as of the latest committed batch; folders of later batches are not read."""
+    return read_table(spark, f"{out_dir}/{name}").filter(F.col("batch") <= last_committed(spark, out_dir))
+
+
 def as_messages(rows: DataFrame, topic: str, value: Column, key: Column | None = None) -> DataFrame:
     """Rows in the layout a broker sink takes."""
     return rows.select((key if key is not None else F.lit(None)).cast("string").alias("key"),

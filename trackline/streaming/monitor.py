@@ -22,78 +22,120 @@ from trackline.functions.encode import encoded_rows, incomplete_document
 from trackline.functions.names import machine_type
 from trackline.operators import cycles, spc
 from trackline.operators.alerts import alerts, by_device
-from trackline.operators.decode import dead_letters, decode, decode_rule_log, good_records, union_families
-from trackline.operators.rules import attach_latest, checked_values
+from trackline.operators.decode import (dead_letters, decode, decode_by_schema, good_records, rule_records,
+                                        union_families)
+from trackline.operators.rules import attach_latest, checked_values, latest_rules
 from trackline.operators.slices import MAX_ROWS, plan_slices
 from trackline.sources import contracts
-from trackline.sources.messages import EARLIEST, LATEST, message_batch, message_stream
-from trackline.sources.sinks import batch_folder, outgoing, write_batch
+from trackline.sources.messages import EARLIEST, LATEST, message_stream
+from trackline.sources.sinks import batch_folder, begin_batch, commit_batch, outgoing, write_batch
 from trackline.streaming.state import StateTable
 
 RuleLog = Callable[[SparkSession], DataFrame]
 
 
-def control_feed(spark: SparkSession, contract: T.StructType, topic: str = "machine-control", **source: str) -> DataFrame:
-    """The control topic from its beginning, decoded; `decode.rule_records` of it is the rule log."""
-    return decode_rule_log(message_batch(spark, [topic], **source), contract)
-
-
 @dataclass(frozen=True)
 class Monitor:
     """Where things are, and which feeds there are.
 
-    rule_log   reads the rule log; called in each micro-batch, so rules change without a restart
+    rule_log   reads a rule log kept as a table; called in each micro-batch, so rules change without a restart
+    control    contract of the control topic; limit records then come with the stream: a micro-batch reads the new ones
+               only and merges them into the latest ones per machine type, which are carried. Unusable ones are dead letters
     families   contract per telemetry topic; a new machine family is one more entry
     avsc       Avro schema per topic, for feeds with Avro bodies
-    control    reads the decoded control topic (see `control_feed`); its unusable records become dead letters
+    schemas    Avro schemas by id per topic, and under None the one to read them as (see `decode.decode_by_schema`)
+    snapshot   a folder of `write_snapshot` to start from: what it covers is not read again
     encoded    also writes encoded rows; outgoing: also writes alerts, faults and dead letters as broker messages
     """
 
     out_dir: str
     state_dir: str
-    rule_log: RuleLog
+    rule_log: RuleLog | None = None
     families: dict[str, T.StructType] = field(default_factory=lambda: {"machine-telemetry": contracts.TELEMETRY})
     context_topic: str = "machine-context-events"
     max_rows: int = MAX_ROWS
     full_every: int = 20
     avsc: dict[str, str] = field(default_factory=dict)
-    control: RuleLog | None = None
+    control: T.StructType | None = None
+    control_topic: str = "machine-control"
+    schemas: dict[str, dict[int | None, str]] = field(default_factory=dict)
+    snapshot: str | None = None
     encoded: bool = False
     outgoing: bool = False
 
     @property
     def topics(self) -> list[str]:
-        return [*self.families, self.context_topic]
+        return [*self.families, self.context_topic, *([self.control_topic] if self.control else [])]
+
+    def _state(self, name: str) -> StateTable:
+        keys = {"devices": ("device_id",), "series": spc.SERIES, "rules": ("machine_type",),
+                "offsets": ("topic", "partition")}[name]
+        return StateTable(f"{self.state_dir}/{name}", keys, self.full_every,
+                          f"{self.snapshot}/{name}" if self.snapshot else None)
+
+    def write_snapshot(self, spark: SparkSession, batch_id: int, folder: str) -> None:
+        """The state after a batch and the last offset it covers of each topic, for a monitor that starts from there."""
+        for name in ("devices", "series", "offsets", *(["rules"] if self.control else [])):
+            self._state(name).before(spark, batch_id + 1).write.mode("overwrite").parquet(f"{folder}/{name}")
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        """One micro-batch."""
+        """One micro-batch; readers see it (see `sinks.read_committed`) when all its tables are written."""
         spark = messages.sparkSession
+        begin_batch(spark, self.out_dir, batch_id)
         held = messages.persist()
         try:
             self._process(spark, held, batch_id)
+            self._covers(spark, held, batch_id)
         finally:
             held.unpersist()
+        commit_batch(spark, self.out_dir, batch_id)
+
+    def _covers(self, spark: SparkSession, messages: DataFrame, batch_id: int) -> None:
+        state = self._state("offsets")
+        seen = messages.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+        known = state.before(spark, batch_id)
+        if known is not None:
+            seen = seen.join(known.withColumnRenamed("offset", "_known"), ["topic", "partition"], "left").select(
+                "topic", "partition", F.greatest("offset", "_known").alias("offset"))
+        state.write(batch_id, seen)
+
+    def _decode(self, messages: DataFrame, topic: str, contract: T.StructType, required: list[str]) -> DataFrame:
+        own = messages.filter(F.col("topic") == topic)
+        if topic in self.schemas:
+            writers = {number: avsc for number, avsc in self.schemas[topic].items() if number is not None}
+            return decode_by_schema(own, writers, self.schemas[topic][None], avro=topic in self.avsc)
+        return decode(own, contract, required, avsc=self.avsc.get(topic))
 
     def _process(self, spark: SparkSession, messages: DataFrame, batch_id: int) -> None:
-        decoded = {
-            topic: decode(messages.filter(F.col("topic") == topic), contract, ["device_id", "timestamp"],
-                          avsc=self.avsc.get(topic)).persist()
-            for topic, contract in self.families.items()
-        }
-        context = decode(messages.filter(F.col("topic") == self.context_topic), contracts.CONTEXT,
-                         contracts.required_fields(contracts.CONTEXT), avsc=self.avsc.get(self.context_topic)).persist()
+        decoded = {topic: self._decode(messages, topic, contract, ["device_id", "timestamp"]).persist()
+                   for topic, contract in self.families.items()}
+        context = self._decode(messages, self.context_topic, contracts.CONTEXT,
+                               contracts.required_fields(contracts.CONTEXT)).persist()
         try:
-            self._decoded(spark, decoded, context, batch_id)
+            rules = self._rules(spark, messages, batch_id) if self.control else self.rule_log(spark)
+            self._decoded(spark, decoded, context, rules, batch_id)
         finally:
             for frame in (*decoded.values(), context):
                 frame.unpersist()
 
-    def _decoded(self, spark, decoded, context, batch_id) -> None:
+    def _rules(self, spark, messages, batch_id) -> DataFrame:
+        """The latest rule per machine type: the carried ones and those of this batch, which alone are read and written."""
+        decoded = self._decode(messages, self.control_topic, self.control, ["machine_type"]).persist()
+        try:
+            write_batch(dead_letters(decoded, self.control_topic), f"{self.out_dir}/control_dead_letters", batch_id)
+            state, new = self._state("rules"), latest_rules(rule_records(decoded))
+            known = state.before(spark, batch_id)
+            if known is not None:
+                touched = known.join(new.select("machine_type"), "machine_type", "left_semi")
+                new = latest_rules(touched.unionByName(new, allowMissingColumns=True))
+            state.write(batch_id, new)
+        finally:
+            decoded.unpersist()
+        return state.before(spark, batch_id + 1)
+
+    def _decoded(self, spark, decoded, context, rules, batch_id) -> None:
         bad = [dead_letters(d, topic) for topic, d in {**decoded, self.context_topic: context}.items()]
         write_batch(union_families(*bad), f"{self.out_dir}/dead_letters", batch_id)
-        if self.control is not None:
-            write_batch(dead_letters(self.control(spark), "machine-control"), f"{self.out_dir}/control_dead_letters",
-                        batch_id)
 
         readings = union_families(*[good_records(d) for d in decoded.values()])
         timeline = cycles.build_timeline(readings, good_records(context)).persist()
@@ -102,7 +144,7 @@ class Monitor:
             touched = timeline.select("device_id").distinct()
             plan = plan_slices(timeline, self.max_rows)
             self._cycles(spark, timeline, touched, plan, batch_id)
-            self._alerts(spark, timeline, touched, plan, batch_id)
+            self._alerts(spark, timeline, touched, plan, rules, batch_id)
             if self.outgoing:
                 names = ("incomplete", "alerts", "dead_letters")
                 feeds = [spark.read.parquet(batch_folder(f"{self.out_dir}/{name}", batch_id)) for name in names]
@@ -113,7 +155,7 @@ class Monitor:
             timeline.unpersist()
 
     def _cycles(self, spark, timeline, touched, plan, batch_id) -> None:
-        state = StateTable(f"{self.state_dir}/devices", ("device_id",), self.full_every)
+        state = self._state("devices")
         carry = state.before(spark, batch_id, touched)
         carry = carry.persist() if carry is not None else None
         tracked = cycles.track(timeline, plan, carry.drop("last_timestamp") if carry is not None else None).persist()
@@ -140,13 +182,12 @@ class Monitor:
             if carry is not None:
                 carry.unpersist()
 
-    def _alerts(self, spark, timeline, touched, plan, batch_id) -> None:
-        state = StateTable(f"{self.state_dir}/series", spc.SERIES, self.full_every)
+    def _alerts(self, spark, timeline, touched, plan, rules, batch_id) -> None:
+        state = self._state("series")
         packed = state.before(spark, batch_id, touched)
         carry = spc.unpack_tails(packed) if packed is not None else None
         readings = timeline.filter("ev IS NULL").drop("ev", "kind_rank")
-        checked = checked_values(attach_latest(by_device(readings, plan), self.rule_log(spark),
-                                               plan is not None)).persist()
+        checked = checked_values(attach_latest(by_device(readings, plan), rules, plan is not None)).persist()
         try:
             write_batch(alerts(checked, plan, carry), f"{self.out_dir}/alerts", batch_id)
             tails = spc.pack_tails(spc.closing_tail(checked, carry))
@@ -155,13 +196,16 @@ class Monitor:
             checked.unpersist()
 
     def messages(self, spark: SparkSession, since: datetime | None = None, **source: str) -> DataFrame:
-        """The feeds as one stream: readings from the first start on (for files: or `since`), events from the beginning.
+        """The feeds as one stream: readings from the first start on (for files: or `since`), others from the beginning.
 
-        Events are read from the earliest one so that a cycle opened before the start is known.
+        Events and limit records are read from the earliest one, so that a cycle opened before the start is known. With
+        a snapshot every feed is read from the message after the covered ones on.
         """
+        covered = spark.read.parquet(f"{self.snapshot}/offsets") if self.snapshot else None
         telemetry = message_stream(spark, list(self.families), LATEST, since=since, started=f"{self.state_dir}/started",
-                                   **source)
-        return telemetry.unionByName(message_stream(spark, [self.context_topic], EARLIEST, **source))
+                                   covered=covered, **source)
+        return telemetry.unionByName(message_stream(
+            spark, [t for t in self.topics if t not in self.families], EARLIEST, covered=covered, **source))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         """Run on a stream of messages, e.g. `availableNow=True` or `processingTime="10 seconds"`."""
