@@ -130,6 +130,18 @@ def _cut(docs: DataFrame, limits: DataFrame, sources: int) -> DataFrame:
                    "mix-taken")
 
 
+def _told_apart(rows: DataFrame, seed: int) -> DataFrame:
+    """Rows equal in id and text get keys and numbers of their own; the table is only written again if there are any."""
+    twice = rows.groupBy("row_key").count().filter("count > 1").select("row_key", F.lit(True).alias("twice"))
+    if twice.isEmpty():
+        return rows
+    place = (F.lit(seed), F.col("row_key"), F.col("place"))
+    found = rows.join(twice, "row_key", "left")
+    return written(found.withColumns({
+        "u": F.when(F.col("twice"), unit(*place)).otherwise(F.col("u")),
+        "row_key": F.when(F.col("twice"), F.xxhash64(*place)).otherwise(F.col("row_key"))}).drop("twice"), "mix-documents")
+
+
 def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = PERCENT, epochs: int = EPOCHS,
                   seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
                   source_col: str = "source") -> DataFrame:
@@ -140,16 +152,17 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
     of its source in the order of a seeded hash of id and text; those that fit then fill the gap to the target until
     none does, and a last one goes past it where that is nearer. `taken` is size times repeats.
 
-    Null and empty texts have size 0 and take no words. Repeated rows are rows of their own; those equal in id and text
-    share their number and so are all taken or left. A null id is an id of its own. A source of size 0 has target 0.
-    An empty table gives no rows. Other columns play no part.
+    Null and empty texts have size 0 and take no words. Repeated rows are rows of their own: those equal in id and text
+    are told apart by their place in the table, so some may be taken and others left. A null id is an id of its own. A
+    source of size 0 has target 0. An empty table gives no rows. Other columns play no part.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), id_col, text_col).alias(
                            "row_key"), unit(F.lit(seed), F.col(id_col), F.col(text_col)).alias("u"))
     # a key that is never null, as joins pass over nulls
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("source_key")
-    rows = written(rows.select("*", key), "mix-documents")
+    rows = _told_apart(written(rows.select("*", key, F.col("row_key").alias("own_key"),
+                                           F.monotonically_increasing_id().alias("place")), "mix-documents"), seed)
     sources = rows.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     cycle = F.pmod(F.col("place"), F.lit(len(weights))).cast("int")
     weight = F.element_at(F.array(*map(F.lit, weights)), cycle + 1).cast("long")
@@ -162,18 +175,29 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
     more = more.distinct().withColumn("more", F.lit(1))
     found = rows.join(bounded_broadcast(filled, rows=count), "source_key").join(more, "row_key", "left")
     repeats = (F.col("whole") + F.coalesce("more", F.lit(0))).alias("repeats")
-    return found.select("doc_id", "source", "size", "source_size", "target", repeats, "row_key").withColumn(
+    return found.select("doc_id", "source", "size", "source_size", "target", repeats, "own_key").withColumn(
         "taken", (F.col("size") * F.col("repeats")).cast("long"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
                     **settings) -> DataFrame:
     """The rows of `docs` in the mix, each as often as it is taken, with all columns and `repetition` from 1 on."""
-    name, key, times = (fresh(docs, n) for n in ("repetition", "__row_key", "__repeats"))
-    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, seed=seed, **settings).filter("repeats > 0")
-    taken = taken.select(F.col("row_key").alias(key), F.col("repeats").cast("int").alias(times)).distinct()
-    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), id_col, text_col)).join(taken, key)
-    return rows.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
+    name, key, times, extra = (fresh(docs, n) for n in ("repetition", "__own_key", "__repeats", "__extra"))
+    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, seed=seed, **settings)
+    # equal rows are taken `least` times each; what some of them are taken beyond that, one of them stands for
+    taken = taken.groupBy("own_key").agg(F.min("repeats").alias("least"), F.sum("repeats").alias("sum"),
+                                         F.count(F.lit(1)).alias("n"))
+    taken = written(taken.filter("sum > 0").select(
+        F.col("own_key").alias(key), F.col("least").cast("int").alias(times),
+        (F.col("sum") - F.col("least") * F.col("n")).cast("int").alias(extra)), "mix-repeats")
+    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), id_col, text_col))
+    steady, more = taken.filter(F.col(times) > 0).drop(extra), taken.filter(F.col(extra) > 0)
+    out = rows.join(steady, key).withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
+    if more.isEmpty():
+        return out
+    first = rows.join(more, key).dropDuplicates([key])
+    return out.unionByName(first.withColumn(name, F.explode(F.sequence(
+        F.col(times) + 1, F.col(times) + F.col(extra)))).drop(key, times, extra))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field over tokens decoded by Viterbi.
 
 Tokens are tagged as outside, begin or inside of a secret, from their shape, their neighbours and features of the
-whole text. The field learns from spans that the patterns find in a bounded sample of documents and generalises
-by shape and context; the spans it adds are those that no pattern span touches.
+whole text. The field learns from a bounded sample of documents: from the spans that the patterns find, once with their
+surroundings and once with neighbours, prefix and sign in front hidden, so that it can't lean on the cues the patterns use;
+and from made-up secrets of other forms set into stretches of the sample, beside long words, numbers and names that are none.
+The spans it adds are those that no pattern span touches.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 #: The field is fitted on at most so many documents, none longer than so many characters, chosen by hash of the id.
-TRAIN_DOCS, TRAIN_CHARS = 3000, 50_000
+TRAIN_DOCS, TRAIN_CHARS = 1500, 10_000
 #: Tokens per training sequence, steps and rate of the fit, and the weight that pulls parameters to zero.
 SEQUENCE, STEPS, RATE, DECAY = 48, 80, 0.1, 1e-3
 
@@ -223,9 +225,87 @@ def tagged(tokens: Tokens, spans: list[list[tuple[int, int, int]]]) -> np.ndarra
     return tags
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: What made-up secrets consist of, and what may stand before them.
+ALPHABETS = (LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS + "-_", LOWER + UPPER + DIGITS + "+/", UPPER + DIGITS,
+             LOWER + DIGITS)
+LEADS = ("", "", "use ", "the key is ", "key: ", "Authorization: Bearer ", "login with ", "'", '"', "=", "(", "auth=", "credentials ")
+
+
+def _drawn(rng: np.random.Generator, alphabet: str, low: int, high: int) -> str:
+    return "".join(alphabet[k] for k in rng.integers(0, len(alphabet), rng.integers(low, high)))
+
+
+def made_secret(rng: np.random.Generator) -> str:
+    """A random secret: plain, with a short name in front, or a block of lines."""
+    form, alphabet = rng.integers(0, 8), ALPHABETS[rng.integers(0, len(ALPHABETS))]
+    if form == 0:
+        lines = [_drawn(rng, ALPHABETS[2], 64, 65) for _ in range(rng.integers(2, 6))]
+        return "\n".join(lines)
+    body = _drawn(rng, alphabet, 20, 48)
+    while not any(c in DIGITS for c in body):
+        body = _drawn(rng, alphabet, 20, 48)
+    return body if form < 5 else _drawn(rng, LOWER, 2, 5) + "_-"[rng.integers(0, 2)] + body
+
+
+def made_word(rng: np.random.Generator) -> str:
+    """Something long or odd that is no secret: a number, a long word, a name in code, a date, a version, an address."""
+    form = rng.integers(0, 9)
+    if form < 2:
+        return _drawn(rng, DIGITS, 5, 15)
+    if form < 4:
+        return _drawn(rng, LOWER if form == 2 else UPPER, 12, 36)
+    parts = [_drawn(rng, LOWER, 3, 9) for _ in range(rng.integers(2, 5))]
+    return {4: "_".join(parts), 5: "".join(p.title() for p in parts), 6: "-".join(parts) + "-" + _drawn(rng, DIGITS, 1, 4),
+            7: "/".join(parts), 8: f"{_drawn(rng, DIGITS, 4, 5)}-{_drawn(rng, DIGITS, 2, 3)}-{_drawn(rng, DIGITS, 2, 3)}"}[int(form)]
+
+
+def planted(text: str, rng: np.random.Generator) -> tuple[str, int, int]:
+    """Words of the text with a made-up secret and two other odd words among them, and where the secret lies."""
+    words = (text or "").split()
+    at = int(rng.integers(0, max(1, len(words) - 24)))
+    own = words[at:at + int(rng.integers(6, 25))]
+    for _ in range(2):
+        own.insert(int(rng.integers(0, len(own) + 1)), made_word(rng))
+    cut = int(rng.integers(0, len(own) + 1))
+    secret = made_secret(rng)
+    first = " ".join(own[:cut]) + (" " if cut else "") + LEADS[rng.integers(0, len(LEADS))]
+    return first + secret + " " + " ".join(own[cut:]), len(first), len(first) + len(secret)
+
+
+def _made_sequences(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """One stretch with a made-up secret per text; the same for the same text."""
+    for text in texts:
+        made, low, high = planted(text, np.random.default_rng(list(hashlib.md5((text or "").encode()).digest())))
+        tokens = Tokens([made])
+        tags = np.where((tokens.starts >= low) & (tokens.ends <= high), INSIDE, OUTSIDE).astype(np.int64)
+        tags[np.flatnonzero(tags)[:1]] = BEGIN
+        yield tokens.features[:SEQUENCE], tags[:SEQUENCE]
+
+
+#: Feature groups that are hidden in copies of the patterns' spans: character before, prefix, previous and next word.
+HIDDEN = (4, 5, 6, 7)
+
+
+def _hidden(row: np.ndarray) -> np.ndarray:
+    """A copy of a sequence in which the hidden groups hold other, fixed values."""
+    copy, real = row.copy(), row[:, 0] >= 0
+    for group in HIDDEN:
+        size = GROUPS[group]
+        moved = mixed(row[:, group].astype(np.uint64) + np.uint64(group)) % np.uint64(size)
+        copy[:, group] = np.where(real, moved.astype(np.int64) + OFFSETS[group], -1)
+    return copy
+
+
 def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Training sequences: all stretches of SEQUENCE tokens with a secret, and one further stretch per text."""
+    """Training sequences: all stretches of SEQUENCE tokens with a secret, twice (see `_hidden`), one further stretch
+    per text, and one with a made-up secret."""
     features, tags = [], []
+    for found, tag in _made_sequences(texts):
+        row, own = np.full((SEQUENCE, len(GROUPS)), -1), np.zeros(SEQUENCE, np.int64)
+        row[:len(found)], own[:len(tag)] = found, tag
+        features.append(row)
+        tags.append(own)
     for _, group in text_groups(texts):
         tokens = Tokens(group)
         own = tagged(tokens, [base_spans(text) for text in group])
@@ -239,6 +319,9 @@ def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
                     row[:len(part)], tag[:len(part)] = tokens.features[part], own[part]
                     features.append(row)
                     tags.append(tag)
+                    if own[part].any():
+                        features.append(_hidden(row))
+                        tags.append(tag)
     if not features:
         return np.full((1, SEQUENCE, len(GROUPS)), -1), np.zeros((1, SEQUENCE), np.int64)
     return np.stack(features), np.stack(tags)
@@ -249,7 +332,7 @@ def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mos
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("id").isNotNull() & (F.length("text") <= TRAIN_CHARS))
     chosen = texts.select("id").distinct().orderBy(F.md5(F.col("id").cast("string")), "id").limit(most)
-    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"))  # 15 MB of text at most
     return fitted(*sequences([row.text for row in rows.orderBy("id").limit(most).collect()]))
 
 
@@ -294,9 +377,8 @@ def scan_secrets(docs: DataFrame, field: Field | None = None, id_col: str = "doc
                  text_col: str = "text") -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row of `docs`, in one pass, unshuffled.
 
-    Null and empty texts have no spans. Every row is scanned whole on its own, whatever its id; a null id only keeps
-    a document out of the training sample. Repeated ids enter the sample once. An empty table gives no rows, and a
-    sample without secrets a field that finds none. Other columns play no part.
+    Null and empty texts have no spans; texts of any length are scanned whole. Equal rows get equal results. Every row is scanned whole on its own, whatever its id; a null id only keeps
+    a document out of the training sample. Repeated ids enter the sample once. An empty table gives no rows. Other columns play no part.
     """
     field = field or trained(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
