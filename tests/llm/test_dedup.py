@@ -71,6 +71,24 @@ def test_near_duplicate_edges(odd_docs, no_docs):
     assert {i for i in ids if i is not None} == {c for i, c in found if i is not None}
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    """An id with two texts joins the classes of both, in any order of the rows, and one row of it stays."""
+    rng = random.Random(6)
+    words = [[f"{c}{rng.randrange(300)}" for _ in range(120)] for c in "abcd"]
+    rows = [(1, " ".join(words[0])), (1, " ".join(words[1])), (2, changed(words[1], 2, rng)), (3, changed(words[0], 2, rng)),
+            (4, " ".join(words[2])), (4, " ".join(words[2])), (5, changed(words[2], 2, rng)), (6, " ".join(words[3])),
+            (0, " ".join(words[3])), (6, "something else that is short"), (None, changed(words[3], 2, rng))]
+    expected = {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 0, 0: 0, None: 0}
+    for order in (rows, rows[::-1], rng.sample(rows, len(rows))):
+        docs = spark.createDataFrame(order, "doc_id long, text string")
+        found = [(r.doc_id, r.class_id) for r in op4.near_duplicates(docs).collect()]
+        assert len(found) == len(rows) and dict(found) == expected and set(found) == set(expected.items())
+        stay = sorted(tuple(r) for r in op4.one_of_each(docs).collect())
+        assert [i for i, _ in stay] == [0, 1, 4] and stay[1][1] in (rows[0][1], rows[1][1])
+        assert order is rows or stay == kept_before
+        kept_before = stay
+
+
 def test_one_of_each_keeps_the_first(docs, texts):
     assert {row.doc_id for row in op4.one_of_each(docs).collect()} == set(brute.classes(texts).values())
 

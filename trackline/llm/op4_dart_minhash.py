@@ -233,7 +233,7 @@ def classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, band
             id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, copy, node) for every row with words, and (node, class_id) for every node with a link.
 
-    Equal texts have one `copy` (their MD5) and one node, the smallest id. Every node lies in one bucket per band.
+    Equal texts have one `copy` (their MD5) and one node, the smallest id (see `_apart` for ids of several texts). Every node lies in one bucket per band.
     First all members of a bucket are compared with its smallest node. Where members then still belong to different
     components, these are compared too, by pairs in small buckets and by blocks in large ones, so that no link
     between members of a bucket is passed over.
@@ -244,15 +244,19 @@ def classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, band
                        .filter("bands IS NOT NULL"), "dart-sketches")
     nodes = sketched.groupBy("copy").agg(
         F.coalesce(F.min("doc_id"), F.xxhash64("copy")).alias("node"), F.first("bands").alias("bands"))
-    nodes = written(nodes, "dart-nodes")
+    nodes, same = _apart(sketched, written(nodes, "dart-nodes"))
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(buckets.join(shared, "key"), "dart-members")
-    own = texts.select(F.coalesce("doc_id", F.xxhash64("copy")).alias("node"), "text").join(
-        members.select("node").distinct(), "node")
+    wanted = members.select("node").distinct()
+    if same is None:
+        own = texts.select(F.coalesce("doc_id", F.xxhash64("copy")).alias("node"), "text").join(wanted, "node")
+    else:  # an id may stand for several texts: rows are found by their text
+        own = texts.join(nodes.join(wanted, "node").select("copy", "node"), "copy").select("node", "text")
     own = written(own.groupBy("node").agg(F.first("text").alias("text")), "dart-texts")
     first = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(similar_pairs(first, own, words, least), "dart-links")
+    links = similar_pairs(first, own, words, least)
+    links = written(links if same is None else links.unionByName(same), "dart-links")
     joined = components(links, "dart-components")
     known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "dart-known")
@@ -268,8 +272,33 @@ def classes(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, band
     more = written(more, "dart-more-links")
     stars = joined.select(F.col("component").alias("a"), F.col("node").alias("b"))
     found = joined if more.isEmpty() else components(stars.unionByName(more), "dart-classes")
-    found = found.withColumnRenamed("component", "class_id")
-    return sketched.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy"), found
+    placed = sketched.select("doc_id", "copy").join(nodes.select("copy", "node"), "copy")
+    if same is None:
+        return placed, found.withColumnRenamed("component", "class_id")
+    names = placed.join(found, "node").groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = found.join(written(names, "dart-names"), "component")
+    return placed, named.select("node", F.coalesce("least", "component").alias("class_id"))
+
+
+def _apart(sketched: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of their own for different texts whose smallest id is the same, and links between the texts of each id.
+
+    Where no id stands for more than one text the nodes stay as they are, and there are no such links.
+    """
+    known = sketched.filter(F.col("doc_id").isNotNull())
+    several = known.groupBy("doc_id").agg(F.min("copy").alias("one"), F.max("copy").alias("other")).filter(
+        "one <> other").select("doc_id")
+    if several.isEmpty():
+        return nodes, None
+    first = nodes.groupBy("node").agg(F.min("copy").alias("first"))
+    nodes = nodes.join(first, "node").withColumn("node", F.when(F.col("copy") == F.col("first"), F.col("node")).otherwise(
+        F.xxhash64("copy"))).drop("first")
+    nodes = written(nodes, "dart-nodes")
+    texts = written(known.join(several, "doc_id").select("doc_id", "copy").distinct().join(
+        nodes.select("copy", "node"), "copy").select("doc_id", "node"), "dart-ids")
+    leader = texts.groupBy("doc_id").agg(F.min("node").alias("a"))
+    same = texts.join(leader, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
+    return nodes, same
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS,
@@ -279,7 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
     Two documents are linked if the weighted Jaccard similarity of their runs of `words` words is at least `least`;
     classes are the connected documents. Equal texts are always in one class. A text of fewer words than a run is a
     single run. Null, empty and blank texts have no words and are each a class of their own. Rows with an equal id
-    count as one document. A null id gets its class like any other row; where all ids of equal texts are null, a
+    count as one document, so texts of one id are in one class whatever they say. A null id gets its class like any other row; where all ids of equal texts are null, a
     hash of the text stands for them. An empty table gives no rows. Other columns play no part.
     """
     placed, found = classes(docs, words, least, bands, rows, id_col, text_col)
@@ -292,7 +321,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = SIMILARI
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of `docs`, all columns, of which one stays per class: that with the smallest id.
 
-    Rows without words all stay. Of repeated rows of an id one stays.
+    Rows without words all stay. Of repeated rows of an id one stays; where they differ, one with the text of the smallest
+    MD5 among those that no smaller id holds.
     """
     placed, found = classes(docs, id_col=id_col, text_col=text_col, **settings)
     kept = placed.select("copy", "node").distinct().join(found, "node", "left")
