@@ -139,9 +139,25 @@ def aligned(item, passage):
     return best
 
 
-def leaks(docs, items, least=0.5):
-    return {(i, j): score for i, text in docs for j, item in items if plain(item)
-            and (score := aligned(plain(item), plain(text)) / (2 * len(plain(item)))) >= least}
+def longest_run(item, passage):
+    """Words of both lists that stand in a row in each."""
+    best, above = 0, [0] * (len(passage) + 1)
+    for word in item:
+        above = [0] + [above[k] + 1 if word == other else 0 for k, other in enumerate(passage)]
+        best = max(best, *above)
+    return best
+
+
+def leaks(docs, items, least=0.5, run=20, short=4):
+    found = {}
+    for i, text in docs:
+        for j, item in items:
+            own, words_of = plain(item), plain(text)
+            if own:
+                score = aligned(own, words_of) / (2 * len(own))
+                if score >= (1 if len(own) < short else least) or (len(own) >= short and longest_run(own, words_of) >= run):
+                    found[i, j] = score
+    return found
 
 
 def targets(sizes, weights=(5, 2, 1), percent=150, epochs=2):

@@ -91,10 +91,10 @@ def test_leaks_equal_brute_force(spark):
     assert clean == {i for i, _ in docs} - {i for i, _ in found}
 
 
-@pytest.mark.parametrize("common", [op3.COMMON, 0])
-def test_no_edit_hides_a_copy(spark, docs, sf_dir, monkeypatch, common):
+@pytest.mark.parametrize("rare", [op3.RARE, 0, 1])
+def test_no_edit_hides_a_copy(spark, docs, sf_dir, monkeypatch, rare):
     """Copies of every item edited at every 2nd to 6th word, by other words, words put in or left out."""
-    monkeypatch.setattr(op3, "COMMON", common)
+    monkeypatch.setattr(op3, "RARE", rare)
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = [(row.item_id, row.text) for row in bench.orderBy("item_id").collect()][:12]
     copies = []
@@ -114,6 +114,39 @@ def test_no_edit_hides_a_copy(spark, docs, sf_dir, monkeypatch, common):
     assert set(expected) <= among
 
 
+def test_long_runs_and_short_items(spark):
+    """A run of an item is a leak from RUN words on, however long the item; an item of two words only as a whole."""
+    long = [f"own{k}" for k in range(60)]
+    longer = [f"far{k}" for k in range(500)]
+    items = [(1, " ".join(long)), (2, "The end"), (3, " ".join(longer)), (4, "one two three")]
+    docs = [(1, " ".join(["x"] * 50 + long[7:36] + ["y"] * 50)), (2, "the man went on to the end"), (3, "the man, end"),
+            (4, " ".join(longer[100:119])), (5, " ".join(["z", *longer[100:120], "z"])), (6, "one two x three"),
+            (7, " ".join(long[:15] + ["x"] * 9 + long[15:30])), (8, " ".join(long[i] for i in range(0, 60, 2))),
+            (9, " ".join(longer[480:] + ["gap"] * 2000 + longer[:300])), (10, "one. Two, three! one two three"), (11, "end")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(row.doc_id, row.item_id): row.score for row in op3.leaks(frame, bench).collect()}
+    expected = brute.leaks(docs, items)
+    assert found == {pair: pytest.approx(score) for pair, score in expected.items()}
+    assert {(1, 1), (2, 2), (5, 3), (9, 3), (10, 4)} <= set(found)
+    assert not {(3, 2), (4, 3), (6, 4), (11, 2)} & set(found)
+    assert {row.doc_id for row in op3.decontaminated(frame, bench).collect()} == {i for i, _ in docs} - {i for i, _ in found}
+
+
+def test_seeds_are_the_rare_pairs(spark):
+    """A pair that many documents hold is no seed as long as the item has others; the counts cover all documents."""
+    item = "of the " + " ".join(f"own{k}" for k in range(30))
+    docs = [(k, f"some words of the text {k}" if k else f"{item} of the") for k in range(50)]
+    texts = spark.createDataFrame(docs, "doc_id long, text string").select("text").repartition(7)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    (found,) = op3.item_blocks(texts, bench, 0.5)
+    whole = op3.Items.of([1], [item], 0.5)
+    common = op3.pairs(op3.Words("of the", plain=True).numbers(), 1)
+    assert not np.isin(common, found.pairs.numbers).any() and np.isin(common, whole.pairs.numbers).all()
+    left_out = len(whole.pairs.numbers) - len(found.pairs.numbers)
+    assert 0 < left_out <= whole.need[0] // 2 and found.need[0] == whole.need[0] - left_out
+
+
 def test_aligned_words_are_told(spark):
     frame = spark.createDataFrame([(1, "before it. The quick, brown fox jumps over one lazy dog! and after")],
                                   "doc_id long, text string")
@@ -127,6 +160,8 @@ def test_blocks_of_items_change_nothing(spark, docs, sf_dir, monkeypatch):
     whole = set(map(tuple, op3.leaks(docs, bench).collect()))
     monkeypatch.setattr(op3, "BLOCK_CHARS", 3000)
     assert set(map(tuple, op3.leaks(docs, bench).collect())) == whole
+    clean = sorted(row.doc_id for row in op3.decontaminated(docs, bench).collect())
+    assert clean == sorted({row.doc_id for row in docs.collect()} - {row[0] for row in whole})
 
 
 def test_leak_edges(odd_docs, no_docs, spark):
