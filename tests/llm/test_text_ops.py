@@ -324,6 +324,37 @@ def test_wrapped_licenses(spark):
                      10: (5, "MIT,BSD-3-Clause", "MIT/text,BSD-3-Clause/text")}
 
 
+def test_named_holders_families_and_tags(spark):
+    """BSD by any holder, the GNU family, EPL, titles and tags; the SQL counterpart agrees, wrapped sentences included."""
+    named = lambda name: BSD.replace("the copyright holder", name)
+    author = BSD[:BSD.index("3. ")] + """3. The name of Jane Q. Doe may not be used to endorse or promote
+   products derived from this software without specific prior written
+   permission."""
+    gnu = lambda kind, version: GPL.replace("GNU General Public License as", f"GNU {kind} as").replace(
+        "version 3", f"version {version}")
+    library = lambda version: gnu("Lesser General Public License", version).replace("This program", "This library")
+    texts = [
+        (named("Google Inc."), "BSD-3-Clause/text"), (named("the University of\n   Somewhere, Ltd."), "BSD-3-Clause/text"),
+        (named(" ".join(["word"] * 13)), "BSD-2-Clause/text"), (author, "BSD-3-Clause/text"),
+        (gnu("General Public License", 2), "GPL-2.0/header"), (gnu("Affero General Public License", 3), "AGPL-3.0/header"),
+        (library("2.1"), "LGPL-2.1/header"), (library(3), "LGPL-3.0/header"), (APACHE, "Apache-2.0/header"),
+        (MIT, "MIT/text"), (GPL.replace("\n", "\r\n"), "GPL-3.0/header"),
+        ("                GNU AFFERO GENERAL PUBLIC LICENSE\n            Version 3, 19 November 2007\n\nx", "AGPL-3.0/title"),
+        ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0/tag"),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0/tag"), ("# SPDX-License-Identifier: MIT", "MIT/tag"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", ""), ("no GNU Affero General Public License, version 3", ""),
+        ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License "
+         "2.0 which is available at\nhttp://x.org", "EPL-2.0/header"), (None, ""), ("", ""), (f"{MIT}\n\n{MIT}", "MIT/text")]
+    rows = [(k, text) for k, (text, _) in enumerate(texts)]
+    frame = op8.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    ours = sorted(map(tuple, frame.collect()))
+    assert [row[3] for row in ours] == [rules for _, rules in texts]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert ours == sorted(con.execute(f"SELECT {', '.join(frame.columns)} FROM ({op8.SQL})").fetchall())
+
+
 def naive_base(text):
     found, text = [], text or ""
     found += [(m.start(), 0, m.end()) for m in op9.ASSIGN.finditer(text) if len(m[2]) >= 12]
