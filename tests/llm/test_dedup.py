@@ -134,6 +134,29 @@ def test_deleting_reverses_inserting(spark, texts, monkeypatch):
         map(tuple, one.counts.select("high", "low", "n_docs", "last_doc").collect()))
 
 
+def test_shards_follow_a_later_large_insert(spark, monkeypatch):
+    monkeypatch.setattr(op6, "SHARD_KEYS", 3)
+    monkeypatch.setattr(op6, "COMPACT_EVERY", 3)
+    lines = [f"line number {k} of the many that all the later documents share" for k in range(300)]
+    first = [(i, "\n".join(lines[:4])) for i in range(6)]
+    second = [(10 + i, "\n".join([*lines, f"a line that only document {10 + i} of the second part holds"]))
+              for i in range(6)]
+    a, b = (spark.createDataFrame(rows, "doc_id long, text string") for rows in (first, second))
+    small = op6.insert(op6.empty_state(spark), a)
+    large = op6.insert(small, b)
+    assert small.shards == 2 and large.shards == 100 and large.n_common == 300 and large.filters.count() > 90
+    assert kept(op6.drop_lines(large, a.unionByName(b))) == sorted(brute.deduped(first + second))
+    state = large
+    for _ in range(2):  # through a compaction and back
+        state = op6.insert(op6.delete(state, b), b)
+    assert state.generations == 3 and state.refs.count() < 3 * large.refs.count()  # 6 steps, one compaction
+    assert op6._compacted(state).refs.count() == large.refs.count()
+    back = op6.delete(state, b)
+    assert back.n_common == 4
+    assert kept(op6.drop_lines(back, a)) == sorted(brute.deduped(first))
+    assert sorted(map(tuple, back.counts.collect())) == sorted(map(tuple, small.counts.collect()))
+
+
 def test_line_edges(odd_docs, no_docs):
     found = op6.dedup_lines(odd_docs)
     assert found.columns == [*odd_docs.columns, "_n_lines", "n_dropped"]

@@ -3,7 +3,9 @@
 The state is three tables. `refs` is a log: one row (key, doc_id, step) per distinct long line of a document, step
 +1 when the document is inserted and -1 when it is deleted. `counts` is exact: per key the number of documents that
 hold it and the largest id among them. `filters` has one cuckoo filter per shard, over the keys that at least
-`min_docs` documents hold; a later insert or delete only touches the keys that cross this line.
+`min_docs` documents hold; a later insert or delete only touches the keys that cross this line. Inserts and deletes are appended as
+generations: the log and the counts are written as a whole only every COMPACT_EVERY of them, and the shards are laid
+out anew when the keys have outgrown them twice.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from trackline.llm.cuckoo import CuckooFilter
 from trackline.session import bounded_broadcast
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Keys a shard is planned for; the number of shards follows the number of keys, so a filter stays small.
+#: Keys a shard is planned for; above twice as many on average, all filters are built anew over more shards.
 SHARD_KEYS = 50_000
+#: Inserts and deletes after which the appended tables are written as one.
+COMPACT_EVERY = 16
 #: Lines that meet one copy of a filter in one group; a shard with more lines gets more copies of its filter.
 GROUP_LINES = 50_000
 KEY = ["high", "low"]
@@ -38,6 +42,8 @@ class LineState:
     shards: int
     min_docs: int
     min_chars: int
+    n_common: int = 0
+    generations: int = 0
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -99,38 +105,55 @@ def empty_state(spark: SparkSession, min_docs: int = MIN_DOCS, min_chars: int =
     return LineState(refs, counts, spark.createDataFrame([], "shard long, filter binary"), 0, min_docs, min_chars)
 
 
+def _sharded(state: LineState, n_common: int) -> LineState:
+    """Every filter built anew from the counts, with as many shards as their common keys need."""
+    shards = max(1, -(-n_common // SHARD_KEYS))
+    keys = state.counts.filter(F.col("n_docs") >= state.min_docs).select(_shard(shards).alias("shard"), "high")
+    filters = keys.groupBy("shard").applyInPandas(_built, "shard long, filter binary")
+    return replace(state, filters=written(filters, "line-filters"), shards=shards, n_common=n_common)
+
+
+def _compacted(state: LineState) -> LineState:
+    """The same state with one log and one table of counts; steps that undo each other leave the log."""
+    refs = state.refs.groupBy("doc_id", *KEY).agg(F.sum("step").cast("int").alias("step")).filter("step <> 0")
+    return replace(state, refs=written(refs, "line-refs"), counts=written(state.counts, "line-counts"), generations=1)
+
+
 def _moved(state: LineState, docs: DataFrame, step: int, id_col: str, text_col: str) -> LineState:
     refs = line_refs(docs, state.min_chars, id_col, text_col).withColumn("step", F.lit(step))
-    if not state.shards and step > 0:  # nothing held yet: count, then build every shard once
-        refs = written(refs, "line-refs")
-        counts = written(_counted(refs), "line-counts")
-        common = counts.filter(F.col("n_docs") >= state.min_docs)
-        shards = max(1, -(-common.count() // SHARD_KEYS))
-        filters = common.withColumn("shard", _shard(shards)).select("shard", "high")
-        filters = filters.groupBy("shard").applyInPandas(_built, "shard long, filter binary")
-        return replace(state, refs=refs, counts=counts, filters=written(filters, "line-filters"), shards=shards)
     new = written(refs, "line-refs")
+    if not state.shards and step > 0:  # nothing held yet: count, then build every shard once
+        counts = written(_counted(new), "line-counts")
+        n_common = counts.filter(F.col("n_docs") >= state.min_docs).count()
+        return _sharded(replace(state, refs=new, counts=counts, generations=1), n_common)
     touched = new.select(*KEY).distinct()
     log = state.refs.unionByName(new)
-    now = written(_counted(log.join(touched, KEY, "left_semi")), "line-counts")
+    now = touched.join(_counted(log.join(touched, KEY, "left_semi")), KEY, "left").select(
+        *KEY, F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), "last_doc")
+    now = written(now, "line-counts")
     before = state.counts.select(*KEY, F.col("n_docs").alias("before"))
-    common = F.coalesce(F.col("n_docs"), F.lit(0)) >= state.min_docs
+    common = F.col("n_docs") >= state.min_docs
     was = F.coalesce(F.col("before"), F.lit(0)) >= state.min_docs
-    moves = touched.join(before, KEY, "left").join(now, KEY, "left").select(
-        *KEY, (common & ~was).alias("came"), (was & ~common).alias("left"), F.lit(False).alias("held"))
-    moves = moves.filter("came or left")
+    both = now.join(before, KEY, "left")
+    moves = both.select(*KEY, (common & ~was).alias("came"), (was & ~common).alias("left"), F.lit(False).alias("held"))
+    changed = written(moves.filter("came or left"), "line-moves")
+    came, left = changed.agg(F.count_if("came"), F.count_if("left")).first()
+    n_common = state.n_common + came - left
+    rest = state.counts.join(bounded_broadcast(now.select(*KEY)), KEY, "left_anti")
+    after = replace(state, refs=log, counts=rest.unionByName(now.filter("n_docs > 0")),
+                    n_common=n_common, generations=state.generations + 1)
+    after = _compacted(after) if after.generations > COMPACT_EVERY else after
     shards = max(1, state.shards)
-    changed = written(moves.withColumn("shard", _shard(shards)), "line-moves")
-    still = (state.counts.filter(F.col("n_docs") >= state.min_docs).join(touched, KEY, "left_anti").select(*KEY)
-             .unionByName(touched.join(now, KEY).join(before, KEY).filter(common & was).select(*KEY)))
+    if n_common > 2 * SHARD_KEYS * shards:
+        return _sharded(after, n_common)
+    changed = changed.withColumn("shard", _shard(shards))
+    still = rest.filter(common).select(*KEY).unionByName(both.filter(common & was).select(*KEY))
     still = still.withColumn("shard", _shard(shards)).join(changed.select("shard").distinct(), "shard", "left_semi")
     keys = changed.unionByName(still.select(*KEY, F.lit(False).alias("came"), F.lit(False).alias("left"),
                                             F.lit(True).alias("held"), "shard"))
     filters = state.filters.groupBy("shard").cogroup(keys.groupBy("shard"))
-    fresh_ones = written(filters.applyInPandas(_changed, "shard long, filter binary"), "line-filters")
-    counts = state.counts.join(touched, KEY, "left_anti").unionByName(now)
-    return replace(state, refs=written(log, "line-refs"), counts=written(counts, "line-counts"), filters=fresh_ones,
-                   shards=shards)
+    filters = filters.applyInPandas(_changed, "shard long, filter binary")
+    return replace(after, filters=written(filters, "line-filters"), shards=shards)
 
 
 def insert(state: LineState, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineState:
