@@ -8,7 +8,8 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from itertools import groupby
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -21,11 +22,12 @@ from trackline.llm.common import arrow_map, scratch_dir, table, written
 # Fixed values of the WARC and Zstandard formats.
 SKIPPABLE = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Payload an archive takes before the next is begun; what a dictionary is trained on, and its size; bytes.
+#: Bytes of records an archive takes before the next is begun; what a dictionary is trained on, and its size; bytes.
 ARCHIVE_BYTES, SAMPLE_BYTES, DICTIONARY_BYTES = 64 << 20, 1 << 20, 32 << 10
 MIN_REVISIT_BYTES = 0
 LEVEL = 3
-MANIFEST = "path string, first_page long, n_records long, n_bytes long"
+MANIFEST = ("path string, first_page long, n_records long, n_bytes long, pages array<bigint>, "
+            "offsets array<bigint>")
 RECORDS = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
            ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
            ("payload", pa.binary())]
@@ -33,6 +35,23 @@ RECORDS_DDL = ("page_id long, url string, payload_bytes long, payload_digest str
                "refers_to long, payload binary")
 
 
+def place_of(path: str) -> tuple[FileSystem, str]:
+    """The file system of a path as Spark writes it, and the path on it.
+
+    Hadoop's names for object stores are mapped to those pyarrow knows (s3a and s3n are s3, wasb and wasbs abfs and
+    abfss), and dbfs:/ is the mount /dbfs.
+    """
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return FileSystem.from_uri(path)
+    if scheme == "dbfs":
+        return FileSystem.from_uri("/dbfs/" + rest.lstrip("/"))
+    if scheme == "file":
+        return FileSystem.from_uri("/" + rest.lstrip("/"))
+    known = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+    return FileSystem.from_uri(f"{known.get(scheme, scheme)}:{rest}")
+
+
 def record_id(page: int | None, digest: str) -> str:
     return f"<urn:page:{'none' if page is None else page}:{digest}>"
 
@@ -79,18 +98,18 @@ class ArchiveWriter:
 
     def __init__(self, folder: str):
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-        files, place = FileSystem.from_uri(self.path)
+        files, place = place_of(self.path)
         files.create_dir(place.rsplit("/", 1)[0], recursive=True)
-        self.out = files.open_output_stream(place)
+        self.out = files.open_output_stream(place, compression=None)  # by default the name's .zst adds a second layer
         self.waiting, self.compressor = [], None
-        self.first, self.records, self.payload, self.written, self.held = None, 0, 0, 0, 0
+        self.pages, self.offsets = [], []
+        self.size, self.written, self.held = 0, 0, 0
 
-    def add(self, record: bytes, page: int | None, payload: int) -> None:
-        self.first = page if not self.records else self.first
-        self.records += 1
-        self.payload += payload
+    def add(self, record: bytes, page: int | None) -> None:
+        self.pages.append(page)
+        self.size += len(record)
         if self.compressor:
-            self._write(self.compressor.compress(record))
+            self._frame(record)
             return
         self.waiting.append(record)
         self.held += len(record)
@@ -101,19 +120,24 @@ class ArchiveWriter:
         self.out.write(data)
         self.written += len(data)
 
+    def _frame(self, record: bytes) -> None:
+        self.offsets.append(self.written)
+        self._write(self.compressor.compress(record))
+
     def _begin(self) -> None:
         words = dictionary(self.waiting)
         self._write(struct.pack("<II", SKIPPABLE, len(words.as_bytes())) + words.as_bytes())
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_content_size=True)
         for record in self.waiting:
-            self._write(self.compressor.compress(record))
+            self._frame(record)
         self.waiting = []
 
-    def close(self) -> tuple[str, int | None, int, int]:
+    def close(self) -> tuple:
+        """A row of the list of archives."""
         if not self.compressor:
             self._begin()
         self.out.close()
-        return self.path, self.first, self.records, self.written
+        return self.path, next(iter(self.pages), None), len(self.pages), self.written, self.pages, self.offsets
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> Iterator[pa.RecordBatch]:
@@ -123,15 +147,16 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> Iterato
             payload = (html or "").encode("utf-8", "surrogatepass")
             digest = base64.b32encode(bytes.fromhex(sha1)).decode()
             writer = writer or ArchiveWriter(folder)
-            writer.add(record_bytes(page, url, payload, digest, last, revisit, date), page, len(payload))
-            if writer.payload >= ARCHIVE_BYTES:
+            writer.add(record_bytes(page, url, payload, digest, last, revisit, date), page)
+            if writer.size >= ARCHIVE_BYTES:
                 done.append(writer.close())
                 writer = None
     if writer:
         done.append(writer.close())
-    columns = [pa.array(values, kind) for values, kind in zip(
-        zip(*done, strict=True) if done else [[]] * 4, (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-    yield pa.RecordBatch.from_arrays(columns, names=["path", "first_page", "n_records", "n_bytes"])
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    columns = [pa.array(values, kind)
+               for values, kind in zip(zip(*done, strict=True) if done else [[]] * len(kinds), kinds, strict=True)]
+    yield pa.RecordBatch.from_arrays(columns, names=["path", "first_page", "n_records", "n_bytes", "pages", "offsets"])
 
 
 def marked(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, id_col: str = "page_id", url_col: str = "url",
@@ -154,6 +179,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
                    date: str = "1970-01-01T00:00:00Z", **columns: str) -> DataFrame:
     """Write every page to archives in `folder` (shared by all executors) and return their list as a table.
 
+    A row names an archive, its first page, its records and bytes, and page and offset of every record in order.
     A task names its files at random and lists them in its result rows. Only the rows of tasks that succeeded are
     kept, so files of a lost or repeated attempt are never read.
     """
@@ -161,14 +187,34 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
     return written(arrow_map(rows, _write, MANIFEST, folder, date), "warc-archives")
 
 
+def _dictionary_of(source, path: str) -> zstandard.ZstdCompressionDict:
+    magic, size = struct.unpack("<II", source.read(8))
+    if magic != SKIPPABLE:
+        raise ValueError(f"{path} does not begin with a dictionary frame")
+    return zstandard.ZstdCompressionDict(source.read(size))
+
+
+def _parsed(record: bytes) -> tuple[dict[str, str], bytes]:
+    head, _, rest = record.partition(b"\r\n\r\n")
+    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    return fields, rest[:int(fields["Content-Length"])]
+
+
+def read_at(path: str, places: list[tuple[int, int]]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Fields and block of the records at these (offset, bytes) of one archive; nothing but these is read."""
+    files, place = place_of(path)
+    with files.open_input_file(place) as source:
+        reader = zstandard.ZstdDecompressor(dict_data=_dictionary_of(source, path))
+        for offset, size in places:
+            source.seek(offset)
+            yield _parsed(reader.decompress(source.read(size)))
+
+
 def read_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """The fields and the block of every record of one archive, one record in memory at a time."""
-    files, place = FileSystem.from_uri(path)
-    with files.open_input_stream(place) as source:
-        magic, size = struct.unpack("<II", source.read(8))
-        if magic != SKIPPABLE:
-            raise ValueError(f"{path} does not begin with a dictionary frame")
-        words = zstandard.ZstdCompressionDict(source.read(size))
+    files, place = place_of(path)
+    with files.open_input_stream(place, compression=None) as source:
+        words = _dictionary_of(source, path)
         reader = zstandard.ZstdDecompressor(dict_data=words).stream_reader(source, read_across_frames=True,
                                                                            read_size=1 << 20)
         held = bytearray()
@@ -194,29 +240,44 @@ def read_records(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
             del held[:till + 4]
 
 
-def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
-    from urllib.parse import unquote
+def _row(fields: dict[str, str], block: bytes, path: str, with_payload: bool) -> tuple:
+    """A record as a row of RECORDS, its payload checked against its digest."""
+    head, _, payload = block.partition(b"\r\n\r\n")
+    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    length = int(head.rpartition(b"Content-Length: ")[2])
+    revisit = fields["WARC-Type"] == "revisit"
+    if not revisit and (len(payload) != length
+                        or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
+        raise ValueError(f"{path}: the payload of {fields['WARC-Record-ID']} is not what was written")
+    url = fields.get("WARC-Target-URI")
+    return (page_of(fields["WARC-Record-ID"]), None if url is None else unquote(url), length, digest,
+            fields["WARC-Type"], page_of(fields["WARC-Refers-To"]) if revisit else None,
+            payload if with_payload and not revisit else None)
+
+
+def _batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + len(row[-1] or b"")
+        if size >= 8 << 20:
+            yield _batch(held)
+            held, size = [], 0
+    yield _batch(held)
 
+
+def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            rows, size = [], 0
-            for fields, block in read_records(path):
-                head, _, payload = block.partition(b"\r\n\r\n")
-                digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                length = int(head.rpartition(b"Content-Length: ")[2])
-                revisit = fields["WARC-Type"] == "revisit"
-                if not revisit and (len(payload) != length
-                                    or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
-                    raise ValueError(f"{path}: the payload of {fields['WARC-Record-ID']} is not what was written")
-                url = fields.get("WARC-Target-URI")
-                rows.append((page_of(fields["WARC-Record-ID"]), None if url is None else unquote(url), length, digest,
-                             fields["WARC-Type"], page_of(fields["WARC-Refers-To"]) if revisit else None,
-                             payload if with_payload and not revisit else None))
-                size += len(payload) if with_payload else 100
-                if size >= 8 << 20:
-                    yield _batch(rows)
-                    rows, size = [], 0
-            yield _batch(rows)
+            yield from _batched(_row(fields, block, path, with_payload) for fields, block in read_records(path))
+
+
+def _fetch(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(name).to_pylist() for name in ("path", "offset", "n_bytes")), strict=True)
+        for path, group in groupby(rows, key=lambda row: row[0]):
+            yield from _batched(_row(fields, block, path, with_payload)
+                                for fields, block in read_at(path, [row[1:] for row in group]))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -235,6 +296,28 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     return arrow_map(dealt, _read, RECORDS_DDL, with_payload)
 
 
+def record_index(archives: DataFrame) -> DataFrame:
+    """(page_id, path, offset, n_bytes) of every record of the listed archives."""
+    ends = F.concat(F.slice("offsets", 2, F.greatest(F.size("offsets") - 1, F.lit(0))), F.array("n_bytes"))
+    places = F.explode(F.arrays_zip("pages", "offsets", ends.alias("ends"))).alias("at")
+    return archives.select("path", places).select(F.col("at.pages").alias("page_id"), "path",
+                                                  F.col("at.offsets").alias("offset"),
+                                                  (F.col("at.ends") - F.col("at.offsets")).alias("n_bytes"))
+
+
+def fetch_records(archives: DataFrame, ids: DataFrame, id_col: str = "page_id", with_payload: bool = True) -> DataFrame:
+    """The records of the pages in `ids`, each once, as `read_archives` gives them; other records are not read.
+
+    A null id stands for pages without one. Ids without a record and repeated ids add nothing. Places are sorted in
+    the task, so neighbours of one archive are read with one dictionary.
+    """
+    wanted = ids.select(F.col(id_col).cast("long").alias("wanted")).distinct()
+    index = record_index(archives)
+    found = index.join(wanted, index["page_id"].eqNullSafe(wanted["wanted"]), "left_semi")
+    found = found.select("path", "offset", "n_bytes").sortWithinPartitions("path", "offset")
+    return arrow_map(found, _fetch, RECORDS_DDL, with_payload)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page and read the archives back.
 
