@@ -116,6 +116,13 @@ def test_moments_are_the_same_to_the_last_bit(spark):
         assert abs(Fraction(row.mean) - mean) <= abs(mean) * Fraction(rounded, 2 ** 53), (device, at)
 
 
+@pytest.mark.parametrize("level", [float("inf"), float("-inf")])
+def test_windows_of_infinite_values_only(spark, level):
+    """Their spread is no number, so they are not flat: no point lies inside and rule 8 alone fires."""
+    got = fired(spc.evaluate(frame(spark, {"d": [level] * 30})))
+    assert got == {("d", i): {8} if i >= 14 else set() for i in range(30)}
+
+
 def test_tails_continue_a_series(spark):
     rng = random.Random(3)
     series = [rng.gauss(5, 2) for _ in range(120)]
