@@ -14,6 +14,7 @@ from test_streaming import alert_set, as_feed, fresh_monitor
 from trackline.functions.encode import encoded_rows
 from trackline.functions.wire import add_header
 from trackline.operators import alerts, cycles, decode as dec, spc
+from trackline.plans.catalogue import catalogue
 from trackline.sources import contracts, fleet, messages as sources, sinks
 from trackline.streaming import monitor as monitor_module
 from trackline.streaming.monitor import Monitor
@@ -314,3 +315,17 @@ def test_stored_readings_need_no_exchange(spark, tmp_path, sf_dir):
         "device_id", F.lit("vibration").alias("measurement"), "timestamp", "seq", F.col("vibration").alias("value"))
     assert "Exchange" not in plan_of(spc.violations(spc.evaluate(values)))
     spark.sql("DROP TABLE stored_timeline")
+
+
+def test_cold_start_knows_event_numbers_of_any_size(spark, sf_dir, tmp_path):
+    """Numbers above a million come back as they are."""
+    shift = 3_000_000_000
+    events = fleet.table(spark, sf_dir, "events")
+    events.withColumn("event_id", F.col("event_id") * 1_000 + shift).write.parquet(f"{tmp_path}/events.parquet")
+    fleet.table(spark, sf_dir, "supplier").write.parquet(f"{tmp_path}/supplier.parquet")
+    build = catalogue()["stream_cold_start"].build
+    columns = ("device_id", "timestamp", "run_id", "track_in", "data_point_count", "last_track_out", "seq")
+    moved = [tuple(r) for r in build(spark, str(tmp_path)).select(*columns).collect()]
+    plain = [(*r[:2], r[2] and f"RUN-{int(r[2][4:]) * 1_000 + shift}", *r[3:6], r[6] * 1_000 + shift)
+             for r in build(spark, sf_dir).select(*columns).collect()]
+    assert len(moved) > 100 and sorted(moved, key=repr) == sorted(plain, key=repr)

@@ -143,8 +143,9 @@ def stream_cold_start(spark, sf_dir):
     rules = lambda s: fleet.rule_log(s, sf_dir)
     old = Monitor(f"{folder}/old", f"{folder}/old-state", rules)
     new = Monitor(f"{folder}/new", f"{folder}/new-state", rules, snapshot=f"{folder}/snapshot")
-    # offsets grow with time in each topic, so what the first two parts hold is what the snapshot covers
-    by_time = [p.withColumn("offset", F.unix_millis("timestamp") * 1_000_000 + F.col("offset")) for p in parts]
+    # offsets grow from part to part in each topic, so what the first two parts hold is what the snapshot covers
+    span = 1 + (fleet.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0)
+    by_time = [part.withColumn("offset", F.lit(k * span) + F.col("offset")) for k, part in enumerate(parts)]
     for batch_id, part in enumerate(by_time[:2]):
         old.process(part, batch_id)
     old.write_snapshot(spark, 1, f"{folder}/snapshot")
@@ -154,7 +155,7 @@ def stream_cold_start(spark, sf_dir):
     new.start(stream, f"{folder}/checkpoint", availableNow=True).awaitTermination()
     rows = sinks.read_committed(spark, f"{folder}/old", "readings").unionByName(
         sinks.read_committed(spark, f"{folder}/new", "readings"))
-    return rows.withColumn("seq", F.col("seq") % 1_000_000).drop("batch", "kind_rank", "machine_type")
+    return rows.withColumn("seq", F.col("seq") % span).drop("batch", "kind_rank", "machine_type")
 
 
 class _Breaks:
