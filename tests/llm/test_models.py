@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trackline.llm import ngram_models as models
 from trackline.llm import op1_importance as op1
 from trackline.llm import op10_quality_rules as op10
 from trackline.llm.common import Words, shingles
@@ -101,3 +102,27 @@ def test_resampling_edges(odd_docs, no_docs, labels):
     assert not any(row.kept for row in found if row.doc_id in (1, 2, 3)) and sum(row.kept for row in found) == 10
     assert op1.resample(no_docs, labels).count() == 0
     assert op1.resample(odd_docs, labels.limit(0)).filter("NOT kept").count() == 0
+
+
+def test_models_count_every_labelled_document(spark):
+    """More trusted documents than the sample once held: all of their words are counted."""
+    many = 25_000
+    docs = spark.range(many + 100).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("w"), "id").alias("text"))
+    labels = spark.range(many).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    counts = models.gram_counts(docs, models.target_sample(labels, F.col("quality") == 1))
+    assert counts.agg(F.sum("raw"), F.sum("target")).first()[:] == (3 * (many + 100), 3 * many)
+
+
+def test_quality_is_the_same_when_ids_are_joined_by_a_shuffle(docs, labels, monkeypatch):
+    columns = ["doc_id", "n_words", "log_ratio", "kept"]
+    copied = rows_of(op10.score_quality(docs, labels), *columns)
+    monkeypatch.setattr(models, "COPIED_IDS", 3)
+    assert rows_of(op10.score_quality(docs, labels), *columns) == copied
+
+
+@pytest.mark.parametrize("many", [1, 2, 99, 100, 101, 700])
+def test_the_threshold_is_found_by_counts(spark, many):
+    scores = [math.sin(i * i) * 10.0 ** (i % 7 - 3) for i in range(many)]
+    frame = spark.createDataFrame([(s, False) for s in scores] + [(99.0, True)], "log_ratio double, base_failed boolean")
+    low, middle = (sorted(scores)[-(-many * share // 100) - 1] for share in (1, 50))
+    assert op10.fitted_threshold(frame) == middle - op10.MARGIN * (middle - low)

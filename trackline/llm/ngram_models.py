@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackline.llm.common import Words, arrow_map, fresh, text_groups
+from trackline.llm.common import Words, arrow_map, fresh, text_groups, written
 
 #: Words are read as digits to BASE modulo PRIME, so that SQL can work out the same numbers.
 BASE, PRIME, PAIR = 257, 2_147_483_647, 31
 #: Size of both models. It bounds what the driver holds: two counts per bucket.
 BUCKETS = 65_536
-#: Most labelled documents the target model is fitted on.
+#: Labelled documents up to which the SQL fits the target model; the operators take all of them.
 TARGET_DOCS = 20_000
+#: Most ids of labelled documents that are copied to the readers of the texts; one long each.
+COPIED_IDS = 1_000_000
 #: Weight of the raw model in the target model, as a share of the target sample's n-grams: it is alike at every size.
 MIX = 0.1
 
@@ -29,10 +31,24 @@ def grams(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([words.text, words.text[pairs]]))
 
 
-def target_sample(labels: DataFrame, good: Column, most: int = TARGET_DOCS, id_col: str = "doc_id") -> DataFrame:
-    """At most `most` ids of documents labelled good, chosen by the MD5 of the id (a bounded, repeatable sample)."""
+def target_sample(labels: DataFrame, good: Column, most: int | None = None, id_col: str = "doc_id") -> DataFrame:
+    """The ids of all documents labelled good; with `most` only so many, chosen by the MD5 of the id."""
     ids = labels.filter(good & F.col(id_col).isNotNull()).select(id_col).distinct()
-    return ids.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(most)
+    return ids if most is None else ids.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(most)
+
+
+def marked(docs: DataFrame, sample: DataFrame, flag: str, id_col: str = "doc_id") -> DataFrame:
+    """`docs` with a column `flag`: whether the id is one of the sample's.
+
+    Up to COPIED_IDS ids go to the texts, which then stay where they are. More are joined in one shuffle of the texts, and the
+    rows are written, as they are read more than once.
+    """
+    known = f"{flag}_id"
+    ids = sample.select(F.col(id_col).alias(known)).distinct()
+    many = ids.limit(COPIED_IDS + 1).count() > COPIED_IDS
+    found = docs.join(ids if many else F.broadcast(ids), F.col(id_col) == F.col(known), "left")
+    found = found.withColumn(flag, F.col(known).isNotNull()).drop(known)
+    return written(found, "marked") if many else found
 
 
 def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -50,10 +66,13 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
 
 def gram_counts(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 buckets: int = BUCKETS) -> DataFrame:
-    """Rows (bucket, raw, target): counts over all documents, and over those whose id is in the bounded sample."""
+    """Rows (bucket, raw, target): counts over all documents, and over those whose id is in the sample."""
     flag = fresh(docs, "in_target")
-    ids = sample.select(F.col(id_col).alias(f"{flag}_id")).distinct().withColumn(flag, F.lit(True))
-    texts = docs.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col(f"{flag}_id"), "left")
+    return marked_counts(marked(docs.select(id_col, text_col), sample, flag, id_col), flag, text_col, buckets)
+
+
+def marked_counts(texts: DataFrame, flag: str, text_col: str, buckets: int = BUCKETS) -> DataFrame:
+    """The same over the rows of `marked`."""
     parts = arrow_map(texts.select(text_col, flag), _count, "bucket long, raw long, target long", buckets)
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 

@@ -9,16 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackline.llm.common import Words, arrow_map, table, text_groups, unit, written
-from trackline.llm.ngram_models import BUCKETS, TARGET_DOCS, GramModels, gram_counts, target_sample
+from trackline.llm.common import Words, arrow_map, kth_largest, ordered, table, text_groups, unit, written
+from trackline.llm.ngram_models import BUCKETS, GramModels, gram_counts, target_sample
 
 #: Texts are weighed as if each held so many n-grams, so that length alone neither wins nor loses.
 LENGTH = 200
 SEED = 42
 #: Log weight of a text without words: it is taken only when all others are.
 NEVER = -1e6
-#: Bits of the sort key that one pass of the search for the k-th largest settles.
-DIGIT = 16
 
 
 def _weigh(batches: Iterator[pa.RecordBatch], models: GramModels, length: int) -> Iterator[pa.RecordBatch]:
@@ -30,44 +28,18 @@ def _weigh(batches: Iterator[pa.RecordBatch], models: GramModels, length: int) -
             parts.append(np.where(grams > 0, total / np.maximum(grams, 1) * length, NEVER))
         weight = np.concatenate(parts)
         score = weight - np.log(-np.log(batch.column(2).to_numpy()))  # plus standard Gumbel noise
-        bits = score.view(np.int64)
-        order = bits ^ ((bits >> np.int64(63)) & np.int64(2 ** 63 - 1))  # whole numbers in the order of the scores
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight), pa.array(score), pa.array(order)],
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight), pa.array(score), pa.array(ordered(score))],
                                          names=["doc_id", "log_weight", "score", "place"])
 
 
-def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
-    """The k-th largest value of a long column; None if there are at most k rows.
-
-    Each pass counts the rows by the next DIGIT bits, so the driver gets at most 2**DIGIT counts and nothing is sorted.
-    """
-    if rows.count() <= k:
-        return None
-    value, shift = F.col(column), 64
-    found, left = 0, k
-    while shift > 0:
-        shift -= DIGIT
-        digit = F.shiftright(value, shift) if shift == 64 - DIGIT else F.shiftright(value, shift).bitwiseAND(
-            F.lit(2 ** DIGIT - 1))
-        inside = rows if shift == 64 - DIGIT else rows.filter(F.shiftright(value, shift + DIGIT) == found)
-        counts = sorted((row for row in inside.groupBy(digit.alias("digit")).count().collect()),
-                        key=lambda row: -row["digit"])
-        for row in counts:
-            if row["count"] >= left:
-                found = (found << DIGIT) + row["digit"]
-                break
-            left -= row["count"]
-    return found
-
-
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, *, seed: int = SEED, length: int = LENGTH,
-             buckets: int = BUCKETS, target_docs: int = TARGET_DOCS, id_col: str = "doc_id",
+             buckets: int = BUCKETS, target_docs: int | None = None, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """(doc_id, log_weight, score, kept) for every row of `docs`: `kept` marks k rows, sampled without replacement with
     chances in proportion to the importance weights.
 
-    The weight is the ratio of a document's likelihoods under the target model (at most `target_docs` documents
-    labelled quality 1 and not toxic) and the raw model (all documents). The k largest sums of log weight and seeded
+    The weight is the ratio of a document's likelihoods under the target model (all documents labelled quality 1 and not
+    toxic; `target_docs` of them if that is given) and the raw model (all documents). The k largest sums of log weight and seeded
     Gumbel noise are the sample. Without `k`, it is the labels' share of quality 1, carried over to all rows.
 
     Null and empty texts weigh next to nothing. The noise depends on id and text, so reruns agree, and rows equal in
