@@ -329,3 +329,15 @@ def test_cold_start_knows_event_numbers_of_any_size(spark, sf_dir, tmp_path):
     plain = [(*r[:2], r[2] and f"RUN-{int(r[2][4:]) * 1_000 + shift}", *r[3:6], r[6] * 1_000 + shift)
              for r in build(spark, sf_dir).select(*columns).collect()]
     assert len(moved) > 100 and sorted(moved, key=repr) == sorted(plain, key=repr)
+
+
+def test_stored_buckets_follow_the_rows(spark, sf_dir, monkeypatch):
+    """More rows take more buckets, so what one task sorts stays alike."""
+    from trackline.plans import feed_queries
+
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 50)
+    rows = spark.range(1000).select(F.concat(F.lit("d"), F.col("id") % 200).alias("device_id"),
+                                    F.col("id").alias("timestamp"), F.col("id").alias("seq"))
+    kept = feed_queries.stored(spark, rows)
+    assert 8 < len(kept.inputFiles()) <= 20 and kept.count() == 1000
+    assert sinks.buckets_for(rows.limit(1), 8) == 8

@@ -289,7 +289,7 @@ def _publish(spark: SparkSession, written: str, folder: str, period: int) -> Non
 
 
 def stored(spark: SparkSession, rows: DataFrame, buckets: int = 8) -> DataFrame:
-    name = f"readings_{uuid.uuid4().hex}"
+    name, buckets = f"readings_{uuid.uuid4().hex}", sinks.buckets_for(rows, buckets)
     return sinks.store_by_device(rows, name, f"{work_dir(spark, 'stored')}/{name}", buckets)
 
 

@@ -16,6 +16,9 @@ ALERT_TOPIC = "machine-alerts"
 INCOMPLETE_TOPIC = "machine-incomplete-track"
 DEAD_LETTER_TOPIC = "machine-DLQ"
 
+#: Rows of one bucket of stored readings; a task reads and sorts a whole bucket.
+BUCKET_ROWS = 250_000
+
 #: Columns kept as folder names.
 TEXT_FOLDERS = ("machine_type",)
 
@@ -31,6 +34,11 @@ def write_batch(rows: DataFrame, table: str, batch_id: int, partition_by: list[s
     writer.parquet(batch_folder(table, batch_id))
 
 
+def buckets_for(rows: DataFrame, least: int) -> int:
+    """As many buckets as keep each at about BUCKET_ROWS rows, at least `least`; the rows are counted."""
+    return max(least, -(-rows.count() // BUCKET_ROWS))
+
+
 def store_by_device(rows: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     """Rows as a table in buckets of devices, each sorted by device and time; returns the table.
 
