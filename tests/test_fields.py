@@ -148,3 +148,17 @@ def test_small_rule_logs_move_no_reading(spark, odd_readings):
     plan = rules.attach_as_of(odd_readings, log)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert "device_id" not in " ".join(line for line in plan.split("\n") if "hashpartitioning" in line)
+
+
+def test_long_time_lines_are_cut(spark, monkeypatch):
+    """The time line of one machine type is spread over tasks long before it is too large for one."""
+    plans = []
+    monkeypatch.setattr(rules, "plan_slices", lambda *given, **named: plans.append(plan_slices(*given, **named)) or plans[-1])
+    readings = spark.range(300_000).select(F.lit("Press-A-1").alias("device_id"), F.col("id").alias("timestamp"),
+                                           F.col("id").alias("seq"), F.lit(1.0).alias("vibration"))
+    log = spark.range(0, 300_000, 1000).select(
+        F.lit("Press-A").alias("machine_type"), F.col("id").alias("offset"), F.col("id").alias("log_time"),
+        F.col("id").cast("string").alias("version"), F.lit("P").alias("rule_profile"), F.lit(0.5).alias("max_vibration"))
+    ruled = rules.attach_as_of(readings, log, small_log=False)
+    assert plans[0] is not None and plans[0].slices > 1
+    assert ruled.filter("rule.version <> string(timestamp - timestamp % 1000)").count() == 0 and ruled.count() == 300_000
