@@ -8,6 +8,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trackline.llm import op2_quotation_linking as op2
 from trackline.llm import op3_decontamination as op3
@@ -229,6 +230,23 @@ def test_water_filling(spark, weights):
     assert found == {s: pytest.approx(float(t)) for s, t in brute.targets(sizes, weights).items()}
 
 
+def test_mix_leaves_texts_where_they_are(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.repeat(F.lit("x "), (F.col("id") % 9).cast("int"))).alias("text"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("s"), F.col("id") % 4)).alias("source"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large to be copied
+    try:
+        mix = op5.mixed_documents(docs)
+        plan = mix._jdf.queryExecution().executedPlan().toString()
+        found = {(r.doc_id): r.n for r in mix.groupBy("doc_id").agg(F.max("repetition").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    wanted = {r.doc_id: r.repeats for r in op5.mixed_sources(docs).collect() if r.repeats}
+    assert found == wanted
+
+
 def test_mix_edges(odd_docs, no_docs):
     rows = op5.mixed_sources(odd_docs).collect()
     assert len(rows) == 14 and all(row.taken <= 2 * row.size for row in rows)

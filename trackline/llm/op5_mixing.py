@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trackline.llm.common import fresh, table, unit, written
-from trackline.session import bounded_broadcast
+from trackline.session import BROADCAST_ROWS, bounded_broadcast
 
 WEIGHTS = (5, 2, 1)
 #: The mix's size as a share of the corpus, in percent; and the most often a source may be repeated.
@@ -31,6 +31,11 @@ def word_count(text: Column) -> Column:
     return F.when(F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.size(words)).otherwise(0).cast("long")
 
 
+def _source_key(column: str) -> Column:
+    """A key that is never null, as joins pass over nulls."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(column).cast("string")), F.lit("null"))
+
+
 def ranked(sources: DataFrame, column: str) -> DataFrame:
     """The rows with their place, from 0, in the order of the column, nulls last.
 
@@ -159,8 +164,7 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), id_col, text_col).alias(
                            "row_key"), unit(F.lit(seed), F.col(id_col), F.col(text_col)).alias("u"))
-    # a key that is never null, as joins pass over nulls
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("source_key")
+    key = _source_key("source").alias("source_key")
     rows = _told_apart(written(rows.select("*", key, F.col("row_key").alias("own_key"),
                                            F.monotonically_increasing_id().alias("place")), "mix-documents"), seed)
     sources = rows.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
@@ -179,25 +183,44 @@ def mixed_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent:
         "taken", (F.col("size") * F.col("repeats")).cast("long"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
-                    **settings) -> DataFrame:
-    """The rows of `docs` in the mix, each as often as it is taken, with all columns and `repetition` from 1 on."""
-    name, key, times, extra = (fresh(docs, n) for n in ("repetition", "__own_key", "__repeats", "__extra"))
-    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, seed=seed, **settings)
-    # equal rows are taken `least` times each; what some of them are taken beyond that, one of them stands for
-    taken = taken.groupBy("own_key").agg(F.min("repeats").alias("least"), F.sum("repeats").alias("sum"),
-                                         F.count(F.lit(1)).alias("n"))
-    taken = written(taken.filter("sum > 0").select(
-        F.col("own_key").alias(key), F.col("least").cast("int").alias(times),
-        (F.col("sum") - F.col("least") * F.col("n")).cast("int").alias(extra)), "mix-repeats")
-    rows = docs.withColumn(key, F.xxhash64(F.lit(seed), id_col, text_col))
-    steady, more = taken.filter(F.col(times) > 0).drop(extra), taken.filter(F.col(extra) > 0)
-    out = rows.join(steady, key).withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times)
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    seed: int = SEED, **settings) -> DataFrame:
+    """The rows of `docs` in the mix, each as often as it is taken, with all columns and `repetition` from 1 on.
+
+    Texts do not move: a source's documents are taken in the order of their key, so its number of repetitions and the place
+    where it changes say how often each is taken, but for a few that are copied to the tasks (shuffled, where there are many).
+    """
+    name, key, times, extra, own, usual = (fresh(docs, n) for n in (
+        "repetition", "__own_key", "__repeats", "__extra", "__source_key", "__usual"))
+    taken = mixed_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **settings)
+    taken = written(taken.select(_source_key("source").alias(own), F.col("own_key").alias(key), "repeats"), "mix-repeats")
+    # Per source the fewest repeats and the first place at which they occur: whatever comes before has one more.
+    place = F.shiftrightunsigned(key, 11)
+    usually = taken.groupBy(own).agg(F.min(F.struct(F.col("repeats").alias("least"), place.alias("place"))).alias(usual))
+    usually = written(usually, "mix-usual")
+    few = usually.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    expected = (F.col(usual)["least"] + F.when(place < F.col(usual)["place"], 1).otherwise(0)).cast("int") if few else F.lit(0)
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(usually), own) if few else rows
+
+    # Texts are joined with the few that this does not tell: what filled the gap to the target, and rows equal in id and text,
+    # which are taken `least` times each; what some of these are taken beyond that, one of them stands for.
+    odd = placed(taken).groupBy(key).agg(F.min("repeats").alias("least"), F.sum("repeats").alias("sum"),
+                                         F.count(F.lit(1)).alias("n"), F.min(expected).alias("expected"))
+    odd = written(odd.filter("n > 1 OR sum <> expected").select(
+        key, F.col("least").cast("int").alias(times),
+        (F.col("sum") - F.col("least") * F.col("n")).cast("int").alias(extra)), "mix-odd")
+    rows = docs.withColumns({key: F.xxhash64(F.lit(seed), id_col, text_col), own: _source_key(source_col)})
+    out = placed(rows).join(bounded_broadcast(odd.drop(extra)), key, "left")
+    out = out.withColumn(times, F.coalesce(times, expected)).filter(F.col(times) > 0).withColumn(
+        name, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns, name)
+    more = odd.filter(F.col(extra) > 0)
     if more.isEmpty():
         return out
-    first = rows.join(more, key).dropDuplicates([key])
+    first = rows.join(bounded_broadcast(more), key).dropDuplicates([key])
     return out.unionByName(first.withColumn(name, F.explode(F.sequence(
-        F.col(times) + 1, F.col(times) + F.col(extra)))).drop(key, times, extra))
+        F.col(times) + 1, F.col(times) + F.col(extra)))).select(*docs.columns, name))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
