@@ -11,6 +11,7 @@ from fixtures import event_frame, golden_messages, random_messages, reading_fram
 from test_cycles import expected, faults_of, rows_of
 from trackline.functions.wire import add_header
 from trackline.operators import alerts, rules
+from trackline.plans import stream_queries
 from trackline.sources import contracts, fleet, messages as sources, sinks
 from trackline.streaming.monitor import Monitor
 from trackline.streaming.simple_feeds import MetricMonitor, UserFeed
@@ -207,3 +208,12 @@ def test_outgoing_message_columns(spark, tmp_path):
     assert out.columns == ["key", "value", "topic"] and tuple(out.first()) == ("d-1", "{}", "machine-alerts")
     sinks.send(out, fmt="json", path=f"{tmp_path}/sent")
     assert spark.read.json(f"{tmp_path}/sent").count() == 1
+
+
+def test_feeds_are_cut_without_building_their_messages(spark, sf_dir, monkeypatch):
+    """The bounds of the time slices come from the rows, not from the messages built from them."""
+    rows = fleet.press_messages(spark, sf_dir)
+    unbuilt = fleet.raw_messages(rows, F.raise_error(F.lit("built")).cast("binary"), "machine-telemetry", F.col("seq"),
+                                 F.timestamp_millis("timestamp"))
+    monkeypatch.setattr(stream_queries, "press_feeds", lambda *given: unbuilt)
+    assert len(stream_queries.press_slices(spark, sf_dir)) == stream_queries.SLICES

@@ -14,7 +14,7 @@ from trackline.operators.slices import plan_slices
 from trackline.plans.registry import Catalogue
 from trackline.plans.rule_queries import LATHES, violations_sql
 from trackline.plans.sql_views import PRESS, RULE_LOG, TRACKED, tracked, zone_rules
-from trackline.plans.stream_queries import GOOD_READING, LONG_AGO, press_feeds, run_stream, time_slices
+from trackline.plans.stream_queries import GOOD_READING, LONG_AGO, press_feeds, press_slices, run_stream
 from trackline.session import work_dir
 from trackline.sources import contracts, fleet, sinks
 from trackline.sources.messages import LATEST, document_stream, message_stream
@@ -139,7 +139,7 @@ FROM enriched""")
 def stream_cold_start(spark, sf_dir):
     """A new monitor starts from a snapshot and reads what it does not cover: together as one replay of everything."""
     folder = work_dir(spark, "cold")
-    parts = time_slices(press_feeds(spark, sf_dir), 3)
+    parts = press_slices(spark, sf_dir, 3)
     rules = lambda s: fleet.rule_log(s, sf_dir)
     old = Monitor(f"{folder}/old", f"{folder}/old-state", rules)
     new = Monitor(f"{folder}/new", f"{folder}/new-state", rules, snapshot=f"{folder}/snapshot")
@@ -180,7 +180,7 @@ def stream_commits(spark, sf_dir):
     """The second batch fails half-way: readers see the first batch only, and all of both after the repetition."""
     folder = work_dir(spark, "commits")
     monitor = Monitor(f"{folder}/out", f"{folder}/state", _Breaks(sf_dir))
-    first, second = time_slices(press_feeds(spark, sf_dir), 2)
+    first, second = press_slices(spark, sf_dir, 2)
     monitor.process(first, 0)
     try:
         monitor.process(second, 1)

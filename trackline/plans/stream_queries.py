@@ -29,9 +29,11 @@ SLICES = 3
 GOOD_READING = "event_type IN ('click', 'view') AND (k >= 23 OR (k >= 5 AND k < 10))"
 
 
-def time_slices(messages: DataFrame, parts: int = SLICES) -> list[DataFrame]:
-    """The messages cut at fixed points of their time span."""
-    first, last = messages.agg(F.min(F.unix_millis("timestamp")), F.max(F.unix_millis("timestamp"))).first()
+def time_slices(messages: DataFrame, times: DataFrame, parts: int = SLICES) -> list[DataFrame]:
+    """The messages cut at fixed points of their time span. `times` holds the `timestamp` of each, in milliseconds: it is
+    known from the rows the messages are built from, so no body is built for it.
+    """
+    first, last = times.agg(F.min("timestamp"), F.max("timestamp")).first()
     width = -(-(last - first + 1) // parts)
     cuts = [F.timestamp_millis(F.lit(first + i * width)) for i in range(parts + 1)]
     return [messages.filter((F.col("timestamp") >= a) & (F.col("timestamp") < b)) for a, b in zip(cuts, cuts[1:])]
@@ -43,11 +45,17 @@ def press_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.unionByName(fleet.context_messages(spark, sf_dir))
 
 
+def press_slices(spark: SparkSession, sf_dir: str, parts: int = SLICES) -> list[DataFrame]:
+    """The press feeds cut at fixed points of their time span."""
+    times = fleet.press_messages(spark, sf_dir).filter(F.col("event_type").isin(*fleet.READINGS, *fleet.TURNS))
+    return time_slices(press_feeds(spark, sf_dir), times, parts)
+
+
 def run_monitor(spark: SparkSession, sf_dir: str) -> str:
     """Fold the feeds; returns the folder of the output tables."""
     folder = work_dir(spark, "monitor")
     monitor = Monitor(f"{folder}/out", f"{folder}/state", lambda s: fleet.rule_log(s, sf_dir))
-    for batch_id, messages in enumerate(time_slices(press_feeds(spark, sf_dir))):
+    for batch_id, messages in enumerate(press_slices(spark, sf_dir)):
         monitor.process(messages, batch_id)
     return f"{folder}/out"
 
@@ -138,7 +146,7 @@ SELECT device_id, timestamp, seq, vibration, temperature, context_complete, run_
 FROM enriched""")
 def stream_restart(spark, sf_dir):
     """A file stream stopped and started in the middle gives what one run over all messages gives."""
-    parts = time_slices(press_feeds(spark, sf_dir), 2)
+    parts = press_slices(spark, sf_dir, 2)
     rules = [lambda s: fleet.rule_log(s, sf_dir)] * 2
     return sinks.read_table(spark, f"{restarted_monitor(spark, parts, rules)}/readings").select(
         "device_id", "timestamp", "seq", "vibration", "temperature", "context_complete", "run_id", "part_no",
