@@ -138,6 +138,37 @@ def test_tails_continue_a_series(spark):
     assert [got["d", i] for i in range(120)] == expected
 
 
+@pytest.mark.parametrize("max_rows", [None, 7, 60])
+def test_fields_of_readings_as_their_values(spark, max_rows):
+    """Fields scored side by side give what each gives by itself, wherever Arrow batches and slices end."""
+    series = {name: values[:120] for name, values in tied_series().items()}
+    rows = [(name, i * 10, i, float(v), float(-i % 7)) for name, values in series.items() for i, v in enumerate(values)]
+    readings = spark.createDataFrame(rows, "device_id string, timestamp long, seq long, a double, b double")
+    plan = plan_slices(readings, max_rows) if max_rows else None
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        found = spc.evaluate_fields(plan.assign(readings) if plan else readings, ["a", "b"], plan).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {(r.device_id, r.measurement, r.seq): (r.value, {n for n in spc.RULES if r[f"rule_{n}"]}) for r in found}
+    expected = {}
+    for name, values in series.items():
+        for field, own in (("a", values), ("b", [-i % 7 for i in range(len(values))])):
+            expected.update({(name, field, i): (float(own[i]), rules) for i, rules in enumerate(zone_rules(own)) if rules})
+    assert got == expected and len(found) == len(expected)
+
+
+def test_readings_are_sorted_once_and_no_frame_moves(spark, sf_dir):
+    """A moving frame reads 25 rows per value and aggregate, and a sort per measurement costs a multiple of one per reading."""
+    from trackline.plans.catalogue import catalogue
+
+    for name in ("spc_ties", "spc_lathes"):
+        plan = catalogue()[name].build(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "RowFrame, -24" not in plan
+        below = plan[plan.index("Window ["):]
+        assert "Generate" not in below
+
+
 def test_violations_have_texts(spark):
     rows = spc.violations(spc.evaluate(frame(spark, {"d": [10.0, 10.1] * 10 + [50.0]}))).filter("seq = 20").collect()
     assert (1, "Point beyond 3-sigma control limit") in {(r.rule_number, r.rule_description) for r in rows}

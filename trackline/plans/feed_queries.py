@@ -310,8 +310,6 @@ def stored_zone_rules(spark, sf_dir):
     """Zone rules over readings stored by device: no row is exchanged."""
     names = ("spindle_rpm", "cutting_force", "coolant_pressure")
     readings = stored(spark, fleet.lathe_readings(spark, sf_dir).select("device_id", "timestamp", "seq", *names))
-    measured = F.array(*[F.struct(F.lit(m).alias("measurement"), F.col(m).alias("value")) for m in names])
     plan = plan_slices(readings)
     rows = plan.assign(readings) if plan else readings
-    values = rows.select("device_id", "timestamp", "seq", *(["slice"] if plan else []), F.inline(measured))
-    return spc.violations(spc.evaluate(values, plan))
+    return spc.violations(spc.evaluate_fields(rows, list(names), plan))
