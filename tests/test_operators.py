@@ -236,6 +236,19 @@ def test_bursts_do_not_change_results(spark):
     assert whole.exceptAll(sliced).count() == 0 and whole.count() == sliced.count()
 
 
+def test_grids_have_no_more_cells_than_rows(spark):
+    """Many small hot keys, half of their rows in a burst: counting costs what the rows cost, on every grid."""
+    number = F.col("id")
+    time = F.when(number % 200 < 100, number * 7919 % 2_700_000_000).otherwise(F.lit(1_000_000_000) + number % 997)
+    rows = spark.range(2000).select(F.concat(F.lit("k"), number % 100).alias("k"), time.alias("timestamp"))
+    plan = plan_slices(rows, 4, key="k")
+    assert len(plan.grids) > 1
+    for grid in plan.grids:
+        assert grid.table.agg(F.sum(F.size("_slice_of"))).first()[0] <= 2000
+    slices = plan.assign(rows).groupBy("k", "slice").count()
+    assert slices.agg(F.sum("count")).first()[0] == 2000 and slices.agg(F.max("count")).first()[0] <= 2 * 4
+
+
 @pytest.mark.parametrize("max_rows", [3, 20, 10_000])
 def test_carry_forward(spark, max_rows):
     rng = random.Random(6)
