@@ -217,3 +217,18 @@ def test_feeds_are_cut_without_building_their_messages(spark, sf_dir, monkeypatc
                                  F.timestamp_millis("timestamp"))
     monkeypatch.setattr(stream_queries, "press_feeds", lambda *given: unbuilt)
     assert len(stream_queries.press_slices(spark, sf_dir)) == stream_queries.SLICES
+
+
+def test_good_messages_are_held_without_their_bytes(spark, sf_dir, tmp_path):
+    """The record of a good message is held; its bytes beside it would be held twice. Bad ones keep theirs."""
+    from trackline.sources import contracts, fleet
+    from trackline.streaming.monitor import Monitor
+
+    messages = fleet.telemetry_messages(spark, sf_dir)
+    monitor = Monitor(f"{tmp_path}/out", f"{tmp_path}/state")
+    held = monitor._decode(messages, "machine-telemetry", contracts.TELEMETRY, ["device_id", "timestamp"])
+    assert held.filter("error IS NULL").count() > 0
+    assert held.filter("error IS NULL AND value IS NOT NULL").count() == 0
+    raw = messages.filter("value IS NOT NULL").select("offset", "value")
+    bad = held.filter("error IS NOT NULL").select("offset", "value")
+    assert bad.count() > 0 and bad.exceptAll(raw).count() == 0

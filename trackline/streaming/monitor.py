@@ -100,11 +100,15 @@ class Monitor:
         state.write(batch_id, seen)
 
     def _decode(self, messages: DataFrame, topic: str, contract: T.StructType, required: list[str]) -> DataFrame:
+        """The decoded messages of a topic, to be held: only bad ones keep their bytes, which dead letters need."""
         own = messages.filter(F.col("topic") == topic)
         if topic in self.schemas:
             writers = {number: avsc for number, avsc in self.schemas[topic].items() if number is not None}
-            return decode_by_schema(own, writers, self.schemas[topic][None], avro=topic in self.avsc)
-        return decode(own, contract, required, avsc=self.avsc.get(topic))
+            decoded = decode_by_schema(own, writers, self.schemas[topic][None], avro=topic in self.avsc)
+        else:
+            decoded = decode(own, contract, required, avsc=self.avsc.get(topic))
+        bad = F.when(F.col("error").isNotNull(), F.col("value"))
+        return decoded.select("timestamp", "offset", bad.alias("value"), "record", "error")
 
     def _process(self, spark: SparkSession, messages: DataFrame, batch_id: int) -> None:
         decoded = {topic: self._decode(messages, topic, contract, ["device_id", "timestamp"]).persist()
